@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source pipeline is a monthly batch job with no streaming read,
+watermark, window or state; late and repeated events are absorbed by the
+bronze deduplication and the keyed merges.  Nothing here re-implements a
+feature the source pipeline does not have.
+"""
