@@ -112,17 +112,19 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
 
 # --- keyed merge ---------------------------------------------------------------
 
-def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec, label: str) -> DataFrame:
+def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec, label: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, f"{spec.name}-{label}")
     w = conform(df, spec).write.mode("errorifexists")
     if spec.partition_by:
         w = w.partitionBy(*spec.partition_by)
     w.parquet(path)
-    return read_table(spark, path, spec)
+    return path, read_table(spark, path, spec)
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    """Raise if a non-NULL key repeats (NULL keys never match, so they may repeat)."""
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    dup = df.filter(present).groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"{what}: key {tuple(keys)} repeats, e.g. {tuple(dup[0])[:-1]}")
 
@@ -152,19 +154,60 @@ def _partition_dir(parts: Sequence[str], row: tuple) -> str:
     return "/".join(f"{p}={text(v)}" for p, v in zip(parts, row))
 
 
+def partition_values(spark: SparkSession, path: str, spec: TableSpec) -> list[tuple]:
+    """Partition values of a table from its directory names (driver-side listing, no Spark job)."""
+    types = {f.name: f.dataType.typeName() for f in spec.schema.fields}
+
+    def parse(name: str, text: str):
+        if text == HIVE_NULL_PARTITION:
+            return None
+        kind = types[name]
+        if kind == "date":
+            return dt.date.fromisoformat(text)
+        if kind in ("integer", "long", "short"):
+            return int(text)
+        raise TypeError(f"{name}: only date / integer partition columns are merged")
+
+    fs, root = _fs_path(spark, path)
+    rows: list[tuple] = [()]
+    for part in spec.partition_by:
+        nxt = []
+        for row in rows:
+            base = root
+            for p, v in zip(spec.partition_by, row):
+                base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base, _partition_dir([p], (v,)))
+            for st in fs.listStatus(base):
+                name = st.getPath().getName()
+                if st.isDirectory() and name.startswith(f"{part}="):
+                    nxt.append(row + (parse(part, name.split("=", 1)[1]),))
+        rows = nxt
+    return rows
+
+
 def merge_into(
     spark: SparkSession,
     source: DataFrame,
     path: str,
     spec: TableSpec,
     update: str | Sequence[str] = UPDATE_ALL,
+    *,
+    check_source_keys: bool = True,
 ) -> dict[str, int]:
     """K3: keyed merge of ``source`` into the table at ``path``.
 
     ``update="all"`` replaces matched rows (upsert); ``update=()`` only
     inserts new keys (matched rows keep their old values).  Keys compare with
     plain ``=``: a NULL key never matches, so such rows are always inserted.
-    Returns partition / row counts touched, for logging.
+    ``check_source_keys`` rejects a source that repeats a key; callers whose
+    source is unique by construction and who check the table afterwards
+    (the pipeline) may skip it.
+
+    Cost: a first load is one write.  Later merges stage the source once,
+    read only the touched partitions of the target, and rewrite them with a
+    dynamic partition overwrite straight from the merge plan (all reads finish
+    before the commit swaps partitions in).  Only when a key may move between
+    partitions (partition columns not in the key) is the target's key
+    column scanned as a whole, in one job that also finds emptied partitions.
     """
     keys = list(spec.keys)
     parts = list(spec.partition_by)
@@ -174,42 +217,64 @@ def merge_into(
     if not insert_only and update != UPDATE_ALL:
         raise ValueError("update must be 'all' (upsert) or () (insert only)")
 
-    ensure_table(spark, path, spec)
-    staged = _stage(spark, source, spec, "merge-source")
-    assert_unique_keys(staged.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys, f"{spec.name} merge source")
+    if not path_exists(spark, path):
+        # K6 + first load: the merge of anything into an empty table is the source itself.
+        write_table(source, path, spec, "errorifexists")
+        if check_source_keys:
+            try:
+                assert_unique_keys(read_table(spark, path, spec), keys, f"{spec.name} merge source")
+            except DuplicateKeyError:
+                delete_path(spark, path)
+                raise
+        return {"partitions": len(partition_values(spark, path, spec)) if parts else 0, "first_load": 1}
+
+    staged_path, staged = _stage(spark, source, spec, "merge-source")
+    if check_source_keys:
+        assert_unique_keys(staged, keys, f"{spec.name} merge source")
     target = read_table(spark, path, spec)
     source_keys = staged.select(*keys)
 
     if not parts:
         if insert_only:
-            new_rows = staged.join(target.select(*keys), keys, "left_anti")
-            append(new_rows, path, spec)
+            append(staged.join(target.select(*keys), keys, "left_anti"), path, spec)
             return {"partitions": 0}
-        merged = target.join(source_keys, keys, "left_anti").unionByName(staged)
-        write_table(_stage(spark, merged, spec, "merge-result"), path, spec, "overwrite")
+        # An unpartitioned table cannot be overwritten while it is read: stage the result first.
+        _, merged = _stage(spark, target.join(source_keys, keys, "left_anti").unionByName(staged), spec, "merge-result")
+        write_table(merged, path, spec, "overwrite")
         return {"partitions": 0}
 
-    # Partitions the source writes; plus, when a key can move between
-    # partitions, those holding older versions of source keys.
-    touched = staged.select(*parts)
-    if not set(parts) <= set(keys):
-        touched = touched.unionByName(target.join(source_keys, keys, "left_semi").select(*parts))
-    # One row per partition value: directory metadata, bounded by the calendar.
-    touched_values = [tuple(r) for r in touched.distinct().collect()]
-    in_touched = _partition_filter(parts, touched_values)
-    target_touched = target.filter(in_touched)  # partition pruning: untouched days are not read
-
+    source_parts = set(partition_values(spark, staged_path, spec))
+    emptied: list[tuple] = []
+    if set(parts) <= set(keys):
+        touched = set(source_parts)
+    else:
+        # Partitions holding older versions of source keys; a partition whose
+        # every row is replaced from elsewhere ends up empty.
+        flagged = source_keys.distinct().withColumn("__hit", F.lit(1))
+        holders = (
+            target.select(*keys, *parts)
+            .join(flagged, keys, "left")
+            .groupBy(*parts)
+            .agg(F.count(F.lit(1)).alias("n"), F.count("__hit").alias("hits"))
+            .filter(F.col("hits") > 0)
+            .collect()
+        )
+        touched = set(source_parts) | {tuple(r[p] for p in parts) for r in holders}
+        if not insert_only:
+            emptied = [
+                tuple(r[p] for p in parts)
+                for r in holders
+                if r["n"] == r["hits"] and tuple(r[p] for p in parts) not in source_parts
+            ]
+
+    target_touched = target.filter(_partition_filter(parts, touched))  # partition pruning
     if insert_only:
         lookup = target_touched if set(parts) <= set(keys) else target
-        new_rows = staged.join(lookup.select(*keys), keys, "left_anti")
-        append(new_rows, path, spec)
-        return {"partitions": len(touched_values)}
+        append(staged.join(lookup.select(*keys), keys, "left_anti"), path, spec)
+        return {"partitions": len(touched)}
 
     merged = target_touched.join(source_keys, keys, "left_anti").unionByName(staged)
-    result = _stage(spark, merged, spec, "merge-result")
-    overwrite_partitions(result, path, spec)
-    written = {tuple(r) for r in result.select(*parts).distinct().collect()}
-    for row in touched_values:
-        if row not in written:
-            delete_path(spark, f"{path.rstrip('/')}/{_partition_dir(parts, row)}")
-    return {"partitions": len(touched_values)}
+    overwrite_partitions(merged, path, spec)
+    for row in emptied:
+        delete_path(spark, f"{path.rstrip('/')}/{_partition_dir(parts, row)}")
+    return {"partitions": len(touched), "emptied": len(emptied)}
