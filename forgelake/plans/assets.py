@@ -7,7 +7,6 @@ tables with keyed merges and checks, for production runs).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -68,6 +67,15 @@ def topological_order(targets: Iterable[str] | None = None) -> list[str]:
     return order
 
 
+def waves() -> list[list[str]]:
+    """Assets grouped by DAG depth (staging inputs are depth 0)."""
+    depth: dict[str, int] = {n: 0 for n in STAGING_NAMES}
+    for name in topological_order():
+        depth[name] = 1 + max(depth[d] for d in ASSETS[name].deps)
+    levels = sorted({depth[n] for n in ASSETS})
+    return [[n for n in ASSETS if depth[n] == lvl] for lvl in levels]
+
+
 def consumers(name: str) -> int:
     return sum(name in a.deps for a in ASSETS.values())
 
@@ -97,7 +105,6 @@ class Layers:
             materialize = list(ASSETS)
         self._materialize = set(materialize)
         self._ingested_at = ingested_at
-        self._run = uuid.uuid4().hex[:8]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:

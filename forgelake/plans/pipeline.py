@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from forgelake import specs
 from forgelake.operators import staging as stg
 from forgelake.plans import checks
-from forgelake.plans.assets import ASSETS, STAGING_NAMES, topological_order
+from forgelake.plans.assets import ASSETS, STAGING_NAMES, topological_order, waves
 from forgelake.session import scratch_path
 from forgelake.sinks import parquet as sink
 from forgelake.sources import fixture
@@ -79,31 +80,49 @@ class Warehouse:
         return sink.path_exists(self.spark, self.path(name))
 
 
+def _run_all(tasks: dict[str, Callable[[], None]], parallel: int) -> dict[str, float]:
+    """Run independent Spark actions, up to ``parallel`` at a time; seconds per task.
+
+    Each action is its own Spark job; submitting independent ones from
+    threads lets their stages share the executors, and one job's commit
+    (driver-side renames) overlaps another's tasks.
+    """
+
+    def timed(item):
+        name, fn = item
+        t0 = time.perf_counter()
+        fn()
+        return name, time.perf_counter() - t0
+
+    if parallel <= 1 or len(tasks) == 1:
+        return dict(map(timed, tasks.items()))
+    with ThreadPoolExecutor(max_workers=min(parallel, len(tasks))) as pool:
+        return dict(pool.map(timed, tasks.items()))
+
+
 def write_staging(
-    warehouse: Warehouse, frames: dict[str, DataFrame], *, append: bool = False
+    warehouse: Warehouse, frames: dict[str, DataFrame], *, append: bool = False, parallel: int = 4
 ) -> dict[str, float]:
     """Write staging tables (K1 partition overwrite, or K2 append) and the bot side output."""
-    timings = {}
-    for name in STAGING_NAMES:
-        t0 = time.perf_counter()
-        spec = specs.SPECS[name]
-        if append:
-            sink.append(frames[name], warehouse.path(name), spec)
-        else:
-            sink.overwrite_partitions(frames[name], warehouse.path(name), spec)
-        timings[name] = time.perf_counter() - t0
-    if BOT_EVENTS in frames:
-        t0 = time.perf_counter()
-        bots = frames[BOT_EVENTS]
+    write = sink.append if append else sink.overwrite_partitions
+
+    def table(name: str) -> Callable[[], None]:
+        return lambda: write(frames[name], warehouse.path(name), specs.SPECS[name])
+
+    def bots() -> None:
         (
-            bots.hint("rebalance", "year", "month", "date")
-            .write.mode("overwrite")
+            frames[BOT_EVENTS]
+            .hint("rebalance", "year", "month", "date")
+            .write.mode("append" if append else "overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("year", "month", "date")
             .parquet(warehouse.path(BOT_EVENTS))
         )
-        timings[BOT_EVENTS] = time.perf_counter() - t0
-    return timings
+
+    tasks = {name: table(name) for name in STAGING_NAMES}
+    if BOT_EVENTS in frames:
+        tasks[BOT_EVENTS] = bots
+    return _run_all(tasks, parallel)
 
 
 @dataclass
@@ -137,32 +156,44 @@ def run_assets(
     lookback: Lookback | None = None,
     check: bool = True,
     strict: bool = True,
+    parallel: int = 4,
 ) -> RunReport:
-    """Build and merge every asset needed for ``targets``, upstream first.
+    """Build, merge and check every asset needed for ``targets``, upstream first.
 
-    ``ingested_at`` defaults to one literal load time for the whole run.
-    With ``strict`` a failing check raises after that table's write.
+    Assets run in waves of equal DAG depth; the assets of one wave only read
+    earlier waves' tables, so they run side by side.  ``ingested_at``
+    defaults to one literal load time for the whole run.  With ``strict`` a
+    failing check raises after that wave, before any downstream asset runs.
     """
     if ingested_at is None:
         ingested_at = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     report = RunReport()
-    for name in topological_order(targets):
+    needed = set(topological_order(targets))
+
+    def one(name: str) -> Callable[[], None]:
         asset = ASSETS[name]
-        t0 = time.perf_counter()
-        inputs = []
-        for dep in asset.deps:
-            df = warehouse.read(dep)
-            if lookback is not None:
-                df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
-            inputs.append(df)
-        result = asset.build(*inputs, ingested_at=ingested_at)
-        # Builders end in a group-by or dedup on the key, and the unique_key check
-        # below covers the result, so the merge skips its own source key pass.
-        sink.merge_into(spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check)
-        report.seconds[name] = time.perf_counter() - t0
-        if check:
-            bad = checks.failed(checks.run_checks(warehouse.read(name), asset.spec))
-            report.failures += bad
-            if bad and strict:
-                raise checks.QualityCheckError(f"{name}: {bad}")
+
+        def run() -> None:
+            inputs = []
+            for dep in asset.deps:
+                df = warehouse.read(dep)
+                if lookback is not None:
+                    df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
+                inputs.append(df)
+            result = asset.build(*inputs, ingested_at=ingested_at)
+            # Builders end in a group-by or dedup on the key, and the unique_key check
+            # below covers the result, so the merge skips its own source key pass.
+            sink.merge_into(spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check)
+            if check:
+                report.failures.extend(checks.failed(checks.run_checks(warehouse.read(name), asset.spec)))
+
+        return run
+
+    for wave in waves():
+        names = [n for n in wave if n in needed]
+        if not names:
+            continue
+        report.seconds.update(_run_all({n: one(n) for n in names}, parallel))
+        if strict and report.failures:
+            raise checks.QualityCheckError(f"quality checks failed: {report.failures}")
     return report
