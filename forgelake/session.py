@@ -42,16 +42,15 @@ def build_session(master: str | None = None, app: str = "forgelake", conf: dict[
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; a fresh local one only when the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
     sc = spark.sparkContext
-    if not root:
+    current = sc.getCheckpointDir()
+    if not current:
+        # Core configs cannot change at runtime; the context's checkpoint dir can.
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="forgelake-ckpt-"))
         current = sc.getCheckpointDir()
-        if current:
-            return current
-        root = tempfile.mkdtemp(prefix="forgelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
