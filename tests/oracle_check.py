@@ -43,6 +43,24 @@ def canon(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple]
     return cols, out
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_mismatches(df, rel) -> list[str]:
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [f"{c}: {spark_types[c]} vs {duck_types.get(c)}" for c in spark_types if spark_types[c] != duck_types.get(c)]
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -68,6 +86,7 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
         else:
             rel = con.sql(sqls[name])
             o_cols, o_rows = canon(rel.columns, rel.fetchall())
+            types = type_mismatches(df, rel)
             if s_cols != o_cols:
                 results[name] = f"COLUMNS spark={s_cols} oracle={o_cols}"
             elif len(s_rows) != len(o_rows):
@@ -75,6 +94,8 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
             elif s_rows != o_rows:
                 diff = next(i for i, (a, b) in enumerate(zip(s_rows, o_rows)) if a != b)
                 results[name] = f"VALUES first diff spark={s_rows[diff]} oracle={o_rows[diff]}"
+            elif types:
+                results[name] = f"TYPES {types}"
             else:
                 results[name] = f"ok {len(s_rows)}"
         if verbose:
