@@ -41,15 +41,24 @@ def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
     parts = []
     if col_checks:
         parts.append(df.agg(F.array(*col_checks).alias("r")).select(F.inline("r")))
+    unique_cols = [c for c, k in spec.checks() if k == UNIQUE]
     for column, kind in spec.checks():
-        if kind == UNIQUE:
+        if kind == UNIQUE_KEY:
+            # whole key tuple, NULLs grouped together (a NULL key is a repeat too)
+            keys = column.split(",")
+            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            repeats = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+            rows = [_row(spec.name, column, kind, repeats)]
+            if keys in [[c] for c in unique_cols]:
+                # unique(col) on the key column itself: same grouping, NULL group left out
+                nn = F.coalesce(F.sum(F.when(F.col(keys[0]).isNotNull(), F.col("n") - 1)), F.lit(0))
+                rows.insert(0, _row(spec.name, keys[0], UNIQUE, nn))
+            parts.append(counts.agg(F.array(*rows).alias("r")).select(F.inline("r")))
+        elif kind == UNIQUE and [column] != list(spec.keys):
             # rows whose non-NULL value already appeared: count(col) - count(distinct col)
             counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(counts.agg(F.array(_row(spec.name, column, kind, F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))).alias("r")).select(F.inline("r")))
-        elif kind == UNIQUE_KEY:
-            # whole key tuple, NULLs grouped together (a NULL key is a repeat too)
-            counts = df.groupBy(*column.split(",")).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(counts.agg(F.array(_row(spec.name, column, kind, F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))).alias("r")).select(F.inline("r")))
+            repeats = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+            parts.append(counts.agg(F.array(_row(spec.name, column, kind, repeats)).alias("r")).select(F.inline("r")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

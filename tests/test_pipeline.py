@@ -105,3 +105,20 @@ def test_monthly_job_from_archive_json(spark, warehouse):
     again = run_month(spark, base, 2024, 1, wh, incremental=True)
     assert again.failures == []
     assert _snapshot(wh, "bronze_events") == _snapshot(warehouse, "bronze_events")
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from forgelake.plans.assets import Layers
+    from forgelake.plans.pipeline import fixture_staging
+
+    def build():
+        layers = Layers(spark, fixture_staging(spark, SF_SMALL), materialize=())
+        return {n: sorted(tuple(r) for r in layers[n].collect()) for n in ("silver_repo_summary", "activity_by_day")}
+
+    utc = build()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert build() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -141,3 +141,26 @@ def test_declared_check_count():
     assert len(declared) == 63
     assert sum(k == specs.NOT_NULL for _, k in declared) == 36
     assert sum(k == specs.NOT_NEGATIVE for _, k in declared) == 26
+
+
+def test_unique_check_fails_on_repeated_value(spark):
+    spec = specs.BRONZE_EVENTS
+    rows = [_be("1", "2024-01-01 10:00:00"), _be("1", "2024-01-02 10:00:00"), _be(None, "2024-01-01 10:00:00"), _be(None, "2024-01-01 11:00:00")]
+    got = {(r.column, r.check): r.failed_rows for r in checks.run_checks(_bronze_rows(spark, rows), spec).collect()}
+    assert got[("event_id", "unique")] == 1  # NULLs ignored
+    assert got[("event_id", "unique_key")] == 2  # NULL key repeats too
+    assert got[("event_id", "not_null")] == 2
+
+
+def test_written_files_are_clustered(spark, tmp_table):
+    import pyarrow.parquet as pq
+
+    spec, path = specs.BRONZE_EVENTS, tmp_table()
+    rows = [_be(str(i), f"2024-01-01 {i % 24:02d}:00:00", repo=f"o/r{i % 7}", typ=("PushEvent", "WatchEvent")[i % 2], login=f"u{i % 5}") for i in range(200)]
+    sink.write_table(_bronze_rows(spark, rows), path, spec)
+    day = os.path.join(path.replace("file:", ""), "date=2024-01-01")
+    files = [f for f in os.listdir(day) if f.endswith(".parquet")]
+    for f in files:
+        t = pq.read_table(os.path.join(day, f), columns=list(spec.cluster_by)).to_pylist()
+        keys = [tuple(r[c] for c in spec.cluster_by) for r in t]
+        assert keys == sorted(keys)
