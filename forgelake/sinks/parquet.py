@@ -244,8 +244,16 @@ def merge_into(
         return {"partitions": 0}
 
     source_parts = set(partition_values(spark, staged_path, spec))
+    keys_stay = set(parts) <= set(keys)  # a key cannot change partition
+    if insert_only:
+        # Only new keys are written; look them up in the source's partitions
+        # when keys cannot move, else in the whole key column.
+        lookup = target.filter(_partition_filter(parts, source_parts)) if keys_stay else target
+        append(staged.join(lookup.select(*keys), keys, "left_anti"), path, spec)
+        return {"partitions": len(source_parts)}
+
     emptied: list[tuple] = []
-    if set(parts) <= set(keys):
+    if keys_stay:
         touched = set(source_parts)
     else:
         # Partitions holding older versions of source keys; a partition whose
@@ -260,19 +268,13 @@ def merge_into(
             .collect()
         )
         touched = set(source_parts) | {tuple(r[p] for p in parts) for r in holders}
-        if not insert_only:
-            emptied = [
-                tuple(r[p] for p in parts)
-                for r in holders
-                if r["n"] == r["hits"] and tuple(r[p] for p in parts) not in source_parts
-            ]
+        emptied = [
+            tuple(r[p] for p in parts)
+            for r in holders
+            if r["n"] == r["hits"] and tuple(r[p] for p in parts) not in source_parts
+        ]
 
     target_touched = target.filter(_partition_filter(parts, touched))  # partition pruning
-    if insert_only:
-        lookup = target_touched if set(parts) <= set(keys) else target
-        append(staged.join(lookup.select(*keys), keys, "left_anti"), path, spec)
-        return {"partitions": len(touched)}
-
     merged = target_touched.join(source_keys, keys, "left_anti").unionByName(staged)
     overwrite_partitions(merged, path, spec)
     for row in emptied:
