@@ -26,6 +26,8 @@ SESSION_DEFAULTS = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Independent assets run as concurrent jobs; share executors between them.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
