@@ -192,6 +192,7 @@ def merge_into(
     update: str | Sequence[str] = UPDATE_ALL,
     *,
     check_source_keys: bool = True,
+    keys_can_move: bool | None = None,
 ) -> dict[str, int]:
     """K3: keyed merge of ``source`` into the table at ``path``.
 
@@ -200,7 +201,11 @@ def merge_into(
     plain ``=``: a NULL key never matches, so such rows are always inserted.
     ``check_source_keys`` rejects a source that repeats a key; callers whose
     source is unique by construction and who check the table afterwards
-    (the pipeline) may skip it.
+    (the pipeline) may skip it.  ``keys_can_move`` says whether a key may
+    change partition between runs; by default only keys that do not contain
+    the partition columns can.  Passing ``False`` for data whose partition
+    value never changes per key (an archive event keeps its timestamp) skips
+    the one full scan of the target's key column.
 
     Cost: a first load is one write.  Later merges stage the source once,
     read only the touched partitions of the target, and rewrite them with a
@@ -244,7 +249,7 @@ def merge_into(
         return {"partitions": 0}
 
     source_parts = set(partition_values(spark, staged_path, spec))
-    keys_stay = set(parts) <= set(keys)  # a key cannot change partition
+    keys_stay = set(parts) <= set(keys) if keys_can_move is None else not keys_can_move
     if insert_only:
         # Only new keys are written; look them up in the source's partitions
         # when keys cannot move, else in the whole key column.

@@ -164,3 +164,13 @@ def test_written_files_are_clustered(spark, tmp_table):
         t = pq.read_table(os.path.join(day, f), columns=list(spec.cluster_by)).to_pylist()
         keys = [tuple(r[c] for c in spec.cluster_by) for r in t]
         assert keys == sorted(keys)
+
+
+def test_merge_without_key_moves_reads_only_source_partitions(spark, tmp_table):
+    spec, path = specs.BRONZE_EVENTS, tmp_table()
+    sink.merge_into(spark, _bronze_rows(spark, [_be("1", "2024-01-01 10:00:00"), _be("2", "2024-01-02 10:00:00")]), path, spec)
+    info = sink.merge_into(
+        spark, _bronze_rows(spark, [_be("2", "2024-01-02 10:00:00", repo="o/x")]), path, spec, keys_can_move=False
+    )
+    assert info == {"partitions": 1, "emptied": 0}
+    assert {r[0]: r[6] for r in _content(spark, path, spec)} == {"1": "o/r", "2": "o/x"}
