@@ -30,6 +30,22 @@ def tmp_table(spark):
     return lambda name="t": scratch_path(spark, name)
 
 
+@pytest.fixture(scope="session")
+def warehouse(spark):
+    """One full pipeline run on the sf0.001 fixture, shared by the pipeline and plan tests."""
+    from forgelake.plans.pipeline import Warehouse, run_assets, stage_raw, write_staging
+    from forgelake.session import scratch_path
+    from forgelake.sources import fixture
+
+    frames = stage_raw(spark, fixture.read_fixture_raw(spark, SF_SMALL))
+    frames["staging_productivity"] = fixture.with_replayed_pull_requests(frames["staging_productivity"])
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    write_staging(wh, frames)
+    report = run_assets(spark, wh)
+    assert report.failures == []
+    return wh
+
+
 def ts(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)
 

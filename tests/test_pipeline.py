@@ -28,18 +28,6 @@ EXPECTED = {
 }
 
 
-@pytest.fixture(scope="module")
-def warehouse(spark):
-    raw = fixture.read_fixture_raw(spark, SF_SMALL)
-    frames = stage_raw(spark, raw)
-    frames["staging_productivity"] = fixture.with_replayed_pull_requests(frames["staging_productivity"])
-    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    write_staging(wh, frames)
-    report = run_assets(spark, wh)
-    assert report.failures == []
-    return wh
-
-
 def _snapshot(wh, name):
     spec = specs.SPECS[name]
     return sorted(tuple(r) for r in wh.read(name).select(*spec.columns).collect())

@@ -6,13 +6,9 @@ import contextlib
 import datetime as dt
 import io
 
-import pytest
 from conftest import SF_SMALL
 
 from forgelake.operators import bronze, gold
-from forgelake.plans.pipeline import Warehouse, run_assets, stage_raw, write_staging
-from forgelake.session import scratch_path
-from forgelake.sources import fixture
 from forgelake.sources.tables import since
 
 FORBIDDEN = (
@@ -32,15 +28,6 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.fixture(scope="module")
-def warehouse(spark):
-    frames = stage_raw(spark, fixture.read_fixture_raw(spark, SF_SMALL), persist_base=False)
-    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    write_staging(wh, frames)
-    run_assets(spark, wh, check=False)
-    return wh
-
-
 def test_no_cross_join_or_python_in_any_registered_query(spark):
     import __spark_entry__ as entry
 
