@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import io
+import re
 
 from conftest import SF_SMALL
 
@@ -56,3 +57,31 @@ def test_filters_and_columns_reach_the_scan(warehouse):
 def test_lookback_prunes_partitions(warehouse):
     text = plan(since(warehouse.read("bronze_events"), 3, dt.date(2024, 1, 30)))
     assert "PartitionFilters: [isnotnull(date" in text and ">= 2024-01-27" in text
+
+
+def test_aggregates_combine_map_side_before_the_shuffle(warehouse):
+    from forgelake.operators import silver
+
+    activity = warehouse.read("silver_developer_activity")
+    builders = {
+        "repo_summary": silver.repo_summary(activity),
+        "monthly": gold.developer_productivity_monthly(activity),
+        "commit_stats": gold.commit_stats_by_day(activity),
+        "activity": gold.activity_by_day(activity),
+        "scorecard": gold.repo_health_scorecard(warehouse.read("silver_repo_summary")),
+    }
+    for name, df in builders.items():
+        text = plan(df)
+        below_first_exchange = text.split("Exchange")[-1]  # tree is printed root first
+        assert "HashAggregate" in below_first_exchange, name
+        assert "partial_" in text, name
+
+
+def test_writes_rebalance_on_partition_columns(warehouse):
+    from forgelake import specs
+    from forgelake.sinks.parquet import laid_out
+
+    text = plan(laid_out(warehouse.read("bronze_events"), specs.BRONZE_EVENTS))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
+    # in-task sort by partition column, then the declared cluster columns
+    assert re.search(r"Arguments: \[date#\d+ ASC NULLS FIRST, type#\d+ ASC NULLS FIRST, repo_name#\d+ ASC NULLS FIRST, actor_login#", text)
