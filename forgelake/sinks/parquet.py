@@ -52,6 +52,49 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    fs, s = _fs_path(spark, src)
+    _, d = _fs_path(spark, dst)
+    if not fs.rename(s, d):
+        raise OSError(f"rename {src} -> {dst} failed")
+
+
+def _versions(path: str) -> tuple[str, str]:
+    base = path.rstrip("/")
+    return f"{base}.__next", f"{base}.__prev"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or roll back a table swap that was interrupted (see :func:`replace_table`)."""
+    nxt, prev = _versions(path)
+    if not path_exists(spark, path):
+        if path_exists(spark, f"{nxt}/_SUCCESS"):
+            _rename(spark, nxt, path)  # the new version was complete: finish the swap
+        elif path_exists(spark, prev):
+            _rename(spark, prev, path)  # roll back to the old version
+    if path_exists(spark, path):
+        delete_path(spark, prev)
+        delete_path(spark, nxt)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, spec: TableSpec) -> None:
+    """Replace a whole table without a window in which it is missing or partial.
+
+    The new version is written completely next to the table (so ``df`` may
+    read the table itself), then two directory renames swap it in.  A crash
+    at any point leaves either the old or the new version in place, and the
+    next :func:`recover` (run by every merge) tidies up.
+    """
+    recover(spark, path)
+    nxt, prev = _versions(path)
+    delete_path(spark, nxt)
+    write_table(df, nxt, spec, "errorifexists")
+    if path_exists(spark, path):
+        _rename(spark, path, prev)
+    _rename(spark, nxt, path)
+    delete_path(spark, prev)
+
+
 # --- layout ------------------------------------------------------------------
 
 def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -222,6 +265,7 @@ def merge_into(
     if not insert_only and update != UPDATE_ALL:
         raise ValueError("update must be 'all' (upsert) or () (insert only)")
 
+    recover(spark, path)
     if not path_exists(spark, path):
         # K6 + first load: the merge of anything into an empty table is the source itself.
         write_table(source, path, spec, "errorifexists")
@@ -243,9 +287,8 @@ def merge_into(
         if insert_only:
             append(staged.join(target.select(*keys), keys, "left_anti"), path, spec)
             return {"partitions": 0}
-        # An unpartitioned table cannot be overwritten while it is read: stage the result first.
-        _, merged = _stage(spark, target.join(source_keys, keys, "left_anti").unionByName(staged), spec, "merge-result")
-        write_table(merged, path, spec, "overwrite")
+        # An unpartitioned table is rewritten whole: write the new version beside it, then swap.
+        replace_table(spark, target.join(source_keys, keys, "left_anti").unionByName(staged), path, spec)
         return {"partitions": 0}
 
     source_parts = set(partition_values(spark, staged_path, spec))

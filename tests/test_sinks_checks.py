@@ -174,3 +174,21 @@ def test_merge_without_key_moves_reads_only_source_partitions(spark, tmp_table):
     )
     assert info == {"partitions": 1, "emptied": 0}
     assert {r[0]: r[6] for r in _content(spark, path, spec)} == {"1": "o/r", "2": "o/x"}
+
+
+def test_interrupted_swap_is_recovered(spark, tmp_table):
+    spec, path = specs.REPO_HEALTH_SCORECARD, tmp_table()
+    row = lambda repo, ev: (repo, 2024, 1, d("2024-01-01"), ev, 1, 1, 0, 0, None, 0, 1.0)
+    sink.merge_into(spark, spark.createDataFrame([row("a", 1)], spec.schema), path, spec)
+    # crash after the new version was written and the old one moved aside, before the final rename
+    sink.write_table(spark.createDataFrame([row("a", 2)], spec.schema), path + ".__next", spec, "errorifexists")
+    sink._rename(spark, path, path + ".__prev")
+    assert not sink.path_exists(spark, path)
+    sink.merge_into(spark, spark.createDataFrame([row("b", 3)], spec.schema), path, spec)
+    assert {r[0]: r[4] for r in _content(spark, path, spec)} == {"a": 2, "b": 3}
+    assert not sink.path_exists(spark, path + ".__prev") and not sink.path_exists(spark, path + ".__next")
+    # crash while the new version was still being written: the old one stays
+    sink.write_table(spark.createDataFrame([row("z", 9)], spec.schema), path + ".__next", spec, "errorifexists")
+    sink.delete_path(spark, path + ".__next/_SUCCESS")
+    sink.recover(spark, path)
+    assert {r[0] for r in _content(spark, path, spec)} == {"a", "b"}
