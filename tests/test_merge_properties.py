@@ -69,3 +69,39 @@ def test_merge_matches_model(spark, runs, upsert):
         ((r.event_id, r.date, r.repo_name) for r in read_table(spark, path, SPEC).collect()), key=repr
     )
     assert got == _model(runs, upsert)
+
+
+dedup_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]),  # key
+        st.sampled_from([1, 2, None]),  # event time (hour)
+        st.sampled_from(["x", "y", None]),  # first tie-breaker
+        st.sampled_from(["p", "q", None]),  # second tie-breaker
+    ),
+    min_size=1,
+    max_size=12,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=dedup_rows)
+def test_latest_per_key_matches_model(spark, rows):
+    from pyspark.sql import functions as F
+
+    from forgelake.operators.dedup import asc, latest_per_key
+
+    df = spark.createDataFrame(rows, "k string, t int, a string, b string")
+    got = sorted(
+        (tuple(r) for r in latest_per_key(df, ["k"], [F.col("t").desc_nulls_last(), *asc("a", "b")]).collect()),
+        key=repr,
+    )
+
+    def order(r):  # time descending, NULLs last; tie-breakers ascending, NULLs last
+        _, t, a, b = r
+        return (t is None, -(t or 0), a is None, a or "", b is None, b or "")
+
+    best: dict = {}
+    for r in rows:
+        if r[0] not in best or order(r) < order(best[r[0]]):
+            best[r[0]] = r
+    assert got == sorted(best.values(), key=repr)
