@@ -3,12 +3,14 @@
 Plain Parquet has no MERGE INTO, so a merge is expressed with joins and a
 dynamic partition overwrite:
 
-* the source is staged once to the scratch folder (its lineage is cut, the
-  key check and the merge read Parquet, and the target is never read and
-  overwritten by the same job);
+* the source is staged once to the scratch folder (its lineage is cut; the
+  key check, the partition listing and the merge all read that copy);
 * only partitions the merge touches are read from the target (partition
-  pruning) and rewritten;
-* partitions a merge empties (a key moved to another date) are deleted.
+  pruning) and rewritten by a dynamic overwrite, which writes to a job
+  staging folder and swaps partitions in only after every read is done;
+* partitions a merge empties (a key moved to another date) are deleted;
+* unpartitioned tables get a complete new version beside them, swapped in by
+  renames, so they are never missing or partial.
 """
 
 from __future__ import annotations
