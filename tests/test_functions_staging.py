@@ -48,7 +48,7 @@ def test_ratio_and_month_start(spark):
 
 
 def test_month_glob():
-    assert month_glob("gs://raw/events/", 2024, 3) == "gs://raw/events/2024-03/*json.gz"
+    assert month_glob("hdfs:///raw/events/", 2024, 3) == "hdfs:///raw/events/2024-03/*json.gz"
 
 
 def _raw_lines(tmp_path):
