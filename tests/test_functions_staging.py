@@ -13,7 +13,7 @@ from forgelake.sources.raw import month_glob, read_raw
 
 
 def test_bot_rule_is_case_insensitive_and_null_preserving(spark):
-    logins = ["dependabot[bot]", "x-BOT", "Foo[BOT]", "my-bot-x", "robot", "Copilot", None]
+    logins = ["builder[bot]", "x-BOT", "Foo[BOT]", "my-bot-x", "robot", "Autopilot", None]
     df = spark.createDataFrame([(x,) for x in logins], "login string")
     got = [r[0] for r in df.select(is_bot_login(F.col("login"))).collect()]
     assert got == [True, True, True, False, False, False, None]
