@@ -32,8 +32,6 @@ from forgelake.sources.tables import read_table, since  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-FLAT_EVENT = ["event_id", "type", "created_at", "date", "month", "year", "repo_name", "actor_login"]
-
 
 def _layers(spark: SparkSession, sf_dir: str, materialize="shared") -> Layers:
     return Layers(spark, fixture_staging(spark, sf_dir), materialize=materialize)
