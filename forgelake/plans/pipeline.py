@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake import specs
@@ -144,6 +144,7 @@ class Lookback:
 @dataclass
 class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)  # rows each asset built this run
     failures: list[tuple] = field(default_factory=list)
 
 
@@ -181,10 +182,13 @@ def run_assets(
                 if lookback is not None:
                     df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
                 inputs.append(df)
-            result = asset.build(*inputs, ingested_at=ingested_at)
+            # Row count gathered while the merge writes the result: no extra job.
+            built = Observation(f"{name}_rows")
+            result = asset.build(*inputs, ingested_at=ingested_at).observe(built, F.count(F.lit(1)).alias("rows"))
             # Builders end in a group-by or dedup on the key, and the unique_key check
             # below covers the result, so the merge skips its own source key pass.
             sink.merge_into(spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check)
+            report.rows[name] = built.get["rows"]
             if check:
                 table = warehouse.read(name)
                 if lookback is not None and asset.spec.partition_by:

@@ -38,6 +38,16 @@ def test_layer_sizes(warehouse):
         assert warehouse.read(name).count() == n, name
 
 
+def test_run_report_counts_rows_without_extra_jobs(spark):
+    from forgelake.plans.pipeline import fixture_staging
+
+    wh = Warehouse(spark, scratch_path(spark, "warehouse-rows"))
+    write_staging(wh, fixture_staging(spark, SF_SMALL))
+    report = run_assets(spark, wh, targets=["activity_by_day"], check=False)
+    assert report.rows["activity_by_day"] == EXPECTED["activity_by_day"]
+    assert report.rows["bronze_events"] == EXPECTED["bronze_events"]
+
+
 def test_staging_split_accounts_for_every_raw_row(spark, warehouse):
     raw = fixture.read_fixture_raw(spark, SF_SMALL)
     null_login = raw.filter(F.col("actor.login").isNull()).count()
