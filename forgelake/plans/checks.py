@@ -1,14 +1,20 @@
 """Declared quality checks (not_null, not_negative, unique, unique_key).
 
-``run_checks`` evaluates every column check of a table in ONE aggregate
+``run_checks`` evaluates every per-row check of a table in ONE aggregate
 pass and each key check in one grouped pass (the only way to count key
 repeats is a shuffle on the key; partial aggregation keeps it one row per key
 per map task).  The report has one row per check: table, column, check,
 failed_rows.
+
+In pipeline runs the per-row checks cost no pass at all: they are observed
+(``column_metrics``) on the rows a merge writes, and only the key checks
+read the table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,17 +36,36 @@ def _row(table: str, column: str, check: str, failed) -> F.Column:
     )
 
 
-def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
-    col_checks = []
+def _column_checks(spec: TableSpec) -> list[tuple[str, str, F.Column]]:
+    """(column, kind, failing-row count) for the per-row checks of a table."""
+    out = []
     for column, kind in spec.checks():
         if kind == NOT_NULL:
-            col_checks.append(_row(spec.name, column, kind, F.count_if(F.col(column).isNull())))
+            out.append((column, kind, F.count_if(F.col(column).isNull())))
         elif kind == NOT_NEGATIVE:
             # NULL passes: the check is about sign only.
-            col_checks.append(_row(spec.name, column, kind, F.count_if(F.col(column) < 0)))
+            out.append((column, kind, F.count_if(F.col(column) < 0)))
+    return out
+
+
+def column_metrics(spec: TableSpec) -> list[F.Column]:
+    """Per-row checks as aggregate columns, for ``DataFrame.observe`` on the rows being written."""
+    return [expr.alias(f"{kind}:{column}") for column, kind, expr in _column_checks(spec)]
+
+
+def column_failures(spec: TableSpec, observed: dict) -> list[tuple[str, str, str, int]]:
+    """Failing per-row checks from observed metric values."""
+    out = []
+    for column, kind, _ in _column_checks(spec):
+        n = observed.get(f"{kind}:{column}") or 0
+        if n > 0:
+            out.append((spec.name, column, kind, int(n)))
+    return out
+
+
+def key_checks(df: DataFrame, spec: TableSpec) -> DataFrame | None:
+    """The uniqueness checks (unique, unique_key): one grouped pass per key set."""
     parts = []
-    if col_checks:
-        parts.append(df.agg(F.array(*col_checks).alias("r")).select(F.inline("r")))
     unique_cols = [c for c, k in spec.checks() if k == UNIQUE]
     for column, kind in spec.checks():
         if kind == UNIQUE_KEY:
@@ -59,10 +84,20 @@ def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
             counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
             repeats = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
             parts.append(counts.agg(F.array(_row(spec.name, column, kind, repeats)).alias("r")).select(F.inline("r")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every declared check of a table as a report: one aggregate pass + the key passes."""
+    col = _column_checks(spec)
+    parts = []
+    if col:
+        rows = [_row(spec.name, column, kind, expr) for column, kind, expr in col]
+        parts.append(df.agg(F.array(*rows).alias("r")).select(F.inline("r")))
+    keyed = key_checks(df, spec)
+    if keyed is not None:
+        parts.append(keyed)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def failed(report: DataFrame) -> list[tuple[str, str, str, int]]:

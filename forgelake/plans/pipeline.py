@@ -182,20 +182,33 @@ def run_assets(
                 if lookback is not None:
                     df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
                 inputs.append(df)
-            # Row count gathered while the merge writes the result: no extra job.
+            # Row count of the build and the per-row checks of what is written are
+            # observed while the merge writes: neither costs a pass of its own.
             built = Observation(f"{name}_rows")
             result = asset.build(*inputs, ingested_at=ingested_at).observe(built, F.count(F.lit(1)).alias("rows"))
+            row_checks = Observation(f"{name}_checks") if check else None
+            metrics = checks.column_metrics(asset.spec) if check else []
+
+            def observe(df: DataFrame) -> DataFrame:
+                return df.observe(row_checks, *metrics) if metrics else df
+
             # Builders end in a group-by or dedup on the key, and the unique_key check
             # below covers the result, so the merge skips its own source key pass.
-            sink.merge_into(spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check)
+            sink.merge_into(
+                spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check, observe=observe
+            )
             report.rows[name] = built.get["rows"]
             if check:
+                if metrics:
+                    report.failures.extend(checks.column_failures(asset.spec, row_checks.get))
                 table = warehouse.read(name)
                 if lookback is not None and asset.spec.partition_by:
                     # Only the window's partitions were rewritten; older ones passed when
                     # written, and merges remove moved keys, so no duplicate can span both.
                     table = lookback.daily(table)
-                report.failures.extend(checks.failed(checks.run_checks(table, asset.spec)))
+                keyed = checks.key_checks(table, asset.spec)
+                if keyed is not None:
+                    report.failures.extend(checks.failed(keyed))
 
         return run
 

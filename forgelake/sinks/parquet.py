@@ -16,7 +16,7 @@ dynamic partition overwrite:
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -238,6 +238,7 @@ def merge_into(
     *,
     check_source_keys: bool = True,
     keys_can_move: bool | None = None,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, int]:
     """K3: keyed merge of ``source`` into the table at ``path``.
 
@@ -250,7 +251,10 @@ def merge_into(
     change partition between runs; by default only keys that do not contain
     the partition columns can.  Passing ``False`` for data whose partition
     value never changes per key (an archive event keeps its timestamp) skips
-    the one full scan of the target's key column.
+    the one full scan of the target's key column.  ``observe`` is applied to
+    exactly the rows written into the target (all of a first load, the
+    rewritten partitions of an upsert, the new rows of an insert), so metrics
+    such as per-row quality checks ride along with the write.
 
     Cost: a first load is one write.  Later merges stage the source once,
     read only the touched partitions of the target, and rewrite them with a
@@ -263,6 +267,7 @@ def merge_into(
     parts = list(spec.partition_by)
     if not keys:
         raise ValueError(f"{spec.name} declares no key")
+    written = observe or (lambda df: df)
     insert_only = update == INSERT_ONLY or update == []
     if not insert_only and update != UPDATE_ALL:
         raise ValueError("update must be 'all' (upsert) or () (insert only)")
@@ -270,7 +275,7 @@ def merge_into(
     recover(spark, path)
     if not path_exists(spark, path):
         # K6 + first load: the merge of anything into an empty table is the source itself.
-        write_table(source, path, spec, "errorifexists")
+        write_table(written(source), path, spec, "errorifexists")
         if check_source_keys:
             try:
                 assert_unique_keys(read_table(spark, path, spec), keys, f"{spec.name} merge source")
@@ -287,10 +292,10 @@ def merge_into(
 
     if not parts:
         if insert_only:
-            append(staged.join(target.select(*keys), keys, "left_anti"), path, spec)
+            append(written(staged.join(target.select(*keys), keys, "left_anti")), path, spec)
             return {"partitions": 0}
         # An unpartitioned table is rewritten whole: write the new version beside it, then swap.
-        replace_table(spark, target.join(source_keys, keys, "left_anti").unionByName(staged), path, spec)
+        replace_table(spark, written(target.join(source_keys, keys, "left_anti").unionByName(staged)), path, spec)
         return {"partitions": 0}
 
     source_parts = set(partition_values(spark, staged_path, spec))
@@ -299,7 +304,7 @@ def merge_into(
         # Only new keys are written; look them up in the source's partitions
         # when keys cannot move, else in the whole key column.
         lookup = target.filter(_partition_filter(parts, source_parts)) if keys_stay else target
-        append(staged.join(lookup.select(*keys), keys, "left_anti"), path, spec)
+        append(written(staged.join(lookup.select(*keys), keys, "left_anti")), path, spec)
         return {"partitions": len(source_parts)}
 
     emptied: list[tuple] = []
@@ -326,7 +331,7 @@ def merge_into(
 
     target_touched = target.filter(_partition_filter(parts, touched))  # partition pruning
     merged = target_touched.join(source_keys, keys, "left_anti").unionByName(staged)
-    overwrite_partitions(merged, path, spec)
+    overwrite_partitions(written(merged), path, spec)
     for row in emptied:
         delete_path(spark, f"{path.rstrip('/')}/{_partition_dir(parts, row)}")
     return {"partitions": len(touched), "emptied": len(emptied)}

@@ -120,3 +120,23 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         assert build() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_observed_checks_fail_the_run_on_bad_rows(spark):
+    from forgelake.plans import checks
+    from forgelake.plans.pipeline import fixture_staging
+    from forgelake.sinks import parquet as sink
+
+    wh = Warehouse(spark, scratch_path(spark, "warehouse-bad"))
+    frames = fixture_staging(spark, SF_SMALL)
+    write_staging(wh, frames)
+    # one PR row of a known event, replayed with a negative line count and a fresh developer
+    bad = frames["staging_productivity"].limit(1).withColumns(
+        {"lines_added": F.lit(-7).cast("bigint"), "developer_login": F.lit("zz-new-dev")}
+    )
+    sink.append(bad, wh.path("staging_productivity"), specs.STAGING_PRODUCTIVITY)
+    with pytest.raises(checks.QualityCheckError):
+        run_assets(spark, wh, targets=["bronze_productivity"])
+    report = run_assets(spark, Warehouse(spark, wh.root), targets=["silver_developer_activity"], strict=False)
+    assert ("bronze_productivity", "lines_added", "not_negative", 1) in report.failures
+    assert ("silver_developer_activity", "lines_added", "not_negative", 1) in report.failures
