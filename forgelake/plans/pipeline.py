@@ -137,8 +137,11 @@ class Lookback:
         return since(df, self.days, self.as_of)
 
     def monthly(self, df: DataFrame) -> DataFrame:
-        first_day = self.as_of - dt.timedelta(days=self.days)
-        return since_month(df, 0, first_day)
+        start = (self.as_of - dt.timedelta(days=self.days)).replace(day=1)
+        if "date" in df.columns:
+            # year / month derive from date, so this is the same cut, and it prunes partitions
+            return df.filter(F.col("date") >= F.lit(start))
+        return since_month(df, 0, start)
 
 
 @dataclass

@@ -85,3 +85,10 @@ def test_writes_rebalance_on_partition_columns(warehouse):
     assert "REBALANCE_PARTITIONS_BY_COL" in text
     # in-task sort by partition column, then the declared cluster columns
     assert re.search(r"Arguments: \[date#\d+ ASC NULLS FIRST, type#\d+ ASC NULLS FIRST, repo_name#\d+ ASC NULLS FIRST, actor_login#", text)
+
+
+def test_monthly_lookback_prunes_partitions(warehouse):
+    from forgelake.plans.pipeline import Lookback
+
+    text = plan(Lookback(days=3, as_of=dt.date(2024, 1, 30)).monthly(warehouse.read("silver_developer_activity")))
+    assert "PartitionFilters: [isnotnull(date" in text and ">= 2024-01-01" in text
