@@ -124,11 +124,7 @@ def q_event_time_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _layers(spark, sf_dir, materialize="all")
-    out = None
-    for name, asset in ASSETS.items():
-        r = checks.run_checks(layers[name], asset.spec)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return checks.quality_report({name: layers[name] for name in ASSETS})
 
 
 # --- sinks -----------------------------------------------------------------------------

@@ -13,12 +13,13 @@ read the table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.specs import NOT_NEGATIVE, NOT_NULL, UNIQUE, UNIQUE_KEY, TableSpec
+from forgelake.specs import NOT_NEGATIVE, NOT_NULL, SPECS, UNIQUE, UNIQUE_KEY, TableSpec
 
 REPORT_DDL = "table string, column string, check string, failed_rows bigint"
 
@@ -100,6 +101,11 @@ def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The full report (one row per declared check) over named medallion tables."""
+    return reduce(DataFrame.unionByName, [run_checks(df, SPECS[name]) for name, df in tables.items()])
+
+
 def failed(report: DataFrame) -> list[tuple[str, str, str, int]]:
     """Failing checks; the report is one row per declared check, so collecting it is bounded."""
     return [tuple(r) for r in report.filter(F.col("failed_rows") > 0).collect()]

@@ -80,6 +80,10 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return sink.path_exists(self.spark, self.path(name))
 
+    def quality_report(self) -> DataFrame:
+        """Every declared check over every medallion table in the warehouse."""
+        return checks.quality_report({name: self.read(name) for name in ASSETS})
+
 
 def _run_all(tasks: dict[str, Callable[[], None]], parallel: int) -> dict[str, float]:
     """Run independent Spark actions, up to ``parallel`` at a time; seconds per task.

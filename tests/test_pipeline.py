@@ -48,6 +48,12 @@ def test_run_report_counts_rows_without_extra_jobs(spark):
     assert report.rows["bronze_events"] == EXPECTED["bronze_events"]
 
 
+def test_warehouse_quality_report_is_clean(warehouse):
+    report = warehouse.quality_report()
+    assert report.count() == 72
+    assert report.filter(F.col("failed_rows") > 0).count() == 0
+
+
 def test_staging_split_accounts_for_every_raw_row(spark, warehouse):
     raw = fixture.read_fixture_raw(spark, SF_SMALL)
     null_login = raw.filter(F.col("actor.login").isNull()).count()
