@@ -46,9 +46,25 @@ def staging_frames(base: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def stage_raw(spark: SparkSession, raw: DataFrame, *, persist_base: bool = True) -> dict[str, DataFrame]:
-    """Raw events -> staging frames; with ``persist_base`` the raw input is parsed exactly once."""
+_TEXT_SUFFIXES = (".json", ".jsonl", ".json.gz", ".jsonl.gz", ".gz", ".bz2", ".txt")
+
+
+def _reads_text(df: DataFrame) -> bool:
+    """True when the frame scans text files (costly to parse, often unsplittable)."""
+    return any(f.lower().endswith(_TEXT_SUFFIXES) for f in df.inputFiles())
+
+
+def stage_raw(spark: SparkSession, raw: DataFrame, *, persist_base: bool | None = None) -> dict[str, DataFrame]:
+    """Raw events -> staging frames.
+
+    With ``persist_base`` the dated raw records are written once to the
+    scratch folder, so the four outputs read Parquet instead of re-parsing
+    the input.  By default that happens exactly when the input is text (the
+    archive's gzip JSON); a columnar input is cheaper to re-read than to copy.
+    """
     base = stg.with_event_dates(raw)
+    if persist_base is None:
+        persist_base = _reads_text(raw)
     if persist_base:
         path = scratch_path(spark, "raw-base")
         base.write.mode("errorifexists").parquet(path)

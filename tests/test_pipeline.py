@@ -146,3 +146,12 @@ def test_observed_checks_fail_the_run_on_bad_rows(spark):
     report = run_assets(spark, Warehouse(spark, wh.root), targets=["silver_developer_activity"], strict=False)
     assert ("bronze_productivity", "lines_added", "not_negative", 1) in report.failures
     assert ("silver_developer_activity", "lines_added", "not_negative", 1) in report.failures
+
+
+def test_stage_raw_persists_only_text_inputs(spark):
+    from forgelake.plans.pipeline import _reads_text
+
+    assert not _reads_text(fixture.read_fixture_raw(spark, SF_SMALL))
+    path = scratch_path(spark, "raw-json")
+    fixture.to_archive_json(fixture.read_fixture_raw(spark, SF_SMALL)).limit(5).write.option("compression", "gzip").json(path)
+    assert _reads_text(read_raw(spark, f"{path}/*.json.gz"))
