@@ -19,6 +19,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where the next operator (the W3 window) then
+    # needs its own shuffle: one event's copies may hold a third of all rows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # REBALANCE before writes: AQE splits big output partitions and merges small ones.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
