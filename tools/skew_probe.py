@@ -1,15 +1,16 @@
 """Hot-key probe: one key holds a third of all rows; how balanced are the reducers?
 
-Usage: python tools/skew_probe.py [sf_dir] [cpus] [shuffle_partitions]
+Usage: python tools/skew_probe.py [sf_dir] [cpus] [shuffle_partitions=64]
 
 Builds staging events from the driver fixture, then makes a third of the rows
-share one event_id (a burst of re-delivered copies) and one repository (a
-hot repo).  It runs the bronze dedup (W1), the event-time join (J1, with
-AQE's skew thresholds scaled down to this data size) and the daily repository
-summary (A2, two exact distinct counts) into Spark's ``noop`` sink with an event log
-in a fresh scratch folder, then prints, for every stage that reads a
-shuffle, the largest and the mean shuffle-read records per task.  No UI or
-REST server is used.
+share one event_id (a burst of re-delivered copies) and one repository (a hot
+repo).  It runs the bronze dedup (W1), the event-time join (J1, reading bronze
+events from a written table as the pipeline does, with AQE's skew thresholds
+scaled down to this data size) and the daily repository summary (A2, two
+exact distinct counts) into Spark's ``noop`` sink, with an event log in a
+fresh scratch folder.  It then prints, for every stage that reads a shuffle,
+the task count and the largest and mean shuffle-read records per task.  No
+UI or REST server is used.
 """
 
 from __future__ import annotations
