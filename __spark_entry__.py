@@ -30,6 +30,19 @@ from forgelake.sources import fixture  # noqa: E402
 from forgelake.sources.raw import read_raw  # noqa: E402
 from forgelake.sources.tables import read_table, since  # noqa: E402
 
+try:  # the training-data operators are an optional part: the rest stands without them
+    from forgelake.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("forgelake.llm"):
+        raise
+    llm = None
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("forgelake.llm"):
+        raise
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -207,8 +220,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "rpt_loc_churn_by_month": _report(reports.loc_churn_by_month, "developer_productivity_monthly"),
         }
     )
+    if llm is not None:
+        q.update(llm.QUERIES)
+    if corpus_pipeline is not None:
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_queries()
+    sql = dict(oracle.oracle_queries())
+    if llm is not None:
+        sql.update(llm.ORACLE_SQL)
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
