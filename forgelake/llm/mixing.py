@@ -19,6 +19,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Joins carry merge hints: the planner's estimates miss what explode adds and would broadcast tables that grow.
 from forgelake.llm.common import WORD, stored, table
 
 WEIGHTS = (3, 1, 2)
@@ -89,7 +90,7 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     ahead = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("key", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
     inside = Window.partitionBy("key", "part").orderBy("position")
-    ranked = points.join(counts, ["key", "part"]).select(
+    ranked = points.join(counts.hint("merge"), ["key", "part"]).select(
         "key", "source_size", "words", "position", (F.col("ahead") + F.row_number().over(inside) - 1).alias("rank")
     )
     # A source that needs a few blocks more than it has points gets them after all slots.
@@ -117,9 +118,9 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     ahead = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     parts = sizes.groupBy("key", "bucket").agg(F.sum("size").alias("n"))
     parts = parts.select("key", "bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    parts = parts.join(sources.select("key", "source_size", "target"), "key")
+    parts = parts.join(sources.select("key", "source_size", "target").hint("merge"), "key")
     inside = Window.partitionBy("key", "bucket").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.join(parts, ["key", "bucket"]).withColumn(
+    return sizes.join(parts.hint("merge"), ["key", "bucket"]).withColumn(
         "start", F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     )
 
@@ -140,7 +141,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, ceiling=CEILING, block_wo
     )
     keys = ["doc_id", "key", "start", "size", "source_size", "target"]
     drawn = (
-        pieces.join(slots.select("key", "block", "words"), ["key", "block"], "left")
+        pieces.join(slots.select("key", "block", "words").hint("merge"), ["key", "block"], "left")
         .groupBy(*keys)
         .agg(F.sum(F.when(F.col("words").isNotNull(), taken).otherwise(0)).cast("long").alias("taken"))
     )
@@ -159,9 +160,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     drawn = mix(docs, **options, keep_key=True).filter("taken > 0")
     times = drawn.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("size").alias("__size")).agg(
         F.floor(F.avg("taken") / F.first("size") + 0.5).cast("int").alias("__times")
-    )
+    ).filter("__times > 0")
     joined = docs.join(
-        times.filter("__times > 0"),
+        times.hint("merge"),
         docs["doc_id"].eqNullSafe(times["__id"]) & (key == times["__key"]) & (size == times["__size"]),
     )
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[docs[f"`{c}`"] for c in docs.columns])

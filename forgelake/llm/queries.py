@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from forgelake.llm import mixing, secrets
+from forgelake.llm import fingerprints, jaccard, langid, mixing, neardup, quality, secret_scan, toxicity
 
 QUERIES = {
-    "op2_secret_scan": secrets.op2_secret_scan,
+    "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op3_language_id": langid.op3_language_id,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op6_embedding_neardup": neardup.op6_embedding_neardup,
+    "op7_jaccard_join": jaccard.op7_jaccard_join,
+    "op8_quality": quality.op8_quality,
     "op9_mixing_schedule": mixing.op9_mixing_schedule,
+    "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 
 ORACLE_SQL = {
-    "op2_secret_scan": secrets.ORACLE_SQL,
+    "op6_embedding_neardup": neardup.ORACLE_SQL,
+    "op7_jaccard_join": jaccard.ORACLE_SQL,
+    "op2_secret_scan": secret_scan.ORACLE_SQL,
     "op9_mixing_schedule": mixing.ORACLE_SQL,
 }
