@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from forgelake.llm import fingerprints, jaccard, langid, mixing, neardup, quality, secret_scan, toxicity
+from forgelake.llm import fingerprints, jaccard, langid, mixing, neardup, quality, repeats, secret_scan, toxicity
 
 QUERIES = {
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_language_id": langid.op3_language_id,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_repeated_spans": repeats.op5_repeated_spans,
     "op6_embedding_neardup": neardup.op6_embedding_neardup,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_quality": quality.op8_quality,
