@@ -275,8 +275,8 @@ def _compare(share):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+def _roots(docs: DataFrame, k: int, share) -> tuple[Join, DataFrame]:
+    """The join and (node, root) of the nodes that link."""
     join = Join(docs, k, share)
     lists = join.lists()
     first = lists.filter("node <> head").filter(join.close(F.col("n"), F.col("head_n")))
@@ -286,6 +286,12 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFram
     if not more.isEmpty():
         star = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(star.unionByName(more))
+    return join, roots
+
+
+def jaccard_components(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    join, roots = _roots(docs, k, share)
     rows = join.rows
     rooted = rows.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = stored(rooted.filter("node IS NOT NULL").select("doc_id", "n", "root"), "sets-roots")
@@ -295,6 +301,33 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFram
     return named.unionByName(alone)
 
 
+def deduplicated(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFrame:
+    """``docs`` with one row of each component: least id (nulls last), then least set name, then any of alike rows.
+
+    Rows without words all stay.
+    """
+    join, roots = _roots(docs, k, share)
+
+    @F.pandas_udf("long")
+    def name_of(texts: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.nulls(len(texts)), pa.Array.from_pandas(texts, type=pa.large_string())], names=["", "text"])
+        return pd.Series([_digest(s) if len(s) else None for _, sets in _sets(batch, k) for s in sets], dtype="Int64")
+
+    rooted = join.rows.filter("node IS NOT NULL").join(roots.hint("merge"), "node", "left")
+    rooted = stored(rooted.select("doc_id", "node", F.coalesce("root", "node").alias("root")).distinct(), "sets-roots")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node"))
+    heads = rooted.groupBy("root").agg(least.alias("head"))
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("~")).alias("__id")
+    gone = rooted.join(heads.hint("merge"), "root").filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("node") == F.col("head.node")))
+    )
+    keyed = docs.select("*", name("doc_id"), name_of(F.col("text").cast("string")).alias("__node"))
+    left = keyed.join(gone.select(name("doc_id"), F.col("node").alias("__node")).hint("merge"), ["__id", "__node"], "left_anti")
+    # Alike rows: one stays; rows without words are told apart.
+    alone = left.withColumn("__node", F.coalesce("__node", F.monotonically_increasing_id()))
+    return alone.dropDuplicates(["__id", "__node"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from forgelake.llm import fingerprints, jaccard, langid, mixing, neardup, quality, repeats, secret_scan, toxicity
+from forgelake.llm import fingerprints, jaccard, langid, mixing, neardup, packing, quality, repeats, secret_scan, toxicity
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_language_id": langid.op3_language_id,
     "op4_toxicity": toxicity.op4_toxicity,

@@ -22,10 +22,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import span_hashes, stored, table, text_chunks
+from forgelake.llm.common import span_hashes, table, text_chunks
 
 LENGTH = 50
 GRAM = 16
@@ -111,6 +112,7 @@ def _cut(shards: int):
                 rest = order[doc[order] == smallest]
                 out = {"shard": [], "doc": [], "text_hash": [], "spans": [], "size": [], "body": []}
                 _spans_out(out, doc[again], th[again], start[again], start[again] + count[again] + LENGTH - 1)
+                out["shard"] = [x % shards for x in out["doc"]]  # spans pass through any shard
                 shard = (owner[rest] >> np.uint64(11)).astype(np.int64) % shards
                 by = np.argsort(shard, kind="stable")
                 rest, shard = rest[by], shard[by]
@@ -205,7 +207,12 @@ def _repeated(doc, count, body, base) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan(tbl: pa.Table) -> pa.Table:
-    """One shard: packed runs to the spans that repeat."""
+    """One shard: packed runs to the spans that repeat; spans found before pass through."""
+    tbl = tbl.combine_chunks()
+    ready = tbl.filter(pa.compute.is_valid(tbl["spans"])).select(["doc", "text_hash", "spans"])
+    tbl = tbl.filter(pa.compute.is_valid(tbl["body"]))
+    if not tbl.num_rows:
+        return ready
     parts = [_unpack(pa.decompress(b.as_buffer(), s.as_py(), "zstd").to_pybytes()) for b, s in zip(tbl["body"], tbl["size"], strict=True)]
     doc, th, start, count, owner = (np.concatenate([p[i] for p in parts]) for i in range(5))
     body = np.concatenate([p[5] for p in parts])
@@ -246,7 +253,7 @@ def _scan(tbl: pa.Table) -> pa.Table:
             spans.append(np.stack([who, start[who] + low[k], start[who] + high[k]], 1))
         s = np.concatenate(spans)
         _spans_out(out, doc[s[:, 0]], th[s[:, 0]], s[:, 1], s[:, 2])
-    return pa.Table.from_batches([_batch(out)])
+    return pa.concat_tables([ready, pa.Table.from_batches([_batch(out)])])
 
 
 def _digests(body: np.ndarray, base: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -292,11 +299,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A byte lies in about LENGTH / run + 1 runs.
     shards = max(1, -(-4 * size // SHARD_BYTES))
-    mapped = d.mapInArrow(_cut(shards), MAPPED)
-    mapped = stored(mapped, "repeat-runs")
-    found = mapped.filter("shard IS NOT NULL").groupBy("shard").applyInArrow(_scan, "doc long, text_hash long, spans binary")
-    spans = mapped.filter("shard IS NULL").select("doc", "text_hash", "spans").unionByName(found)
-    spans = spans.groupBy("doc", "text_hash").agg(F.collect_list("spans").alias("spans"))
+    found = d.mapInArrow(_cut(shards), MAPPED).groupBy("shard").applyInArrow(_scan, "doc long, text_hash long, spans binary")
+    spans = found.groupBy("doc", "text_hash").agg(F.collect_list("spans").alias("spans"))
     keyed = d.withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))
     joined = keyed.join(spans.hint("merge"), ["doc", "text_hash"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_remove, KEPT)
