@@ -16,7 +16,9 @@ Defined cases: a null or empty text is the single id ``END``; null and repeated
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ from forgelake.session import scratch_path
 WINDOW = 4096
 END = 2
 VOCABULARY = 1 << 16
+#: Fixed value: the tokenizer's own cut of a word, for lower-case ASCII.
+ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 SHARD_TOKENS = 1 << 20
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
@@ -60,34 +64,54 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(file)
-        self.model = self.whole.model
-        self.letters = _byte_letters()
+        self.model = self.whole.model.tokenize
+        self.letters = {b: c for b, c in _byte_letters().items() if chr(b) != c or b > 126}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHED:
             self.clear()
-        core = word.rstrip(b".,")
-        if core and len(core) < len(word) and core[-1:].isalpha():
-            out = self[core] + self[word[len(core) :]]
+        if word.isascii():
+            parts = ASCII_PARTS.findall(word)
+            out = self._model(word.decode()) if len(parts) == 1 and word.isalnum() else b"".join(map(self._part, parts))
         else:
             out = self._encode(word)
         self[word] = out
         return out
 
+    def _part(self, part: bytes) -> bytes:
+        """Token ids of one part of a word, which the tokenizer never joins with its neighbours."""
+        out = self.get(part)
+        if out is None:
+            out = self[part] = self._model(part.decode()) if part.isalnum() else self._whole(part.decode())
+        return out
+
+    def _model(self, letters: str) -> bytes:
+        return array("H", [t.id for t in self.model(letters)]).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return array("H", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+
     def _encode(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
+        core = word.rstrip(b".,")
+        text = core.decode("utf-8", "replace")
         low = text.lower()
-        if low.isalpha() and max(low) < "԰" and not set("Σİ") & set(text) and unicodedata.is_normalized("NFC", text):
-            ids = [t.id for t in self.model.tokenize("".join(self.letters[b] for b in low.encode()))]
-        else:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u2").tobytes()
+        # Letters whose lower case and composition are beyond doubt go to the model at once.
+        if low.isalpha() and max(low) < "\u0530" and "\u03a3" not in text and "\u0130" not in text and unicodedata.is_normalized("NFC", text):
+            out = self.get(low.encode())
+            if out is None:
+                out = self._model(low.encode().decode("latin-1").translate(self.letters))
+            return out + self._part(word[len(core) :]) if len(core) < len(word) else out
+        return self._whole(word.decode("utf-8", "replace"))
 
     def ids(self, text: bytes) -> np.ndarray:
         if b"<|" in text:  # special tokens are looked for in the raw text
             ids = np.array(self.whole.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2")
         else:
-            ids = np.frombuffer(b"".join(map(self.__getitem__, text.lower().split())), "<u2")
+            words = text.lower().split()
+            found = list(map(self.get, words))
+            if None in found:
+                found = [self[w] if x is None else x for w, x in zip(words, found, strict=True)]
+            ids = np.frombuffer(b"".join(found), "<u2")
         return np.append(ids, np.uint16(END))
 
 
@@ -102,6 +126,8 @@ def _tokenize(file: str):
         if file not in cache:
             cache[file] = Words(file)
         words: Words = cache[file]
+        ids = np.arange(VOCABULARY, dtype=np.uint64)
+        hashes = np.stack([(mix64(ids + np.uint64(s << 32)) >> np.uint64(1)).astype(np.int64) for s in (1, 2)], 1)
         part = TaskContext.get().partitionId()
         piece = part << 40
         frequency = np.zeros(VOCABULARY, np.uint32)
@@ -119,8 +145,8 @@ def _tokenize(file: str):
                     full = len(chunk) == WINDOW
                     near = (0, 0)
                     if not full:
-                        t = np.unique(chunk).astype(np.uint64)
-                        near = tuple(int((mix64(t + np.uint64(s << 32)) >> np.uint64(1)).min()) for s in (1, 2))
+                        h = hashes[terms if not start else np.unique(chunk)]
+                        near = (int(h[:, 0].min()), int(h[:, 1].min()))
                     for column, value in zip(out, ("window" if full else "rest", piece, doc_id, start, len(ids), *near, chunk.tobytes()), strict=True):
                         column.append(value)
                     piece += 1
