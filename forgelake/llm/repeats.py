@@ -23,15 +23,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import span_hashes, table, text_chunks
+from forgelake.llm.common import row_chunks, span_hashes, table, text_chunks
 
 LENGTH = 50
-GRAM = 16
+GRAM = 6
 #: Text handled at once by a map task, run bytes in a shard, runs in a batch of a shard.
-MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 4 << 20, 16 << 20, 4096
+MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 8 << 20, 16 << 20, 8192
 LAST = (1 << 63) - 1
 
 
@@ -62,51 +63,67 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row[first], first, np.minimum(next_first, next_stop) - first, least[first]
 
 
-def _alike(owner: np.ndarray, digest: np.ndarray, size: np.ndarray, doc: np.ndarray):
+def _alike(digest: np.ndarray, size: np.ndarray, doc: np.ndarray):
     """Collapse runs with the same bytes: (order, group of each in order, first of each group); least document first."""
-    order = np.lexsort((doc, size, digest, owner))
-    o, d, s = owner[order], digest[order], size[order]
-    new = np.r_[True, (o[1:] != o[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1])] if len(order) else np.zeros(0, bool)
+    order = np.lexsort((doc, size, digest))
+    d, s = digest[order], size[order]
+    new = np.r_[True, (d[1:] != d[:-1]) | (s[1:] != s[:-1])] if len(order) else np.zeros(0, bool)
     return order, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of many spans, one after another."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The bytes of many spans, one after another."""
-    total = int(sizes.sum())
-    at = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
-    return data[at]
+    return data[_spread(starts, sizes)]
 
 
 MAPPED = "shard long, doc long, text_hash long, spans binary, size long, body binary"
 
 
-def _pack(doc, text_hash, start, count, owner, data, first) -> bytes:
-    body = _gather(data, first, count + LENGTH - 1)
-    head = np.array([len(doc)], np.int64).tobytes()
-    return b"".join(
-        [head, doc.tobytes(), text_hash.tobytes(), start.astype(np.int64).tobytes(), count.astype(np.int64).tobytes(), owner.tobytes(), body.tobytes()]
-    )
+def _pack(row, start, count, doc, text_hash, data, first) -> bytes:
+    """Runs (sorted by row) with the rows' ids, and their bytes."""
+    rows, at = np.unique(row, return_inverse=True)
+    sizes = np.array([len(rows), len(row)], np.int64)
+    columns = [doc[rows], text_hash[rows], np.diff(at, prepend=0).astype(np.int32), start.astype(np.int64), count.astype(np.int64)]
+    columns += [_gather(data, first, count + LENGTH - 1)]
+    return b"".join([sizes.tobytes(), *[np.frombuffer(c.tobytes(), np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]])
 
 
 def _unpack(blob: bytes):
-    n = int(np.frombuffer(blob, np.int64, 1)[0])
-    columns = [np.frombuffer(blob, t, n, 8 + 8 * n * i) for i, t in enumerate((np.int64, np.int64, np.int64, np.int64, np.uint64))]
-    return *columns, np.frombuffer(blob, np.uint8, offset=8 + 40 * n)
+    n, m = np.frombuffer(blob, np.int64, 2).tolist()
+    out, at = [], 16
+    for size, kind in ((n, np.int64), (n, np.int64), (m, np.int32), (m, np.int64), (m, np.int64)):
+        width = np.dtype(kind).itemsize  # byte planes: the high bytes lie together and cost next to nothing
+        out.append(np.frombuffer(blob, np.uint8, size * width, at).reshape(width, size).T.copy().view(kind).ravel())
+        at += size * width
+    which = np.cumsum(out[2])
+    return out[0][which], out[1][which], out[3], out[4], np.frombuffer(blob, np.uint8, offset=at)
 
 
 def _cut(shards: int):
     """(doc_id, text_hash, text) to packed runs by shard, and the spans that repeat within the batch."""
 
     def run(batches):
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
             hashes = batch.column(1).to_numpy(zero_copy_only=False)
             for i, _, data, offsets in text_chunks(batch.column(2), MAP_BYTES):
-                row, first, count, owner = runs(data, offsets)
-                if not len(row):
+                parts = []
+                for a, b in row_chunks(offsets):  # the hashing needs many times a piece's size
+                    piece = data[offsets[a] : offsets[b]]
+                    row, first, count, owner = runs(piece, offsets[a : b + 1] - offsets[a])
+                    if len(row):
+                        digest = span_hashes(piece, first, first + count + LENGTH - 1)
+                        parts.append((row + a, first + offsets[a], count, owner, digest))
+                if not parts:
                     continue
+                row, first, count, owner, digest = (np.concatenate(x) for x in zip(*parts, strict=True))
                 doc, th, start = ids[i + row], hashes[i + row], first - offsets[row]
-                order, group, heads = _alike(owner, span_hashes(data, first, first + count + LENGTH - 1), count, doc)
+                order, group, heads = _alike(digest, count, doc)
                 smallest = doc[order][heads][group]
                 again = order[doc[order] > smallest]
                 rest = order[doc[order] == smallest]
@@ -119,8 +136,8 @@ def _cut(shards: int):
                 edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(rest) else np.zeros(1, np.int64)
                 for a, b in zip(edges[:-1], edges[1:], strict=True):
                     p = np.sort(rest[a:b])
-                    raw = _pack(doc[p], th[p], start[p], count[p], owner[p], data, first[p])
-                    for name, value in zip(out, (int(shard[a]), None, None, None, len(raw), pa.compress(raw, "zstd", asbytes=True)), strict=True):
+                    raw = _pack(row[p], start[p], count[p], ids[i:], hashes[i:], data, first[p])
+                    for name, value in zip(out, (int(shard[a]), None, None, None, len(raw), squeeze.compress(raw)), strict=True):
                         out[name].append(value)
                 yield _batch(out)
 
@@ -182,6 +199,7 @@ class Levels:
 def _repeated(doc, count, body, base) -> tuple[np.ndarray, np.ndarray]:
     """(run, window) of the windows that a smaller document holds; runs sorted by document."""
     index, runs_hit, windows_hit = Levels(), [], []
+    twice = _hashed_twice(body, base, count)
     j = 0
     while j < len(doc):
         i, j = j, min(j + BATCH_RUNS, len(doc))
@@ -191,6 +209,10 @@ def _repeated(doc, count, body, base) -> tuple[np.ndarray, np.ndarray]:
         which = np.repeat(np.arange(i, j), size)
         place = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
         at = base[which] + place
+        likely = twice(at)  # a window whose hash is met once can't repeat
+        which, place, at = which[likely], place[likely], at[likely]
+        if not len(at):
+            continue
         text = np.lib.stride_tricks.sliding_window_view(body, LENGTH)[at].copy().view(f"S{LENGTH}").ravel()
         order = np.argsort(text, kind="stable")  # the batch's suffix array; equal suffixes in document order
         text, owner = text[order], doc[which[order]]
@@ -206,6 +228,27 @@ def _repeated(doc, count, body, base) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(runs_hit), np.concatenate(windows_hit)) if runs_hit else (z, z)
 
 
+def _hashed_twice(body: np.ndarray, base: np.ndarray, count: np.ndarray):
+    """A test of window places: whether another window of these runs has the same hash."""
+    hashes = np.zeros(len(body), np.uint64)
+    inside = np.zeros(len(body), bool)
+    inside[_spread(base, count)] = True
+    for a in range(0, len(body) - LENGTH + 1, 1 << 20):
+        b = min(a + (1 << 20), len(body) - LENGTH + 1)
+        at = np.arange(b - a)
+        hashes[a:b] = span_hashes(body[a : b + LENGTH - 1], at, at + LENGTH)
+    ordered = np.sort(hashes[inside])
+    several = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(several):
+        return lambda at: np.zeros(len(at), bool)
+
+    def twice(at: np.ndarray) -> np.ndarray:
+        h = hashes[at]
+        return several[np.minimum(np.searchsorted(several, h), len(several) - 1)] == h
+
+    return twice
+
+
 def _scan(tbl: pa.Table) -> pa.Table:
     """One shard: packed runs to the spans that repeat; spans found before pass through."""
     tbl = tbl.combine_chunks()
@@ -213,20 +256,14 @@ def _scan(tbl: pa.Table) -> pa.Table:
     tbl = tbl.filter(pa.compute.is_valid(tbl["body"]))
     if not tbl.num_rows:
         return ready
-    parts = [_unpack(pa.decompress(b.as_buffer(), s.as_py(), "zstd").to_pybytes()) for b, s in zip(tbl["body"], tbl["size"], strict=True)]
-    doc, th, start, count, owner = (np.concatenate([p[i] for p in parts]) for i in range(5))
-    body = np.concatenate([p[5] for p in parts])
+    squeeze = zstandard.ZstdDecompressor()
+    parts = [_unpack(squeeze.decompress(b.as_buffer(), max_output_size=s.as_py())) for b, s in zip(tbl["body"], tbl["size"], strict=True)]
+    doc, th, start, count, body = (np.concatenate([p[i] for p in parts]) for i in range(5))
     del parts
     base = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
     out = {"doc": [], "text_hash": [], "spans": []}
-    # Runs whose owner no other document has are done.
-    order = np.lexsort((doc, owner))
-    edges = np.flatnonzero(np.r_[True, owner[order][1:] != owner[order][:-1], True])
-    shared = np.repeat(doc[order][edges[:-1]] != doc[order][edges[1:] - 1], np.diff(edges))
-    keep = np.sort(order[shared])
-    doc, th, start, count, owner, base = (x[keep] for x in (doc, th, start, count, owner, base))
     if len(doc):
-        order, group, heads = _alike(owner, _digests(body, base, count), count, doc)
+        order, group, heads = _alike(_digests(body, base, count), count, doc)
         smallest = doc[order][heads][group]
         again, rest = order[doc[order] > smallest], order[doc[order] == smallest]
         # Of equal runs in one document one is scanned, and stands for all.
