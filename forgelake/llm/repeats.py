@@ -32,7 +32,7 @@ from forgelake.llm.common import row_chunks, span_hashes, table, text_chunks
 LENGTH = 50
 GRAM = 6
 #: Text handled at once by a map task, run bytes in a shard, runs in a batch of a shard.
-MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 8 << 20, 16 << 20, 8192
+MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 8 << 20, 8 << 20, 8192
 LAST = (1 << 63) - 1
 
 
@@ -307,17 +307,25 @@ def _digests(body: np.ndarray, base: np.ndarray, count: np.ndarray) -> np.ndarra
     return out
 
 
+def _squeezed(batches):
+    """Texts as they cross the last shuffle."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [squeeze.compress(t.as_buffer() or b"") for t in batch.column(2).cast(pa.large_binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["doc_id", "text_hash", "text"])
+
+
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _remove(batches):
-    """(doc_id, text, spans) to what is left of each text."""
+    """(doc_id, squeezed text, spans) to what is left of each text."""
+    squeeze = zstandard.ZstdDecompressor()
     for batch in batches:
         ids, spans = batch.column(0), batch.column(2)
         rows = []
-        texts = batch.column(1).cast(pa.large_binary())
         for i in range(batch.num_rows):
-            text = texts[i].as_py() or b""
+            text = squeeze.decompress(batch.column(1)[i].as_py())
             lists = spans[i].as_py() or []
             pairs = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in lists]) if lists else np.zeros((0, 2), np.int64)
             pairs = _merged(pairs[np.argsort(pairs[:, 0], kind="stable")])
@@ -338,7 +346,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     shards = max(1, -(-4 * size // SHARD_BYTES))
     found = d.mapInArrow(_cut(shards), MAPPED).groupBy("shard").applyInArrow(_scan, "doc long, text_hash long, spans binary")
     spans = found.groupBy("doc", "text_hash").agg(F.collect_list("spans").alias("spans"))
-    keyed = d.withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))
+    small = d.mapInArrow(_squeezed, "doc_id long, text_hash long, text binary")
+    keyed = small.withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))
     joined = keyed.join(spans.hint("merge"), ["doc", "text_hash"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_remove, KEPT)
 
