@@ -34,7 +34,8 @@ WORDS = 4
 #: Links need SHARE[0] * union <= SHARE[1] * intersection.
 SHARE = (85, 100)
 SKETCH_BITS, SLICES = 20, 64
-CROWD = 1024
+#: Members of a list that are paired row by row at most; longer lists are compared in pieces of CROWD.
+FEW, CROWD = 16, 1024
 
 
 def _digest(s: np.ndarray) -> int:
@@ -228,7 +229,18 @@ class Join:
         """Pairs that share a list, lie in different components and were not tried: (a, b), distinct."""
         at = lists.join(roots.select("node", "root").hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         others = at.filter("node <> head")
-        mixed = others.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).filter("x <> y")
+        name = [F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")]
+        mixed = others.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), *name)
+        # Lists with the same members (the shingles of one passage) are compared once.
+        mixed = mixed.filter("x <> y").groupBy("size", "s", "t").agg(F.min("shingle").alias("shingle"))
+        mixed = stored(mixed, "sets-mixed")
+        members = others.select("shingle", "node", "n", "root")
+        few = members.join(mixed.filter(F.col("size") <= FEW).select("shingle").hint("merge"), "shingle")
+        other = few.select("shingle", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+        apart = (F.col("node") < F.col("node_b")) & (F.col("root") != F.col("root_b"))
+        paired = few.join(other.hint("merge"), "shingle").filter(apart & self.close(F.col("n"), F.col("n_b")))
+        paired = paired.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+        mixed = mixed.filter(F.col("size") > FEW)
         pieces = F.ceil(F.col("size") / CROWD).cast("int")
         placed = others.join(mixed.select("shingle", pieces.alias("pieces")).hint("merge"), "shingle")
         placed = placed.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
@@ -238,7 +250,7 @@ class Join:
         )
         wide = placed.join(self.short.select("node", "short").hint("merge"), "node")
         found = wide.groupBy("shingle", "first", "second").applyInPandas(_compare(self.share), "a long, b long")
-        return stored(found.distinct(), "sets-between")
+        return stored(paired.unionByName(found).distinct(), "sets-between")
 
 
 def _whole_sets_of(k: int):
@@ -257,20 +269,39 @@ def _whole_sets_of(k: int):
 
 
 def _compare(share):
-    """Members of one list (or of two of its pieces): pairs of different components whose merged parts leave room."""
+    """Members of one list (or of two of its pieces): pairs of different components whose merged parts leave room.
+
+    ``may_link`` for all pairs at once: occurrences in the members' common lists are counted by matrix products.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("node").sort_values("n", ignore_index=True)
+        pdf = pdf.drop_duplicates("node").sort_values(["n", "node"], ignore_index=True)
         node, n, root, piece = (pdf[c].to_numpy() for c in ("node", "n", "root", "piece"))
         short = [np.asarray(x, np.int64).view(np.uint64) for x in pdf["short"]]
-        across = pdf["first"].iloc[0] != pdf["second"].iloc[0]
-        out = []
-        for i in range(len(pdf)):
-            end = int(np.searchsorted(n, n[i] * share[1] // share[0], "right"))
-            for j in range(i + 1, end):
-                if root[i] != root[j] and not (across and piece[i] == piece[j]) and may_link(int(n[i]), int(n[j]), short[i], short[j], share):
-                    out.append((min(node[i], node[j]), max(node[i], node[j])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+        size = np.array([len(x) for x in short])
+        who = np.repeat(np.arange(len(short)), size)
+        _, key, met = np.unique(np.concatenate(short), return_inverse=True, return_counts=True)
+        several = met > 1
+        column = np.cumsum(several) - 1
+        who, key = who[several[key]], column[key[several[key]]]
+        order = np.argsort(key, kind="stable")
+        who, key = who[order], key[order]
+        common = np.zeros((len(short), len(short)), np.float32)
+        for a in range(0, int(several.sum()), 2048):
+            i, j = np.searchsorted(key, [a, a + 2048])
+            holds = np.zeros((len(short), 2048), np.float32)
+            holds[who[i:j], key[i:j] - a] = 1
+            common += holds @ holds.T
+        last = np.array([x[-1] for x in short])
+        merged = np.stack([np.searchsorted(x, last, "right") for x in short])  # shingles of a row up to the other's last
+        both = n[:, None] + n[None, :]
+        most = both - 2 * (-(-share[0] * both // (share[0] + share[1])))
+        ok = merged + merged.T - 2 * common <= most
+        ok &= (root[:, None] != root[None, :]) & (share[0] * n[None, :] <= share[1] * n[:, None])
+        if pdf["first"].iloc[0] != pdf["second"].iloc[0]:
+            ok &= piece[:, None] != piece[None, :]
+        i, j = np.nonzero(np.triu(ok, 1))
+        return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
 
     return run
 
