@@ -50,19 +50,6 @@ def _layers(spark: SparkSession, sf_dir: str, materialize="shared") -> Layers:
     return Layers(spark, fixture_staging(spark, sf_dir), materialize=materialize)
 
 
-def _flat_raw(dated: DataFrame) -> DataFrame:
-    return dated.select(
-        F.col("id").alias("event_id"),
-        "type",
-        "created_at",
-        "date",
-        "month",
-        "year",
-        F.col("repo.name").alias("repo_name"),
-        F.col("actor.login").alias("actor_login"),
-    )
-
-
 # --- sources ---------------------------------------------------------------------
 
 def q_raw_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +82,7 @@ def q_classify_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_raw(fixture_staging(spark, sf_dir)["bot_events"])
+    return stg.staging_events(fixture_staging(spark, sf_dir)["bot_events"])
 
 
 def _staging(name: str) -> Callable[[SparkSession, str], DataFrame]:

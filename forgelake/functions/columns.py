@@ -52,14 +52,15 @@ def event_date_parts(created_at: Column, created_at_type: T.DataType) -> dict[st
     Raw archive times are ISO-8601 strings.  ``date`` is cut from the string
     itself (the UTC day as written), and ``created_at`` becomes the UTC
     wall-clock time as ``timestamp_ntz``: the instant is parsed honouring any
-    offset, then shifted from the session zone to UTC.  Malformed strings give
+    offset, and counted from the UTC epoch.  Malformed strings give
     NULL instead of failing the job (ANSI mode is on in Spark 4).
 
     An already typed timestamp (the driver fixture) is used as is.
     """
     if isinstance(created_at_type, T.StringType):
         instant = F.try_to_timestamp(created_at)
-        ts = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+        # From the epoch, not by way of the session's wall time, which is ambiguous when clocks go back.
+        ts = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
         date = F.call_function("try_to_date", created_at)
     else:
         ts = created_at.cast("timestamp_ntz")

@@ -30,7 +30,7 @@ from forgelake.session import scratch_path
 from forgelake.sinks import parquet as sink
 from forgelake.sources import fixture
 from forgelake.sources.raw import month_glob, read_raw
-from forgelake.sources.tables import read_table, since, since_month
+from forgelake.sources.tables import read_table, since_month
 
 BOT_EVENTS = "bot_events"
 
@@ -101,7 +101,7 @@ class Warehouse:
         return checks.quality_report({name: self.read(name) for name in ASSETS})
 
 
-def _run_all(tasks: dict[str, Callable[[], None]], parallel: int) -> dict[str, float]:
+def _run_all(spark: SparkSession, tasks: dict[str, Callable[[], None]], parallel: int) -> dict[str, float]:
     """Run independent Spark actions, up to ``parallel`` at a time; seconds per task.
 
     Each action is its own Spark job; submitting independent ones from
@@ -111,6 +111,8 @@ def _run_all(tasks: dict[str, Callable[[], None]], parallel: int) -> dict[str, f
 
     def timed(item):
         name, fn = item
+        if parallel > 1:  # FAIR shares executors between pools, not inside one
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         t0 = time.perf_counter()
         fn()
         return name, time.perf_counter() - t0
@@ -143,7 +145,7 @@ def write_staging(
     tasks = {name: table(name) for name in STAGING_NAMES}
     if BOT_EVENTS in frames:
         tasks[BOT_EVENTS] = bots
-    return _run_all(tasks, parallel)
+    return _run_all(warehouse.spark, tasks, parallel)
 
 
 @dataclass
@@ -154,7 +156,8 @@ class Lookback:
     as_of: dt.date
 
     def daily(self, df: DataFrame) -> DataFrame:
-        return since(df, self.days, self.as_of)
+        # Rows without a date belong to no window: every run takes them, the merge replaces them by key.
+        return df.filter((F.col("date") >= F.lit(self.as_of - dt.timedelta(days=self.days))) | F.col("date").isNull())
 
     def monthly(self, df: DataFrame) -> DataFrame:
         start = (self.as_of - dt.timedelta(days=self.days)).replace(day=1)
@@ -217,9 +220,12 @@ def run_assets(
 
             # Builders end in a group-by or dedup on the key, and the unique_key check
             # below covers the result, so the merge skips its own source key pass.
-            sink.merge_into(
+            outcome = sink.merge_into(
                 spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check, observe=observe
             )
+            if outcome.get("empty"):  # nothing was written, so no metric was observed
+                report.rows[name] = 0
+                return
             report.rows[name] = built.get["rows"]
             if check:
                 if metrics:
@@ -239,7 +245,7 @@ def run_assets(
         names = [n for n in wave if n in needed]
         if not names:
             continue
-        report.seconds.update(_run_all({n: one(n) for n in names}, parallel))
+        report.seconds.update(_run_all(spark, {n: one(n) for n in names}, parallel))
         if strict and report.failures:
             raise checks.QualityCheckError(f"quality checks failed: {report.failures}")
     return report
@@ -257,12 +263,13 @@ def run_month(
 ) -> RunReport:
     """The monthly job: one archive month -> staging (partition overwrite) -> medallion run.
 
-    Re-running a month replaces exactly that month's staging partitions.  By
+    Staging partitions are event dates: a re-run replaces every date that the
+    month's folder holds, rows of other months with such a date included.  By
     default the assets recompute their whole history (the source pipeline's
-    behaviour); ``incremental`` recomputes from the month's first day on and
-    merges, which leaves the same tables at a fraction of the cost.
+    behaviour); ``incremental`` recomputes from the month's first day on, and
+    rows without a date, and merges; groups that no longer arise stay.
     """
-    frames = stage_raw(spark, read_raw(spark, month_glob(raw_base, year, month)))
+    frames = stage_raw(spark, read_raw(spark, month_glob(raw_base, year, month)), persist_base=True)
     staging_seconds = write_staging(warehouse, frames)
     if incremental:
         run_options["lookback"] = Lookback(days=0, as_of=dt.date(year, month, 1))

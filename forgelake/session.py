@@ -46,12 +46,14 @@ def build_session(master: str | None = None, app: str = "forgelake", conf: dict[
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a fresh local one only when the session names none."""
+    """The shared checkpoint folder; a fresh local one only when a local session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
+    if not current and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
     if not current:
         # Core configs cannot change at runtime; the context's checkpoint dir can.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="forgelake-ckpt-"))

@@ -159,10 +159,7 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
 
 def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec, label: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, f"{spec.name}-{label}")
-    w = conform(df, spec).write.mode("errorifexists")
-    if spec.partition_by:
-        w = w.partitionBy(*spec.partition_by)
-    w.parquet(path)
+    _writer(df, spec, "errorifexists").parquet(path)  # rebalanced, so files don't grow as tasks times dates
     return path, read_table(spark, path, spec)
 
 
@@ -290,6 +287,8 @@ def merge_into(
     target = read_table(spark, path, spec)
     source_keys = staged.select(*keys)
 
+    if staged.isEmpty():
+        return {"partitions": 0, "empty": 1}
     if not parts:
         if insert_only:
             append(written(staged.join(target.select(*keys), keys, "left_anti")), path, spec)
