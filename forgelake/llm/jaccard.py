@@ -214,19 +214,22 @@ class Join:
             pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "n_a", "n_b", "short_a", "short_b")
         )
         likely = stored(likely.mapInArrow(_check_short(self.share), "a long, b long"), "sets-likely")
-        wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        sets = self.whole(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct())
+        whole = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+        both = likely.join(whole("a").hint("merge"), "a").join(whole("b").hint("merge"), "b").select("a", "b", "set_a", "set_b")
+        return stored(both.mapInArrow(_check_sets(self.share), "a long, b long"), "sets-links")
+
+    def whole(self, wanted: DataFrame) -> DataFrame:
+        """(node, set): the whole sets of the wanted nodes, from their texts."""
         # One row of each wanted set, by its smallest id, gives the text.
         from_rows = self.rows.join(wanted.hint("merge"), "node").groupBy("node").agg(F.min("doc_id").alias("least"))
         where = from_rows.select(F.col("node").alias("want"), "least")
         texts = self.docs.join(where.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least"))).select("want", "text")
         sets = texts.select("want", "text").mapInArrow(_whole_sets_of(self.k), "node long, set binary").dropDuplicates(["node"])
-        sets = stored(sets, "sets-whole")
-        whole = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
-        both = likely.join(whole("a").hint("merge"), "a").join(whole("b").hint("merge"), "b").select("a", "b", "set_a", "set_b")
-        return stored(both.mapInArrow(_check_sets(self.share), "a long, b long"), "sets-links")
+        return stored(sets, "sets-whole")
 
     def between(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs that share a list, lie in different components and were not tried: (a, b), distinct."""
+        """Links (a, b) between members of a list that lie in different components, enough to join them all."""
         at = lists.join(roots.select("node", "root").hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         others = at.filter("node <> head")
         name = [F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")]
@@ -248,9 +251,10 @@ class Join:
         placed = placed.select(
             "shingle", "node", "n", "root", "piece", F.least("piece", "with").alias("first"), F.greatest("piece", "with").alias("second")
         )
-        wide = placed.join(self.short.select("node", "short").hint("merge"), "node")
+        placed = stored(placed, "sets-placed")
+        wide = placed.join(self.whole(placed.select("node").distinct()).hint("merge"), "node")
         found = wide.groupBy("shingle", "first", "second").applyInPandas(_compare(self.share), "a long, b long")
-        return stored(paired.unionByName(found).distinct(), "sets-between")
+        return stored(self.linked(paired.distinct()).unionByName(found), "sets-between")
 
 
 def _whole_sets_of(k: int):
@@ -269,39 +273,41 @@ def _whole_sets_of(k: int):
 
 
 def _compare(share):
-    """Members of one list (or of two of its pieces): pairs of different components whose merged parts leave room.
+    """Members of one list (or of two of its pieces) with their whole sets: links that join different components.
 
-    ``may_link`` for all pairs at once: occurrences in the members' common lists are counted by matrix products.
+    Occurrences in common lists are counted by matrix products; of the links a spanning forest is returned,
+    so a dense group costs a row a member, not a row a pair.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("node").sort_values(["n", "node"], ignore_index=True)
         node, n, root, piece = (pdf[c].to_numpy() for c in ("node", "n", "root", "piece"))
-        short = [np.asarray(x, np.int64).view(np.uint64) for x in pdf["short"]]
-        size = np.array([len(x) for x in short])
-        who = np.repeat(np.arange(len(short)), size)
-        _, key, met = np.unique(np.concatenate(short), return_inverse=True, return_counts=True)
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+        who = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        _, key, met = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         several = met > 1
         column = np.cumsum(several) - 1
         who, key = who[several[key]], column[key[several[key]]]
         order = np.argsort(key, kind="stable")
         who, key = who[order], key[order]
-        common = np.zeros((len(short), len(short)), np.float32)
+        common = np.zeros((len(sets), len(sets)), np.float32)
         for a in range(0, int(several.sum()), 2048):
             i, j = np.searchsorted(key, [a, a + 2048])
-            holds = np.zeros((len(short), 2048), np.float32)
+            holds = np.zeros((len(sets), 2048), np.float32)
             holds[who[i:j], key[i:j] - a] = 1
             common += holds @ holds.T
-        last = np.array([x[-1] for x in short])
-        merged = np.stack([np.searchsorted(x, last, "right") for x in short])  # shingles of a row up to the other's last
-        both = n[:, None] + n[None, :]
-        most = both - 2 * (-(-share[0] * both // (share[0] + share[1])))
-        ok = merged + merged.T - 2 * common <= most
-        ok &= (root[:, None] != root[None, :]) & (share[0] * n[None, :] <= share[1] * n[:, None])
+        ok = share[1] * common >= share[0] * (n[:, None] + n[None, :] - common)
+        ok &= root[:, None] != root[None, :]
         if pdf["first"].iloc[0] != pdf["second"].iloc[0]:
             ok &= piece[:, None] != piece[None, :]
-        i, j = np.nonzero(np.triu(ok, 1))
-        return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
+        _, group = np.unique(root, return_inverse=True)
+        out = []
+        for i in range(len(sets)):
+            for j in np.flatnonzero(ok[i, i + 1 :]) + i + 1:
+                if group[i] != group[j]:
+                    out.append((node[i], node[j]))
+                    group[group == group[j]] = group[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
     return run
 
@@ -313,7 +319,7 @@ def _roots(docs: DataFrame, k: int, share) -> tuple[Join, DataFrame]:
     first = lists.filter("node <> head").filter(join.close(F.col("n"), F.col("head_n")))
     links = join.linked(first.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     roots = components(links)
-    more = join.linked(join.between(lists, roots))
+    more = join.between(lists, roots)
     if not more.isEmpty():
         star = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(star.unionByName(more))
