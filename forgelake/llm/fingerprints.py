@@ -44,9 +44,10 @@ def digests(texts: list[bytes]) -> list[np.ndarray]:
     if not len(data):
         return [np.zeros(0, np.uint64) for _ in texts]
     low = lower_ascii(data)
-    starts, ends, _ = word_spans(low, offsets)
+    starts, ends, edges = word_spans(low, offsets)
     word = span_hashes(low, starts, ends) if len(starts) else np.zeros(0, np.uint64)
     again = np.r_[np.zeros(min(1, len(word)), bool), word[1:] == word[:-1]]
+    again[edges[edges < len(word)]] = False  # the first word of a text follows none
     stop = ends[(word % np.uint64(CUT) == 0) | again]
     cuts = np.unique(np.concatenate([offsets, stop, np.flatnonzero(data == 10) + 1]))
     h = span_hashes(data, cuts[:-1], cuts[1:])

@@ -80,7 +80,7 @@ def training_counts(docs: DataFrame, wanted, sample: int = SAMPLE) -> DataFrame:
 
 def model(counts, order: int = ORDER) -> tuple[list[str], list[dict]]:
     """(languages, per order k a table): ``keys`` are the strings of k + 1 bytes that any language has seen;
-    ``cost`` the bits of the last byte after the others, ``escape`` the bits of leaving the string as a context."""
+    ``cost`` the bits of the last byte after the others, ``escape`` the bits of leaving each of the ``contexts``."""
     langs = sorted({r[0] for r in counts})
     tops = []
     for lang in langs:
@@ -91,7 +91,8 @@ def model(counts, order: int = ORDER) -> tuple[list[str], list[dict]]:
         mask = np.uint64((1 << (8 * (k + 1))) - 1)
         shorter = [np.unique(g & mask, return_inverse=True) for g, _ in tops]
         keys = np.unique(np.concatenate([s[0] for s in shorter])) if langs else np.zeros(0, np.uint64)
-        cost, escape = np.empty((len(keys), len(langs))), np.zeros((len(keys), len(langs)))
+        before = np.unique(keys >> np.uint64(8))
+        cost, escape = np.empty((len(keys), len(langs))), np.zeros((len(before), len(langs)))
         for i, (own, inverse) in enumerate(shorter):
             n = np.bincount(inverse, tops[i][1], minlength=len(own))
             contexts, at = np.unique(own >> np.uint64(8), return_inverse=True)
@@ -103,11 +104,10 @@ def model(counts, order: int = ORDER) -> tuple[list[str], list[dict]]:
             cost[:, i] = lower + leave
             cost[np.searchsorted(keys, own), i] = -np.log2(n / (total + kinds)[at])
             if k:
-                places = np.searchsorted(tables[k - 1]["keys"], contexts)
-                tables[k - 1]["escape"][places, i] = -np.log2(kinds / (total + kinds))
+                escape[np.searchsorted(before, contexts), i] = -np.log2(kinds / (total + kinds))
             else:
                 roots[i] = -np.log2(kinds / (total + kinds))[0]
-        tables.append({"keys": keys, "cost": cost, "escape": escape})
+        tables.append({"keys": keys, "cost": cost, "contexts": before, "escape": escape})
     return langs, [{"root": roots}, *tables]
 
 
@@ -127,10 +127,10 @@ def byte_costs(g: np.ndarray, tables: list[dict]) -> np.ndarray:
         out[rest[hit]] += levels[k]["cost"][at[hit]]
         rest, want = rest[~hit], want[~hit]
         if k:  # leave the context of k bytes
-            contexts, below = want >> np.uint64(8), levels[k - 1]["keys"]
-            at = np.minimum(np.searchsorted(below, contexts), len(below) - 1)
-            known = below[at] == contexts
-            out[rest[known]] += levels[k - 1]["escape"][at[known]]
+            contexts, seen = want >> np.uint64(8), levels[k]["contexts"]
+            at = np.minimum(np.searchsorted(seen, contexts), len(seen) - 1)
+            known = seen[at] == contexts
+            out[rest[known]] += levels[k]["escape"][at[known]]
         else:
             out[rest] += root + 8.0
     return out

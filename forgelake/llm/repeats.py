@@ -32,7 +32,7 @@ from forgelake.llm.common import row_chunks, span_hashes, table, text_chunks
 LENGTH = 50
 GRAM = 6
 #: Text handled at once by a map task, run bytes in a shard, runs in a batch of a shard.
-MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 8 << 20, 8 << 20, 8192
+MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 8 << 20, 4 << 20, 4096
 LAST = (1 << 63) - 1
 
 
@@ -290,6 +290,7 @@ def _scan(tbl: pa.Table) -> pa.Table:
             spans.append(np.stack([who, start[who] + low[k], start[who] + high[k]], 1))
         s = np.concatenate(spans)
         _spans_out(out, doc[s[:, 0]], th[s[:, 0]], s[:, 1], s[:, 2])
+    pa.default_memory_pool().release_unused()
     return pa.concat_tables([ready, pa.Table.from_batches([_batch(out)])])
 
 

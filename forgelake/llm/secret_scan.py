@@ -113,6 +113,11 @@ def _high_windows(candidate: Column, window: int, least: float) -> Column:
     return F.aggregate(moves, start, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
+def _placed(start: Column, window: int):
+    """From ends of windows in a candidate to a span of the text."""
+    return lambda w: F.struct((start + w["first"] - window).alias("s"), (start + w["last"]).alias("e"))
+
+
 def _entropy(candidates: Column) -> Column:
     """array<struct<s,e>>: from the first to the last high window of each candidate."""
 
@@ -120,10 +125,8 @@ def _entropy(candidates: Column) -> Column:
         out = F.array().cast("array<struct<s:int,e:int>>")
         for matched, window, least in reversed(CLASSES):
             found = F.transform(
-                F.array(_high_windows(c["m"], window, least)),
-                lambda w, n=window: F.struct((c["s"] + w["first"] - n).alias("s"), (c["s"] + w["last"]).alias("e"), w["last"].alias("hit")),
+                F.filter(F.array(_high_windows(c["m"], window, least)), lambda w: w["last"] > 0), _placed(c["s"], window)
             )
-            found = F.transform(F.filter(found, lambda w: w["hit"] > 0), lambda w: F.struct(w["s"].alias("s"), w["e"].alias("e")))
             out = F.when(c["m"].rlike(matched), found).otherwise(out)
         return out
 

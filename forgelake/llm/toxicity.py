@@ -8,7 +8,7 @@ scaled features gives the score.  The fit uses a bounded sample of the labelled
 
 Defined cases: a null or empty text has no features and scores by the intercept; ids may
 be null (fold 0 of an empty text) or repeated; labels that are null are not learned; with
-one class or no label the score is the class share (0 without labels); an empty table
+learned rows of one class alone every score is that class's, and 0 without any; an empty table
 gives no rows; other columns are ignored (``scored`` keeps them).
 """
 
@@ -63,33 +63,28 @@ def _features(batches):
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(out, pa.binary())], names=["label", "features"])
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, wanted, per_class: int) -> tuple[DataFrame, dict[int, int]]:
-    """At most ``per_class`` labelled rows of each class, least hash first, and the size of each class."""
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, wanted, per_class: int) -> DataFrame:
+    """(label, text) of at most ``per_class`` labelled rows of each class, least hash first."""
     known = (
         labels.filter(F.col(label).isNotNull() & wanted)
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
         .select("doc_id", "label", F.xxhash64(F.lit(label), "doc_id").alias("order"))
     )
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # one row per class
-    parts = [known.filter(F.col("label") == c).orderBy("order").limit(per_class) for c in sorted(sizes)]
-    chosen = parts[0] if parts else known.limit(0)
-    for p in parts[1:]:
-        chosen = chosen.unionByName(p)
+    clean, toxic = (known.filter(F.col("label") == c).orderBy("order").limit(per_class) for c in (0, 1))
+    chosen = clean.unionByName(toxic)
     # classes * per_class rows of two numbers: bounded, so it may be broadcast
-    return docs.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id").select("label", "text"), sizes
+    return docs.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id").select("label", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, wanted, per_class: int = SAMPLE, rounds: int = 120) -> tuple[np.ndarray, float]:
     """(weight of each hashed feature, intercept), r already multiplied in."""
-    sample, sizes = training_sample(docs, labels, label, wanted, per_class)
+    sample = training_sample(docs, labels, label, wanted, per_class)
     weights = np.zeros(1 << BITS, np.float32)
-    total = sum(sizes.values())
-    if sizes.get(0, 0) == 0 or sizes.get(1, 0) == 0:
-        share = sizes.get(1, 0) / total if total else 0.0
-        return weights, 40.0 if share == 1 else -40.0
     rows = sample.mapInArrow(_features, "label int, features binary").collect()  # bounded by per_class
     y = np.array([r["label"] for r in rows], np.float64)
+    if not len(y) or y.min() == y.max():
+        return weights, 40.0 if len(y) and y[0] == 1 else -40.0
     sets = [np.frombuffer(r["features"], np.int32) for r in rows]
     lengths = np.array([len(s) for s in sets])
     which = np.concatenate(sets) if sets else np.zeros(0, np.int32)
