@@ -52,7 +52,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if not current and not sc.master.startswith("local"):
+    if not current and not (spark.conf.get("spark.master", None) or "local").startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
     if not current:
         # Core configs cannot change at runtime; the context's checkpoint dir can.
