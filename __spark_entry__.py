@@ -23,12 +23,12 @@ from forgelake.operators import bronze, reports, silver  # noqa: E402
 from forgelake.operators import staging as stg  # noqa: E402
 from forgelake.plans import checks  # noqa: E402
 from forgelake.plans.assets import ASSETS, Layers  # noqa: E402
-from forgelake.plans.pipeline import fixture_staging  # noqa: E402
+from forgelake.plans.pipeline import Warehouse, fixture_staging, run_assets, staging_frames, write_staging  # noqa: E402
 from forgelake.session import scratch_path  # noqa: E402
 from forgelake.sinks import parquet as sink  # noqa: E402
 from forgelake.sources import fixture  # noqa: E402
 from forgelake.sources.raw import read_raw  # noqa: E402
-from forgelake.sources.tables import read_table, since  # noqa: E402
+from forgelake.sources.tables import read_source_month, read_table, since  # noqa: E402
 
 try:  # the training-data operators are an optional part: the rest stands without them
     from forgelake.llm import queries as llm
@@ -161,6 +161,55 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge_scenario(spark, sf_dir, sink.UPDATE_ALL)
 
 
+def _load_month(spark: SparkSession, sf_dir: str, wh: Warehouse, n: int) -> int:
+    frames = staging_frames(stg.with_event_dates(fixture.month_of(fixture.read_fixture_raw(spark, sf_dir), n)))
+    frames["staging_productivity"] = fixture.with_replayed_pull_requests(frames["staging_productivity"])
+    write_staging(wh, frames, source_month=202400 + n)
+    return 202400 + n
+
+
+def q_rerun_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 as the monthly job uses it: months 1 and 2 loaded, month 1 loaded again; no row of either is lost."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    for n in (1, 2, 1):
+        _load_month(spark, sf_dir, wh, n)
+    spec = specs.STAGING_EVENTS
+    loaded = [202401, 202402]
+    rows = [
+        read_source_month(spark, wh.path(spec.name), spec, m).withColumn("source_month", F.lit(m)) for m in loaded
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+def q_incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + K3: two months, each merged incrementally up to silver, stray and undated rows included."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    for n in (1, 2):
+        month = _load_month(spark, sf_dir, wh, n)
+        # undated rows are meant to be here, so the not_null checks would stop the run
+        run_assets(spark, wh, targets=["silver_developer_activity"], source_month=month, check=False)
+    return wh.read("silver_developer_activity").select(*specs.SPECS["silver_developer_activity"].columns)
+
+
+def q_merge_key_moves_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: a second run carries every event of the moved days to a later date; the old dates end up empty."""
+    spec = specs.BRONZE_EVENTS
+    first = _layers(spark, sf_dir)["bronze_events"]
+    late = F.col("created_at") + F.expr(f"INTERVAL '{oracle.MOVED_BY_DAYS}' DAY")
+    moved = first.filter(F.col("date") >= F.lit(oracle.MOVED_FROM).cast("date")).withColumns(
+        {
+            "created_at": late,
+            "date": late.cast("date"),
+            "month": F.month(late),
+            "year": F.year(late),
+        }
+    )
+    path = scratch_path(spark, spec.name)
+    sink.merge_into(spark, first, path, spec)
+    sink.merge_into(spark, moved, path, spec)
+    return read_table(spark, path, spec).select(*spec.columns)
+
+
 # --- reports -----------------------------------------------------------------------------
 
 def _report(fn, table: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -195,6 +244,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "partition_overwrite_roundtrip": q_partition_overwrite_roundtrip,
             "merge_insert_only": q_merge_insert_only,
             "merge_upsert": q_merge_upsert,
+            "merge_key_moves_partition": q_merge_key_moves_partition,
+            "rerun_month": q_rerun_month,
+            "incremental_months": q_incremental_months,
             "lookback_events": q_lookback_events,
             "rpt_top_developers": _report(reports.top_developers_by_commits, "commit_stats_by_day"),
             "rpt_commits_by_repo": _report(reports.commits_by_repo, "commit_stats_by_day"),

@@ -50,17 +50,12 @@ def bronze_commits(
 def bronze_productivity(
     staging_productivity: DataFrame, bronze: DataFrame, ingested_at: Column | None = None
 ) -> DataFrame:
-    """J2 + P11 + W3: attach the event time, drop empty developers, latest row per (event, developer).
+    """P11 + W3 + J2: drop empty developers, latest row per (event, developer), attach the event time.
 
-    The event time is constant per event_id after the join, so replayed copies
-    always tie and the tie-breakers alone decide.
+    The event time is constant per event_id, so replayed copies always tie and
+    the tie-breakers alone decide: they collapse before the join's shuffle.
     """
     rows = staging_productivity.filter(F.col("developer_login").isNotNull() & (F.col("developer_login") != ""))
-    joined = rows.join(_event_times(bronze), "event_id", "inner")
-    order = [
-        F.col("created_at").desc_nulls_last(),
-        *asc("repo_name", "date", "lines_added", "lines_deleted", "files_changed", "pr_state"),
-    ]
-    return stamp(
-        latest_per_key(joined, ["event_id", "developer_login"], order), BRONZE_PRODUCTIVITY.columns, ingested_at
-    )
+    order = asc("repo_name", "date", "lines_added", "lines_deleted", "files_changed", "pr_state")
+    latest = latest_per_key(rows, ["event_id", "developer_login"], order)
+    return stamp(latest.join(_event_times(bronze), "event_id", "inner"), BRONZE_PRODUCTIVITY.columns, ingested_at)

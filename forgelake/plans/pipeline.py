@@ -30,7 +30,7 @@ from forgelake.session import scratch_path
 from forgelake.sinks import parquet as sink
 from forgelake.sources import fixture
 from forgelake.sources.raw import month_glob, read_raw
-from forgelake.sources.tables import read_table, since_month
+from forgelake.sources.tables import read_source_month, read_table, since_month
 
 BOT_EVENTS = "bot_events"
 
@@ -46,29 +46,18 @@ def staging_frames(base: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-_TEXT_SUFFIXES = (".json", ".jsonl", ".json.gz", ".jsonl.gz", ".gz", ".bz2", ".txt")
-
-
-def _reads_text(df: DataFrame) -> bool:
-    """True when the frame scans text files (costly to parse, often unsplittable)."""
-    return any(f.lower().endswith(_TEXT_SUFFIXES) for f in df.inputFiles())
-
-
-def stage_raw(spark: SparkSession, raw: DataFrame, *, persist_base: bool | None = None) -> dict[str, DataFrame]:
+def stage_raw(spark: SparkSession, raw: DataFrame, *, persist_base: str | None = None) -> dict[str, DataFrame]:
     """Raw events -> staging frames.
 
-    With ``persist_base`` the dated raw records are written once to the
-    scratch folder, so the four outputs read Parquet instead of re-parsing
-    the input.  By default that happens exactly when the input is text (the
-    archive's gzip JSON); a columnar input is cheaper to re-read than to copy.
+    With ``persist_base`` (a new shared folder) the dated raw records are
+    written there once, so the four outputs read Parquet instead of parsing
+    text four times; the caller deletes it when the outputs are written.
+    Leave it out for a columnar input, which is cheaper to re-read than to copy.
     """
     base = stg.with_event_dates(raw)
-    if persist_base is None:
-        persist_base = _reads_text(raw)
     if persist_base:
-        path = scratch_path(spark, "raw-base")
-        base.write.mode("errorifexists").parquet(path)
-        base = spark.read.schema(base.schema).parquet(path)
+        base.write.mode("errorifexists").parquet(persist_base)
+        base = spark.read.schema(base.schema).parquet(persist_base)
     return staging_frames(base)
 
 
@@ -124,22 +113,48 @@ def _run_all(spark: SparkSession, tasks: dict[str, Callable[[], None]], parallel
 
 
 def write_staging(
-    warehouse: Warehouse, frames: dict[str, DataFrame], *, append: bool = False, parallel: int = 4
+    warehouse: Warehouse,
+    frames: dict[str, DataFrame],
+    *,
+    append: bool = False,
+    source_month: int | None = None,
+    parallel: int = 4,
 ) -> dict[str, float]:
-    """Write staging tables (K1 partition overwrite, or K2 append) and the bot side output."""
+    """Write staging tables and the bot side output.
+
+    With ``source_month`` (YYYYMM) the rows form that month's own partition and
+    replace all of it, and no row of another month, whatever dates they carry.
+    Without it: K1 overwrite of the dates present, or K2 append.  A warehouse
+    keeps to one of the two layouts.
+    """
+    if source_month is not None and append:
+        raise ValueError("a source month is replaced, not appended to")
     write = sink.append if append else sink.overwrite_partitions
+    spark = warehouse.spark
 
     def table(name: str) -> Callable[[], None]:
-        return lambda: write(frames[name], warehouse.path(name), specs.SPECS[name])
+        path, spec = warehouse.path(name), specs.SPECS[name]
+        if source_month is None:
+            return lambda: write(frames[name], path, spec)
+        return lambda: sink.replace_month(
+            spark, path, source_month, lambda new: sink.write_table(frames[name], new, spec, "errorifexists")
+        )
 
     def bots() -> None:
+        path = warehouse.path(BOT_EVENTS)
+        if source_month is None:
+            write_bots(path, "append" if append else "overwrite")
+        else:
+            sink.replace_month(spark, path, source_month, lambda new: write_bots(new, "errorifexists"))
+
+    def write_bots(path: str, mode: str) -> None:
         (
             frames[BOT_EVENTS]
             .hint("rebalance", "year", "month", "date")
-            .write.mode("append" if append else "overwrite")
+            .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("year", "month", "date")
-            .parquet(warehouse.path(BOT_EVENTS))
+            .parquet(path)
         )
 
     tasks = {name: table(name) for name in STAGING_NAMES}
@@ -157,7 +172,13 @@ class Lookback:
 
     def daily(self, df: DataFrame) -> DataFrame:
         # Rows without a date belong to no window: every run takes them, the merge replaces them by key.
-        return df.filter((F.col("date") >= F.lit(self.as_of - dt.timedelta(days=self.days))) | F.col("date").isNull())
+        start = self.as_of - dt.timedelta(days=self.days)
+        df = df.filter((F.col("date") >= F.lit(start)) | F.col("date").isNull())
+        if {"year", "month"} <= set(df.columns):
+            # derived from date, so the same cut: it prunes tables laid out by year and month only
+            later = (F.col("year") > start.year) | ((F.col("year") == start.year) & (F.col("month") >= start.month))
+            df = df.filter(later | F.col("year").isNull())
+        return df
 
     def monthly(self, df: DataFrame) -> DataFrame:
         start = (self.as_of - dt.timedelta(days=self.days)).replace(day=1)
@@ -167,6 +188,25 @@ class Lookback:
         return since_month(df, 0, start)
 
 
+def _on_dates(df: DataFrame, dates: set, whole_months: bool) -> DataFrame:
+    """Rows on the given dates (None: without a date), or in the months that hold them."""
+    if not whole_months:
+        return df.filter(sink._partition_filter(["date"], {(d,) for d in dates}))
+    months = {(None, None) if d is None else (d.year, d.month) for d in dates}
+    if "date" in df.columns:  # months as date ranges prune tables laid out by date
+        keep = F.lit(False)
+        for y, m in months:
+            first = None if y is None else F.lit(dt.date(y, m, 1))
+            keep = keep | (F.col("date").isNull() if y is None else F.col("date").between(first, F.last_day(first)))
+        return df.filter(keep)
+    return df.filter(sink._partition_filter(["year", "month"], months))
+
+
+def _upstream(name: str) -> set[str]:
+    deps = {d for d in ASSETS[name].deps if d in ASSETS}
+    return deps.union(*(_upstream(d) for d in deps))
+
+
 @dataclass
 class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)
@@ -182,6 +222,8 @@ def run_assets(
     ingested_at: Column | None = None,
     update: str | tuple = sink.UPDATE_ALL,
     lookback: Lookback | None = None,
+    source_month: int | None = None,
+    keys_can_move: dict[str, bool] | None = None,
     check: bool = True,
     strict: bool = True,
     parallel: int = 4,
@@ -192,7 +234,17 @@ def run_assets(
     earlier waves' tables, so they run side by side.  ``ingested_at``
     defaults to one literal load time for the whole run.  With ``strict`` a
     failing check raises after that wave, before any downstream asset runs.
+
+    ``source_month`` (YYYYMM) makes the run incremental: the first layer reads
+    the staging rows of that month only, whatever their dates, and every later
+    asset recomputes the dates (monthly tables: whole months) that the merges
+    before it rewrote.  Matched keys take the month's version and groups that
+    no longer arise stay: the merge rule, not a rebuild.  ``keys_can_move``
+    goes to :func:`sink.merge_into` by asset name.
     """
+    if lookback is not None and source_month is not None:
+        raise ValueError("lookback and source_month exclude each other")
+    touched: dict[str, set] = {}
     if ingested_at is None:
         ingested_at = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     report = RunReport()
@@ -203,9 +255,14 @@ def run_assets(
 
         def run() -> None:
             inputs = []
+            dates = set().union(*(touched.get(a, set()) for a in _upstream(name)))
             for dep in asset.deps:
                 df = warehouse.read(dep)
-                if lookback is not None:
+                if source_month is not None and dep in STAGING_NAMES:
+                    df = read_source_month(spark, warehouse.path(dep), specs.SPECS[dep], source_month)
+                elif source_month is not None:
+                    df = _on_dates(df, dates, whole_months=not asset.spec.partition_by)
+                elif lookback is not None:
                     df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
                 inputs.append(df)
             # Row count of the build and the per-row checks of what is written are
@@ -221,8 +278,17 @@ def run_assets(
             # Builders end in a group-by or dedup on the key, and the unique_key check
             # below covers the result, so the merge skips its own source key pass.
             outcome = sink.merge_into(
-                spark, result, warehouse.path(name), asset.spec, update, check_source_keys=not check, observe=observe
+                spark,
+                result,
+                warehouse.path(name),
+                asset.spec,
+                update,
+                check_source_keys=not check,
+                keys_can_move=(keys_can_move or {}).get(name),
+                observe=observe,
             )
+            if asset.spec.partition_by:
+                touched[name] = {value[0] for value in outcome["touched"]}
             if outcome.get("empty"):  # nothing was written, so no metric was observed
                 report.rows[name] = 0
                 return
@@ -235,6 +301,8 @@ def run_assets(
                     # Only the window's partitions were rewritten; older ones passed when
                     # written, and merges remove moved keys, so no duplicate can span both.
                     table = lookback.daily(table)
+                elif source_month is not None and asset.spec.partition_by:
+                    table = _on_dates(table, touched[name], whole_months=False)
                 keyed = checks.key_checks(table, asset.spec)
                 if keyed is not None:
                     report.failures.extend(checks.failed(keyed))
@@ -258,21 +326,25 @@ def run_month(
     month: int,
     warehouse: Warehouse,
     *,
-    incremental: bool = False,
+    incremental: bool = True,
     **run_options,
 ) -> RunReport:
-    """The monthly job: one archive month -> staging (partition overwrite) -> medallion run.
+    """The monthly job: one archive month -> staging -> medallion run.
 
-    Staging partitions are event dates: a re-run replaces every date that the
-    month's folder holds, rows of other months with such a date included.  By
-    default the assets recompute their whole history (the source pipeline's
-    behaviour); ``incremental`` recomputes from the month's first day on, and
-    rows without a date, and merges; groups that no longer arise stay.
+    The month is a partition of its own in staging: running it again replaces
+    its rows and no other month's, rows without a date or dated elsewhere
+    included.  ``incremental`` recomputes what that month touches (see
+    :func:`run_assets`); without it the assets recompute their whole history.
     """
-    frames = stage_raw(spark, read_raw(spark, month_glob(raw_base, year, month)), persist_base=True)
-    staging_seconds = write_staging(warehouse, frames)
+    source_month = year * 100 + month
+    base = scratch_path(spark, "raw-base")
+    try:
+        frames = stage_raw(spark, read_raw(spark, month_glob(raw_base, year, month)), persist_base=base)
+        staging_seconds = write_staging(warehouse, frames, source_month=source_month)
+    finally:
+        sink.delete_path(spark, base.rpartition("/")[0])
     if incremental:
-        run_options["lookback"] = Lookback(days=0, as_of=dt.date(year, month, 1))
+        run_options["source_month"] = source_month
     report = run_assets(spark, warehouse, **run_options)
     report.seconds.update(staging_seconds)
     return report

@@ -6,8 +6,8 @@ dynamic partition overwrite:
 * the source is staged once to the scratch folder (its lineage is cut; the
   key check, the partition listing and the merge all read that copy);
 * only partitions the merge touches are read from the target (partition
-  pruning) and rewritten by a dynamic overwrite, which writes to a job
-  staging folder and swaps partitions in only after every read is done;
+  pruning); the merged rows are written to a copy below the table first, then
+  brought in by a dynamic overwrite, so a crash in that commit loses nothing;
 * partitions a merge empties (a key moved to another date) are deleted;
 * unpartitioned tables get a complete new version beside them, swapped in by
   renames, so they are never missing or partial.
@@ -16,6 +16,7 @@ dynamic partition overwrite:
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.session import scratch_path
-from forgelake.sources.tables import read_table
+from forgelake.sources.tables import SOURCE_MONTH, read_table
 from forgelake.specs import TableSpec
 
 HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -62,8 +63,9 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def _versions(path: str) -> tuple[str, str]:
-    base = path.rstrip("/")
-    return f"{base}.__next", f"{base}.__prev"
+    """Hidden siblings (Spark's file listing skips names that start with a dot)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.next", f"{parent}/.{name}.prev"
 
 
 def recover(spark: SparkSession, path: str) -> None:
@@ -79,24 +81,29 @@ def recover(spark: SparkSession, path: str) -> None:
         delete_path(spark, nxt)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, spec: TableSpec) -> None:
-    """Replace a whole table without a window in which it is missing or partial.
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace a whole folder without a window in which a re-run cannot restore it.
 
-    The new version is written completely next to the table (so ``df`` may
-    read the table itself), then two directory renames swap it in.  A crash
-    at any point leaves either the old or the new version in place, and the
-    next :func:`recover` (run by every merge) tidies up.
+    ``write`` puts the new version completely next to the old one (so it may
+    read the old one), then two directory renames swap it in.  A crash at any
+    point leaves either the old or the new version, and the next
+    :func:`recover` (run by every merge) tidies up.
     """
     recover(spark, path)
     nxt, prev = _versions(path)
     delete_path(spark, nxt)
-    write_table(df, nxt, spec, "errorifexists")
+    write(nxt)
     if path_exists(spark, path):
         _rename(spark, path, prev)
     _rename(spark, nxt, path)
     delete_path(spark, prev)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str, spec: TableSpec) -> None:
+    """:func:`replace_folder` with the table's own layout."""
+    replace_folder(spark, path, lambda new: write_table(df, new, spec, "errorifexists"))
+
+
 # --- layout ------------------------------------------------------------------
 
 def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -140,6 +147,25 @@ def overwrite_partitions(df: DataFrame, path: str, spec: TableSpec) -> None:
     _writer(df, spec, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def month_folder(path: str, month: int) -> str:
+    return f"{path.rstrip('/')}/{SOURCE_MONTH}={month}"
+
+
+def replace_month(spark: SparkSession, path: str, month: int, write: Callable[[str], None]) -> None:
+    """Replace everything that one source month put into a staging table, and nothing else.
+
+    Interrupted swaps of other months are settled first, so none stays missing.
+    """
+    fs, root = _fs_path(spark, path)
+    if not fs.exists(root):
+        fs.mkdirs(root)
+    for st in fs.listStatus(root):
+        swap = re.fullmatch(rf"\.({SOURCE_MONTH}=\d+)\.(?:next|prev)", st.getPath().getName())
+        if swap:
+            recover(spark, f"{path.rstrip('/')}/{swap[1]}")
+    replace_folder(spark, month_folder(path, month), write)
+
+
 def append(df: DataFrame, path: str, spec: TableSpec) -> None:
     """K2: add rows; a re-run appends duplicates, which bronze deduplication removes."""
     _writer(df, spec, "append").parquet(path)
@@ -226,6 +252,36 @@ def partition_values(spark: SparkSession, path: str, spec: TableSpec) -> list[tu
     return rows
 
 
+_MERGE = "_merge"  # below the table, skipped by Spark's file listing
+
+
+def _commit_merge(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """Bring the finished copy of merged rows into the table; repeatable until the copy is deleted."""
+    base = f"{path.rstrip('/')}/{_MERGE}"
+    rows = read_table(spark, f"{base}/rows", spec)
+    (
+        # the copy is laid out already: no second shuffle
+        rows.sortWithinPartitions(*spec.partition_by, *spec.cluster_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*spec.partition_by)
+        .parquet(path)
+    )
+    if path_exists(spark, f"{base}/emptied"):
+        for row in spark.read.text(f"{base}/emptied").collect():  # one line a date at most
+            delete_path(spark, f"{path.rstrip('/')}/{row[0]}")
+    delete_path(spark, base)
+
+
+def recover_merge(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """Finish a merge whose copy was complete when its commit broke off; drop an incomplete copy."""
+    base = f"{path.rstrip('/')}/{_MERGE}"
+    if path_exists(spark, f"{base}/rows/_SUCCESS"):
+        _commit_merge(spark, path, spec)
+    else:
+        delete_path(spark, base)
+
+
 def merge_into(
     spark: SparkSession,
     source: DataFrame,
@@ -236,7 +292,7 @@ def merge_into(
     check_source_keys: bool = True,
     keys_can_move: bool | None = None,
     observe: Callable[[DataFrame], DataFrame] | None = None,
-) -> dict[str, int]:
+) -> dict:
     """K3: keyed merge of ``source`` into the table at ``path``.
 
     ``update="all"`` replaces matched rows (upsert); ``update=()`` only
@@ -254,11 +310,15 @@ def merge_into(
     such as per-row quality checks ride along with the write.
 
     Cost: a first load is one write.  Later merges stage the source once,
-    read only the touched partitions of the target, and rewrite them with a
-    dynamic partition overwrite straight from the merge plan (all reads finish
-    before the commit swaps partitions in).  Only when a key may move between
-    partitions (partition columns not in the key) is the target's key
-    column scanned as a whole, in one job that also finds emptied partitions.
+    read only the touched partitions of the target, write the merged rows to a
+    copy below the table, and bring that copy in by a dynamic partition
+    overwrite.  The copy stays until the overwrite and the deletion of emptied
+    partitions are done; a merge that broke off in between is finished by the
+    next one.  Only when a key may move between partitions (partition columns
+    not in the key) is the target's key column scanned as a whole (a semi
+    join); emptied partitions are then looked for among its finds alone.
+
+    Returns ``partitions`` (how many were written) and ``touched`` (their values).
     """
     keys = list(spec.keys)
     parts = list(spec.partition_by)
@@ -270,6 +330,8 @@ def merge_into(
         raise ValueError("update must be 'all' (upsert) or () (insert only)")
 
     recover(spark, path)
+    if parts and path_exists(spark, path):
+        recover_merge(spark, path, spec)
     if not path_exists(spark, path):
         # K6 + first load: the merge of anything into an empty table is the source itself.
         write_table(written(source), path, spec, "errorifexists")
@@ -279,23 +341,37 @@ def merge_into(
             except DuplicateKeyError:
                 delete_path(spark, path)
                 raise
-        return {"partitions": len(partition_values(spark, path, spec)) if parts else 0, "first_load": 1}
+        first = set(partition_values(spark, path, spec)) if parts else set()
+        return {"partitions": len(first), "touched": first, "first_load": 1}
 
     staged_path, staged = _stage(spark, source, spec, "merge-source")
+    try:
+        return _merge_staged(
+            spark, staged_path, staged, path, spec, insert_only, check_source_keys, keys_can_move, written
+        )
+    finally:
+        delete_path(spark, staged_path.rpartition("/")[0])
+
+
+def _merge_staged(
+    spark, staged_path, staged, path, spec, insert_only, check_source_keys, keys_can_move, written
+) -> dict:
+    keys = list(spec.keys)
+    parts = list(spec.partition_by)
     if check_source_keys:
         assert_unique_keys(staged, keys, f"{spec.name} merge source")
     target = read_table(spark, path, spec)
     source_keys = staged.select(*keys)
 
     if staged.isEmpty():
-        return {"partitions": 0, "empty": 1}
+        return {"partitions": 0, "touched": set(), "empty": 1}
     if not parts:
         if insert_only:
             append(written(staged.join(target.select(*keys), keys, "left_anti")), path, spec)
-            return {"partitions": 0}
+            return {"partitions": 0, "touched": set()}
         # An unpartitioned table is rewritten whole: write the new version beside it, then swap.
         replace_table(spark, written(target.join(source_keys, keys, "left_anti").unionByName(staged)), path, spec)
-        return {"partitions": 0}
+        return {"partitions": 0, "touched": set()}
 
     source_parts = set(partition_values(spark, staged_path, spec))
     keys_stay = set(parts) <= set(keys) if keys_can_move is None else not keys_can_move
@@ -304,33 +380,26 @@ def merge_into(
         # when keys cannot move, else in the whole key column.
         lookup = target.filter(_partition_filter(parts, source_parts)) if keys_stay else target
         append(written(staged.join(lookup.select(*keys), keys, "left_anti")), path, spec)
-        return {"partitions": len(source_parts)}
-
-    emptied: list[tuple] = []
-    if keys_stay:
-        touched = set(source_parts)
-    else:
-        # Partitions holding older versions of source keys; a partition whose
-        # every row is replaced from elsewhere ends up empty.
-        flagged = source_keys.distinct().withColumn("__hit", F.lit(1))
-        holders = (
-            target.select(*keys, *parts)
-            .join(flagged, keys, "left")
-            .groupBy(*parts)
-            .agg(F.count(F.lit(1)).alias("n"), F.count("__hit").alias("hits"))
-            .filter(F.col("hits") > 0)
-            .collect()
-        )
-        touched = set(source_parts) | {tuple(r[p] for p in parts) for r in holders}
-        emptied = [
-            tuple(r[p] for p in parts)
-            for r in holders
-            if r["n"] == r["hits"] and tuple(r[p] for p in parts) not in source_parts
-        ]
+        return {"partitions": len(source_parts), "touched": source_parts}
+
+    touched, emptied = set(source_parts), set()
+    if not keys_stay:
+        # Partitions holding older versions of source keys; one whose every row
+        # is replaced from elsewhere ends up empty.
+        held = target.select(*keys, *parts).join(source_keys, keys, "left_semi")
+        others = {tuple(r) for r in held.select(*parts).distinct().collect()} - source_parts
+        if others:
+            kept = target.filter(_partition_filter(parts, others)).select(*keys, *parts)
+            surviving = kept.join(source_keys, keys, "left_anti").select(*parts).distinct()
+            emptied = others - {tuple(r) for r in surviving.collect()}
+        touched |= others
 
     target_touched = target.filter(_partition_filter(parts, touched))  # partition pruning
     merged = target_touched.join(source_keys, keys, "left_anti").unionByName(staged)
-    overwrite_partitions(written(merged), path, spec)
-    for row in emptied:
-        delete_path(spark, f"{path.rstrip('/')}/{_partition_dir(parts, row)}")
-    return {"partitions": len(touched), "emptied": len(emptied)}
+    copy = f"{path.rstrip('/')}/{_MERGE}"
+    if emptied:
+        dirs = [(_partition_dir(parts, row),) for row in sorted(emptied, key=str)]
+        spark.createDataFrame(dirs, "value string").coalesce(1).write.text(f"{copy}/emptied")
+    _writer(written(merged), spec, "errorifexists").parquet(f"{copy}/rows")
+    _commit_merge(spark, path, spec)
+    return {"partitions": len(touched), "touched": touched, "emptied": len(emptied)}

@@ -122,3 +122,26 @@ def with_replayed_pull_requests(productivity: DataFrame) -> DataFrame:
 def to_archive_json(raw: DataFrame) -> DataFrame:
     """Render ``created_at`` as the archive's ISO string (for the JSON round trip)."""
     return raw.withColumn("created_at", F.date_format("created_at", ARCHIVE_TIME_FORMAT))
+
+
+#: ids of one month's fixture lie below this; divisible by 4, so the replay rule holds in every month
+MONTH_IDS = 1_000_000_000_000
+
+
+def month_of(raw: DataFrame, n: int) -> DataFrame:
+    """Archive month ``n`` (1, 2, ..): the fixture shifted by 31 days a month, with ids and SHAs of its own.
+
+    Ids divisible by 97 carry a time of the month after (strays), ids that
+    leave 1 on division by 89 carry none.
+    """
+    key = F.col("id").cast("bigint")
+    days = F.lit(31 * (n - 1)) + F.when(key % 97 == 0, 31).otherwise(0)
+    at = F.when(key % 89 != 1, F.col("created_at") + F.make_dt_interval(days=days))
+    head = F.concat(F.col("payload.head"), F.lit("" if n == 1 else str(n)))
+    return raw.withColumns(
+        {
+            "created_at": at,
+            "payload": F.col("payload").withField("head", head),
+            "id": (key + (n - 1) * MONTH_IDS).cast("string"),
+        }
+    )

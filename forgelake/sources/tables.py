@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from forgelake.specs import TableSpec
 
+#: Physical first partition of staging tables that the monthly job writes: the archive month as YYYYMM.
+SOURCE_MONTH = "source_month"
+
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """Read a table written by :mod:`forgelake.sinks.parquet` with its declared schema.
@@ -19,6 +22,13 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.stored_schema).parquet(path).select(*spec.stored_columns)
 
 
+def read_source_month(spark: SparkSession, path: str, spec: TableSpec, month: int) -> DataFrame:
+    """The rows that one archive month put into a staging table, whatever their dates (NULL included)."""
+    stored = spec.stored_schema.add(SOURCE_MONTH, "integer")
+    rows = spark.read.schema(stored).parquet(path)
+    return rows.filter(F.col(SOURCE_MONTH) == month).select(*spec.stored_columns)
+
+
 def since(df: DataFrame, days: int, as_of: dt.date | str, date_col: str = "date") -> DataFrame:
     """Keep whole days in ``[as_of - days, ...]``.
 

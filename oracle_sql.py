@@ -16,6 +16,9 @@ OVERWRITE_SECOND_RUN_FROM = "2024-01-15"  # partition re-run covers these days
 LOOKBACK_AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 3
 TOP_N = 10
+MOVED_FROM = "2024-01-20"  # events from this day on reappear later
+MOVED_BY_DAYS = 40
+MONTH_IDS = 1_000_000_000_000  # id offset of the second month
 # ------------------------------------------------------------------------------
 
 _BOT_RE = r"(?i).*\[bot\].*|.*-bot$"
@@ -190,6 +193,24 @@ def _q(body: str, extra_ctes: str = "") -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _two_months(body: str) -> str:
+    """The layers over two archive months: the raw events, and the same shifted, with strays and undated rows."""
+    months = f"""raw AS (
+    SELECT CAST(CAST(id AS BIGINT) + (m - 1) * {MONTH_IDS} AS VARCHAR) AS id, type, ts AS created_at,
+        CAST(ts AS DATE) AS date, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year, login,
+        repo_name, head || CASE m WHEN 1 THEN '' ELSE CAST(m AS VARCHAR) END AS head, action,
+        lines_added, lines_deleted, files_changed
+    FROM (
+        SELECT *, CASE WHEN CAST(id AS BIGINT) % 89 <> 1 THEN created_at + to_days(CAST(
+            31 * (m - 1) + CASE WHEN CAST(id AS BIGINT) % 97 = 0 THEN 31 ELSE 0 END AS INTEGER)) END AS ts
+        FROM raw_month CROSS JOIN (VALUES (1), (2)) AS months(m)
+    )
+),
+classified AS ("""
+    layers = LAYERS.replace("raw AS (", "raw_month AS (", 1).replace("classified AS (", months, 1)
+    return f"WITH {layers}\n{body}"
+
+
 def _table(name: str) -> str:
     return _q(f"SELECT * FROM {name}")
 
@@ -297,6 +318,18 @@ second_run AS (SELECT * FROM silver_repo_summary WHERE date >= DATE '{MERGE_SECO
         "UNION ALL SELECT * FROM second_run",
         scenario,
     )
+    late = f"created_at + INTERVAL {MOVED_BY_DAYS} DAY"
+    q["merge_key_moves_partition"] = _q(
+        f"SELECT * FROM bronze_events WHERE date < DATE '{MOVED_FROM}' OR date IS NULL UNION ALL "
+        f"SELECT event_id, type, {late} AS created_at, CAST({late} AS DATE) AS date, "
+        f"CAST(month({late}) AS INTEGER) AS month, CAST(year({late}) AS INTEGER) AS year, repo_name, actor_login "
+        f"FROM bronze_events WHERE date >= DATE '{MOVED_FROM}'"
+    )
+    q["rerun_month"] = _two_months(
+        "SELECT *, CAST(202401 + CAST(event_id AS BIGINT) // " + str(MONTH_IDS) + " AS INTEGER) AS source_month "
+        "FROM staging_events"
+    )
+    q["incremental_months"] = _two_months("SELECT * FROM silver_developer_activity")
     q["lookback_events"] = _q(
         "SELECT event_id, type, created_at, date, month, year, repo_name, actor_login FROM staging_events "
         f"WHERE date >= DATE '{LOOKBACK_AS_OF}' - INTERVAL {LOOKBACK_DAYS} DAY "

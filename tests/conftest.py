@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import sys
 
 import pytest
@@ -12,6 +13,13 @@ sys.path.insert(0, REPO)
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+def core_names() -> list[str]:
+    """Every query but the optional training-data ones, which tests/llm covers."""
+    import __spark_entry__ as entry
+
+    return [n for n in entry.queries() if not re.fullmatch(r"op\d+_.*|pipeline", n)]
+
+
 @pytest.fixture(scope="session")
 def spark():
     from forgelake.session import build_session

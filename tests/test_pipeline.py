@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from conftest import SF_SMALL
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from forgelake import specs
 from forgelake.plans.pipeline import Lookback, Warehouse, run_assets, run_month, stage_raw, write_staging
-from forgelake.session import scratch_path
+from forgelake.session import scratch_path, scratch_root
 from forgelake.sources import fixture
 from forgelake.sources.raw import read_raw
 
@@ -148,10 +149,40 @@ def test_observed_checks_fail_the_run_on_bad_rows(spark):
     assert ("silver_developer_activity", "lines_added", "not_negative", 1) in report.failures
 
 
-def test_stage_raw_persists_only_text_inputs(spark):
-    from forgelake.plans.pipeline import _reads_text
-
-    assert not _reads_text(fixture.read_fixture_raw(spark, SF_SMALL))
-    path = scratch_path(spark, "raw-json")
-    fixture.to_archive_json(fixture.read_fixture_raw(spark, SF_SMALL)).limit(5).write.option("compression", "gzip").json(path)
-    assert _reads_text(read_raw(spark, f"{path}/*.json.gz"))
+def _write_months(spark, base, months=(1, 2)):
+    raw = fixture.read_fixture_raw(spark, SF_SMALL)
+    for n in months:
+        rows = fixture.to_archive_json(fixture.month_of(raw, n))
+        rows.write.option("compression", "gzip").json(f"{base}/2024-{n:02d}")
+
+
+def test_months_incremental_equal_full_and_leave_no_scratch(spark):
+    """Stray and undated rows reach bronze and silver; re-running month 1 changes nothing."""
+    base = scratch_path(spark, "archive-months")
+    _write_months(spark, base)
+    inc, full = (Warehouse(spark, scratch_path(spark, n)) for n in ("wh-inc", "wh-full"))
+    names = ["bronze_events", "bronze_commits", "bronze_productivity", "silver_developer_activity"]
+    options = {"targets": names, "check": False}
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    for n in (1, 2):
+        run_month(spark, base, 2024, n, inc, **options)
+    run_month(spark, base, 2024, 1, full, incremental=False, targets=["bronze_events"], check=False)
+    run_month(spark, base, 2024, 2, full, incremental=False, **options)
+    own = {wh.root.removeprefix("file:").removeprefix(root).split("/")[1] for wh in (inc, full)}
+    assert set(os.listdir(root)) - own == before
+    key = repr  # rows hold NULLs
+    want = {n: sorted(map(key, full.read(n).select(*specs.SPECS[n].columns).collect())) for n in names}
+    for n in names:
+        assert sorted(map(key, inc.read(n).select(*specs.SPECS[n].columns).collect())) == want[n], n
+    assert inc.read("bronze_events").filter("date is null").count() > 0
+    run_month(spark, base, 2024, 1, inc, **options)
+    for n in names:
+        assert sorted(map(key, inc.read(n).select(*specs.SPECS[n].columns).collect())) == want[n], n
+
+
+def test_lookback_prunes_year_month_layout(spark, warehouse):
+    df = Lookback(days=3, as_of=dt.date(2024, 1, 30)).daily(warehouse.read("staging_productivity"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :].split("], ")[0]
+    assert "year" in filters and "month" in filters
