@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -29,6 +30,8 @@ SAMPLE = 3000
 SMOOTHING = 1.0
 LEAST_ROWS, LEAST_RATIO = 4, 0.5
 RIDGE = 1e-4
+#: Entries of the training matrix handled at once on the driver.
+PIECE = 1 << 20
 THRESHOLD = 0.7
 
 
@@ -51,14 +54,24 @@ def _rows(codes: list[np.ndarray], sizes, a: int, b: int) -> np.ndarray:
     return np.concatenate([c[a : max(a, b - n + 1)] for c, n in zip(codes, sizes, strict=True)])
 
 
+def _packed(squeeze, features: np.ndarray) -> bytes:
+    """Sorted features as compressed steps."""
+    return squeeze.compress(np.diff(features, prepend=np.int32(0)).astype(np.int32).tobytes())
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.decompress(blob), np.int32))
+
+
 def _features(batches):
-    """Arrow batches (label, text) to (label, distinct features as int32 bytes)."""
+    """Arrow batches (label, text) to (label, distinct features, packed)."""
+    squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         labels = batch.column(0).to_pylist()
         out = []
         for i, _, data, offsets in text_chunks(batch.column(1)):
             codes = gram_codes(data)
-            out += [np.unique(_rows(codes, SIZES, a, b)).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            out += [_packed(squeeze, np.unique(_rows(codes, SIZES, a, b))) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             del i
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(out, pa.binary())], names=["label", "features"])
 
@@ -85,23 +98,40 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, wanted, per_class: int =
     y = np.array([r["label"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return weights, 40.0 if len(y) and y[0] == 1 else -40.0
-    sets = [np.frombuffer(r["features"], np.int32) for r in rows]
-    lengths = np.array([len(s) for s in sets])
-    which = np.concatenate(sets) if sets else np.zeros(0, np.int32)
-    row = np.repeat(np.arange(len(sets)), lengths)
-    p = np.bincount(which[y[row] == 1], minlength=1 << BITS) + SMOOTHING
-    q = np.bincount(which[y[row] == 0], minlength=1 << BITS) + SMOOTHING
+    packed, n = [r["features"] for r in rows], len(rows)
+    del rows
+    # Sets stay packed on the driver; only their telling features are ever held side by side.
+    p, q = np.full(1 << BITS, SMOOTHING), np.full(1 << BITS, SMOOTHING)
+    for blob, toxic in zip(packed, y, strict=True):
+        (p if toxic else q)[_unpacked(blob)] += 1
     r = np.log(p / (y.sum() + 2 * SMOOTHING)) - np.log(q / ((1 - y).sum() + 2 * SMOOTHING))
     # A feature that is rare or as common in either class tells nothing: its r is taken as 0.
     r[(p + q < LEAST_ROWS + 2 * SMOOTHING) | (np.abs(r) < LEAST_RATIO)] = 0
-    telling = r[which] != 0
-    which, row = which[telling], row[telling]
-    used, column = np.unique(which, return_inverse=True)
-    x, n, size = r[used][column], len(sets), len(used)
+    used = np.flatnonzero(r)
+    column_of = np.zeros(1 << BITS, np.int32)
+    column_of[used] = np.arange(len(used))
+    sets = [column_of[s[r[s] != 0]] for s in map(_unpacked, packed)]
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in sets])
+    column, ratio, size = np.concatenate(sets), r[used], len(used)
+    del packed, sets
+    pieces = [slice(i, i + PIECE) for i in range(0, len(row), PIECE)]
+
+    def by_text(v: np.ndarray) -> np.ndarray:
+        v, out = ratio * v, np.zeros(n)
+        for at in pieces:
+            out += np.bincount(row[at], v[column[at]], minlength=n)
+        return out
+
+    def by_feature(v: np.ndarray) -> np.ndarray:
+        out = np.zeros(size)
+        for at in pieces:
+            out += np.bincount(column[at], v[row[at]], minlength=size)
+        return ratio * out
+
     # Accelerated gradient descent on the ridge logistic loss; power steps bound the curvature.
-    v = np.ones(size)
+    v, curve = np.ones(size), 1.0
     for _ in range(12):
-        v = np.bincount(column, x * np.bincount(row, x * v[column], minlength=n)[row], minlength=size)
+        v = by_feature(by_text(v))
         curve = np.linalg.norm(v) or 1.0
         v = v / curve
     balance = np.where(y == 1, n / (2 * y.sum()), n / (2 * (1 - y).sum()))  # either class weighs the same
@@ -110,13 +140,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, wanted, per_class: int =
     for t in range(rounds):
         push = t / (t + 3)
         wy, by = w + push * (w - w0), b + push * (b - b0)
-        z = np.bincount(row, x * wy[column], minlength=n) + by
+        z = by_text(wy) + by
         error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
         error *= balance
         w0, b0 = w, b
-        w = wy - rate * (np.bincount(column, x * error[row], minlength=size) / n + RIDGE * wy)
+        w = wy - rate * (by_feature(error) / n + RIDGE * wy)
         b = by - rate * error.mean()
-    weights[used] = (w * r[used]).astype(np.float32)
+    weights[used] = (w * ratio).astype(np.float32)
     return weights, float(b)
 
 
