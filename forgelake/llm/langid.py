@@ -31,6 +31,8 @@ from forgelake.llm.common import fold, table, text_chunks
 
 ORDER = 3
 SAMPLE = 400
+#: Parts of a language that choose their rows side by side.
+PARTS = 64
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -64,15 +66,14 @@ def _counts(batches):
 
 def training_counts(docs: DataFrame, wanted, sample: int = SAMPLE) -> DataFrame:
     """(lang, gram, n) over at most ``sample`` rows of each language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("langid"), "doc_id"), "doc_id")
-    chosen = (
-        docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & wanted)
-        .select("lang", "doc_id")
-        .withColumn("at", F.row_number().over(order))
-        .filter(F.col("at") <= sample)
-        .select("lang", "doc_id")
-        .distinct()
-    )
+    order = [F.xxhash64(F.lit("langid"), "doc_id"), F.col("doc_id")]
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & wanted)
+    # The first of the first: a part of a language gives ``sample`` rows at most, so none gathers in one task.
+    part = Window.partitionBy("lang", "part").orderBy(*order)
+    some = known.select("lang", "doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).alias("part")).withColumn("at", F.row_number().over(part))
+    some = some.filter(F.col("at") <= sample).select("lang", "doc_id")
+    whole = Window.partitionBy("lang").orderBy(*order)
+    chosen = some.withColumn("at", F.row_number().over(whole)).filter(F.col("at") <= sample).select("lang", "doc_id").distinct()
     # ``sample`` ids per language, a bounded table
     texts = docs.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "text")
     return texts.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
