@@ -10,7 +10,9 @@ documents, so that frequent passages are probed, not merged; the sketch steers c
 
 Lists aren't expanded into pairs.  Round one pairs each list's first member with the others,
 verifies and joins the links to components; round two takes the lists that still hold several
-components and compares members of different ones, a crowded list in pieces.  Candidates are
+components and compares members of different ones, a crowded list in pieces.  A pair need only
+meet in the list of its first common shingle, which stands early in the smaller set (among its
+``core``), so lists without a core member, and members that no core member allows, are left out.  Candidates are
 first held against the merged (short) parts of both sets, which alone prove most wrong.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with
@@ -24,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +37,8 @@ WORDS = 4
 #: Links need SHARE[0] * union <= SHARE[1] * intersection.
 SHARE = (85, 100)
 SKETCH_BITS, SLICES = 20, 64
+#: Bits that name a list; shingles that share them share a list, which adds candidates and loses none.
+NAME_BITS = 48
 #: Members of a list that are paired row by row at most; longer lists are compared in pieces of CROWD.
 FEW, CROWD = 16, 1024
 
@@ -201,20 +206,25 @@ class Join:
         return self.share[0] * F.greatest(n, m) <= self.share[1] * F.least(n, m)
 
     def lists(self) -> DataFrame:
-        """(shingle, node, n, head, head_n): members of lists of two and more, with the list's first."""
-        posted = self.short.select("node", "n", F.explode("short").alias("long")).select("node", "n", F.hash("long").alias("shingle"))
-        heads = posted.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size"))
-        heads = heads.filter("size > 1").select("shingle", F.col("head.node").alias("head"), F.col("head.n").alias("head_n"))
+        """(shingle, node, n, core, head, head_n): members of lists of two and more, with the first core member."""
+        # n >= m shingles, an overlap of share / (1 + share) * (n + m) or more: the first common shingle has at
+        # least 2 * share / (1 + share) * m - 1 others of the smaller set behind it.
+        top, both = 2 * self.share[0], self.share[0] + self.share[1]
+        core = F.col("at") < F.expr(f"n + 1 - ({top} * n + {both - 1}) div {both}")
+        posted = self.short.select("node", "n", F.posexplode("short").alias("at", "long"))
+        posted = posted.select("node", "n", core.alias("core"), F.col("long").bitwiseAND((1 << NAME_BITS) - 1).alias("shingle"))
+        heads = posted.groupBy("shingle").agg(F.min(F.when(F.col("core"), F.struct("node", "n"))).alias("head"), F.count("*").alias("size"))
+        heads = heads.filter("size > 1 AND head IS NOT NULL").select("shingle", F.col("head.node").alias("head"), F.col("head.n").alias("head_n"))
         return stored(posted.join(heads.hint("merge"), "shingle"), "sets-lists")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the distinct pairs (a, b) that link: merged parts first, then probes into the whole sets."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Those of the distinct pairs (a, b) whose merged parts leave room for a link."""
         side = lambda x: self.short.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("short").alias(f"short_{x}"))
-        likely = (
-            pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "n_a", "n_b", "short_a", "short_b")
-        )
-        likely = stored(likely.mapInArrow(_check_short(self.share), "a long, b long"), "sets-likely")
-        sets = self.whole(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct())
+        both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "n_a", "n_b", "short_a", "short_b")
+        return stored(both.mapInArrow(_check_short(self.share), "a long, b long"), "sets-likely")
+
+    def linked(self, likely: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs that link, by probes into the whole sets."""
         whole = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
         both = likely.join(whole("a").hint("merge"), "a").join(whole("b").hint("merge"), "b").select("a", "b", "set_a", "set_b")
         return stored(both.mapInArrow(_check_sets(self.share), "a long, b long"), "sets-links")
@@ -224,7 +234,8 @@ class Join:
         # One row of each wanted set, by its smallest id, gives the text.
         from_rows = self.rows.join(wanted.hint("merge"), "node").groupBy("node").agg(F.min("doc_id").alias("least"))
         where = from_rows.select(F.col("node").alias("want"), "least")
-        texts = self.docs.join(where.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least"))).select("want", "text")
+        small = self.docs.filter("text IS NOT NULL").mapInArrow(_squeezed, "doc_id long, text binary")
+        texts = small.join(where.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least")))
         sets = texts.select("want", "text").mapInArrow(_whole_sets_of(self.k), "node long, set binary").dropDuplicates(["node"])
         return stored(sets, "sets-whole")
 
@@ -232,38 +243,56 @@ class Join:
         """Links (a, b) between members of a list that lie in different components, enough to join them all."""
         at = lists.join(roots.select("node", "root").hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         others = at.filter("node <> head")
-        name = [F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("t")]
-        mixed = others.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), *name)
+        name = [F.bit_xor(F.xxhash64("node", "core", F.lit(i))).alias(x) for i, x in enumerate("st")]
+        sizes = [F.min(F.when(F.col("core"), F.col("n"))).alias("low"), F.max(F.when(F.col("core"), F.col("n"))).alias("high")]
+        mixed = others.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), *sizes, *name)
         # Lists with the same members (the shingles of one passage) are compared once.
-        mixed = mixed.filter("x <> y").groupBy("size", "s", "t").agg(F.min("shingle").alias("shingle"))
+        mixed = mixed.filter("x <> y AND low IS NOT NULL").groupBy("size", "low", "high", "s", "t").agg(F.min("shingle").alias("shingle"))
         mixed = stored(mixed, "sets-mixed")
-        members = others.select("shingle", "node", "n", "root")
+        members = others.select("shingle", "node", "n", "root", "core")
         few = members.join(mixed.filter(F.col("size") <= FEW).select("shingle").hint("merge"), "shingle")
-        other = few.select("shingle", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+        other = few.select("shingle", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("core").alias("core_b"))
         apart = (F.col("node") < F.col("node_b")) & (F.col("root") != F.col("root_b"))
+        apart &= ((F.col("n") > F.col("n_b")) | F.col("core")) & ((F.col("n") < F.col("n_b")) | F.col("core_b"))
         paired = few.join(other.hint("merge"), "shingle").filter(apart & self.close(F.col("n"), F.col("n_b")))
-        paired = paired.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+        likely = self.likely(paired.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct())
         mixed = mixed.filter(F.col("size") > FEW)
         pieces = F.ceil(F.col("size") / CROWD).cast("int")
-        placed = others.join(mixed.select("shingle", pieces.alias("pieces")).hint("merge"), "shingle")
+        placed = others.join(mixed.select("shingle", "low", "high", pieces.alias("pieces")).hint("merge"), "shingle")
+        placed = placed.filter(F.col("core") | ((F.col("n") >= F.col("low")) & (self.share[0] * F.col("n") <= self.share[1] * F.col("high"))))
         placed = placed.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
         placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         placed = placed.select(
             "shingle", "node", "n", "root", "piece", F.least("piece", "with").alias("first"), F.greatest("piece", "with").alias("second")
         )
         placed = stored(placed, "sets-placed")
-        wide = placed.join(self.whole(placed.select("node").distinct()).hint("merge"), "node")
+        sets = self.whole(_nodes(likely).unionByName(placed.select("node")).distinct())
+        wide = placed.join(sets.hint("merge"), "node")
         found = wide.groupBy("shingle", "first", "second").applyInPandas(_compare(self.share), "a long, b long")
-        return stored(self.linked(paired.distinct()).unionByName(found), "sets-between")
+        return stored(self.linked(likely, sets).unionByName(found), "sets-between")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
+def _squeezed(batches):
+    """(doc_id, text) with the texts as they cross the shuffle."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [squeeze.compress(t.as_buffer()) for t in batch.column(1).cast(pa.large_binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "text"])
 
 
 def _whole_sets_of(k: int):
-    """(wanted node, text) to (node, set) where the text has that set (ids may repeat)."""
+    """(wanted node, squeezed text) to (node, set) where the text has that set (ids may repeat)."""
 
     def run(batches):
+        squeeze = zstandard.ZstdDecompressor()
         for batch in batches:
             want = batch.column(0).to_pylist()
-            for i, sets in _sets(batch, k):
+            texts = pa.array([squeeze.decompress(t.as_buffer()) for t in batch.column(1)], pa.large_binary())
+            for i, sets in _sets(pa.RecordBatch.from_arrays([batch.column(0), texts], names=["want", "text"]), k):
                 got = [(want[i + j], s.tobytes()) for j, s in enumerate(sets) if len(s) and _digest(s) == want[i + j]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], names=["node", "set"]
@@ -317,7 +346,8 @@ def _roots(docs: DataFrame, k: int, share) -> tuple[Join, DataFrame]:
     join = Join(docs, k, share)
     lists = join.lists()
     first = lists.filter("node <> head").filter(join.close(F.col("n"), F.col("head_n")))
-    links = join.linked(first.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    likely = join.likely(first.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    links = join.linked(likely, join.whole(_nodes(likely).distinct()))
     roots = components(links)
     more = join.between(lists, roots)
     if not more.isEmpty():
