@@ -266,9 +266,14 @@ class Join:
             "shingle", "node", "n", "root", "piece", F.least("piece", "with").alias("first"), F.greatest("piece", "with").alias("second")
         )
         placed = stored(placed, "sets-placed")
+        # The merged parts first: only members that some other may link with go on with their whole sets.
+        task = ["shingle", "first", "second"]
+        merged = placed.join(self.short.select("node", "short").hint("merge"), "node")
+        may = merged.groupBy(*task).applyInPandas(_may_meet(self.share), "shingle long, first int, second int, node long")
+        placed = stored(placed.join(may.hint("merge"), [*task, "node"]), "sets-met")
         sets = self.whole(_nodes(likely).unionByName(placed.select("node")).distinct())
         wide = placed.join(sets.hint("merge"), "node")
-        found = wide.groupBy("shingle", "first", "second").applyInPandas(_compare(self.share), "a long, b long")
+        found = wide.groupBy(*task).applyInPandas(_compare(self.share), "a long, b long")
         return stored(self.linked(likely, sets).unionByName(found), "sets-between")
 
 
@@ -301,6 +306,48 @@ def _whole_sets_of(k: int):
     return run
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common members of all sets, by matrix products over pieces of the members met twice."""
+    who = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, key, met = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = met > 1
+    column = np.cumsum(several) - 1
+    who, key = who[several[key]], column[key[several[key]]]
+    order = np.argsort(key, kind="stable")
+    who, key = who[order], key[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for a in range(0, int(several.sum()), 2048):
+        i, j = np.searchsorted(key, [a, a + 2048])
+        holds = np.zeros((len(sets), 2048), np.float32)
+        holds[who[i:j], key[i:j] - a] = 1
+        common += holds @ holds.T
+    return common
+
+
+def _apart(pdf: pd.DataFrame) -> np.ndarray:
+    """Pairs of one task that are to be compared: of different components, and of both pieces where there are two."""
+    root, piece = pdf["root"].to_numpy(), pdf["piece"].to_numpy()
+    out = root[:, None] != root[None, :]
+    if pdf["first"].iloc[0] != pdf["second"].iloc[0]:
+        out &= piece[:, None] != piece[None, :]
+    return out
+
+
+def _may_meet(share):
+    """Members of one task with their merged parts: those that may link with another (``may_link`` for all pairs at once)."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        short = [np.asarray(x).view(np.uint64) for x in pdf["short"]]
+        last = np.array([x[-1] for x in short])
+        reach = np.stack([np.searchsorted(x, last, "right") for x in short])  # members up to the other's last one
+        both = pdf["n"].to_numpy()[:, None] + pdf["n"].to_numpy()[None, :]
+        most = both - 2 * (-(-share[0] * both // (share[0] + share[1])))
+        ok = (reach + reach.T - 2 * _common(short) <= most) & _apart(pdf)
+        return pdf.loc[ok.any(axis=1), ["shingle", "first", "second", "node"]]
+
+    return run
+
+
 def _compare(share):
     """Members of one list (or of two of its pieces) with their whole sets: links that join different components.
 
@@ -310,25 +357,11 @@ def _compare(share):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("node").sort_values(["n", "node"], ignore_index=True)
-        node, n, root, piece = (pdf[c].to_numpy() for c in ("node", "n", "root", "piece"))
+        node, n, root = (pdf[c].to_numpy() for c in ("node", "n", "root"))
         sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
-        who = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        _, key, met = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        several = met > 1
-        column = np.cumsum(several) - 1
-        who, key = who[several[key]], column[key[several[key]]]
-        order = np.argsort(key, kind="stable")
-        who, key = who[order], key[order]
-        common = np.zeros((len(sets), len(sets)), np.float32)
-        for a in range(0, int(several.sum()), 2048):
-            i, j = np.searchsorted(key, [a, a + 2048])
-            holds = np.zeros((len(sets), 2048), np.float32)
-            holds[who[i:j], key[i:j] - a] = 1
-            common += holds @ holds.T
+        common = _common(sets)
         ok = share[1] * common >= share[0] * (n[:, None] + n[None, :] - common)
-        ok &= root[:, None] != root[None, :]
-        if pdf["first"].iloc[0] != pdf["second"].iloc[0]:
-            ok &= piece[:, None] != piece[None, :]
+        ok &= _apart(pdf)
         _, group = np.unique(root, return_inverse=True)
         out = []
         for i in range(len(sets)):
