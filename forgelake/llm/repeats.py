@@ -1,8 +1,9 @@
 """Operator 5: removal of repeated byte strings by a logarithmic family of suffix arrays.
 
 A byte goes when a string of ``LENGTH`` bytes that covers it also starts in a document with
-a smaller id.  Every window of LENGTH bytes belongs to the least hash among its GRAM-byte
-strings, so equal windows of any documents have the same owner.  Texts are cut into runs of
+a smaller id.  Every window of LENGTH bytes belongs to one of its GRAM-byte strings:
+the least hash among those that are not frequent, or the rarest (a sketch of a sample tells),
+so equal windows of any documents have the same owner.  Texts are cut into runs of
 windows with one owner; a run's bytes go to the shard of its owner.  In a shard the runs
 arrive as batches in id order: a batch gets the sorted array of its suffixes (their first
 LENGTH bytes), is merge-scanned against the arrays of the levels that exist, and what is new
@@ -13,6 +14,11 @@ Runs that are alike in a map batch are collapsed before the shuffle (the smalles
 sent, the others are repeats already), and once more in the shard, so a passage that very
 many documents share costs a row per map batch.
 
+An owner that holds more than HEAVY_BYTES by the sample is split: its windows are dealt by
+their own hash and compared one by one.  Of equal ones in a map batch only those of the
+smallest document are sent, once each with the spans that they cover, so no group grows with
+an owner's share of the corpus.  Sketch and sample steer cost only.
+
 Defined cases: a null text is empty; a null id counts as larger than all others; rows with
 the same id don't remove from each other; an empty table gives no rows; other columns are
 ignored.
@@ -27,22 +33,28 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import row_chunks, span_hashes, table, text_chunks
+from forgelake.llm.common import CHUNK_BYTES, row_chunks, span_hashes, stored, table, text_chunks
 
 LENGTH = 50
 GRAM = 6
 #: Text handled at once by a map task, run bytes in a shard, runs in a batch of a shard.
 MAP_BYTES, SHARD_BYTES, BATCH_RUNS = 8 << 20, 4 << 20, 4096
+#: Windows in a batch of a shard; run bytes of an owner that is split, bytes of its windows in a shard.
+BATCH_WINDOWS, HEAVY_BYTES, SPLIT_BYTES = 1 << 18, 4 << 20, 16 << 20
+#: The sample: slices of SLICE bytes, SAMPLE_BYTES or a part in SAMPLE_PART of all text; slots of the sketch.
+SLICE, SAMPLE_BYTES, SAMPLE_PART, SKETCH_BITS = 4096, 16 << 20, 256, 22
 LAST = (1 << 63) - 1
 
 
-def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(data: np.ndarray, offsets: np.ndarray, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, first window, number of windows, owner) of each run; windows never cross rows."""
     none = np.zeros(0, np.int64)
     n = len(data)
     if n < LENGTH:
         return none, none, none, none.astype(np.uint64)
     grams = span_hashes(data, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
+    if levels is not None:
+        grams = (levels[grams >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(56)) | (grams >> np.uint64(8))
     # Least hash of the LENGTH - GRAM + 1 grams of each window, by doubling.
     least, width, want = grams, 1, LENGTH - GRAM + 1
     while 2 * width <= want:
@@ -103,47 +115,130 @@ def _unpack(blob: bytes):
     return out[0][which], out[1][which], out[3], out[4], np.frombuffer(blob, np.uint8, offset=at)
 
 
-def _cut(shards: int):
-    """(doc_id, text_hash, text) to packed runs by shard, and the spans that repeat within the batch."""
+def _pieces(offsets: np.ndarray):
+    """(first row, end row, low, high) byte ranges of about CHUNK_BYTES; every window lies in one, also of a long row."""
+    for a, b in row_chunks(offsets):
+        for low in range(int(offsets[a]), int(offsets[b]), CHUNK_BYTES):
+            yield a, b, low, min(low + CHUNK_BYTES + LENGTH - 1, int(offsets[b]))
+
+
+def _windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
+
+
+def _split(data: np.ndarray, offsets: np.ndarray, row, first, count):
+    """Single windows of runs: (hash, row, place of one) of each distinct window of a row, and the spans that it covers."""
+    at, of = _spread(first, count), np.repeat(row, count)
+    h = span_hashes(data, at, at + LENGTH)
+    order = np.argsort(h, kind="stable")  # places ascend within a hash, so rows do
+    h, at, of = h[order], at[order], of[order]
+    text = _windows(data, at)
+    new = np.r_[True, (h[1:] != h[:-1]) | (of[1:] != of[:-1]) | (text[1:] != text[:-1]).any(axis=1)]
+    apart = np.flatnonzero(new | np.r_[True, at[1:] > at[:-1] + LENGTH])
+    start, end = at[apart], at[np.r_[apart[1:], len(at)] - 1] + LENGTH
+    head = np.flatnonzero(new)
+    spans = np.stack([start, end], 1) - offsets[of[apart]][:, None]
+    return h[head], of[head], at[head], np.diff(np.searchsorted(apart, np.r_[head, len(at)])), spans
+
+
+PLACED = ((LENGTH, np.uint8), (1, np.int64), (1, np.int64), (1, np.int32))
+
+
+def _pack_windows(text, doc, text_hash, n, spans) -> bytes:
+    """Distinct windows of documents, and the spans that each covers."""
+    columns = [c.astype(kind).tobytes() for c, (_, kind) in zip((text, doc, text_hash, n), PLACED, strict=True)]
+    return b"".join([np.int64(len(doc)).tobytes(), *columns, spans.astype(np.int64).tobytes()])
+
+
+def _unpack_windows(blob: bytes):
+    size, at, out = int(np.frombuffer(blob, np.int64, 1)[0]), 8, []
+    for width, kind in PLACED:
+        out.append(np.frombuffer(blob, kind, size * width, at))
+        at += out[-1].nbytes
+    return out[0].view(f"S{LENGTH}"), *out[1:], np.frombuffer(blob, np.int64, offset=at).reshape(-1, 2)
+
+
+def _cut(shards: int, splits: int = 1, order=None):
+    """(doc_id, text_hash, text) to packed runs by shard, and the spans that repeat within the batch.
+
+    ``order``: broadcast (levels of the sketch, owners to split); shards from ``shards`` on hold single windows.
+    """
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
+        levels, heavy = order.value if order is not None else (None, np.zeros(0, np.uint64))
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
             hashes = batch.column(1).to_numpy(zero_copy_only=False)
             for i, _, data, offsets in text_chunks(batch.column(2), MAP_BYTES):
-                parts = []
-                for a, b in row_chunks(offsets):  # the hashing needs many times a piece's size
-                    piece = data[offsets[a] : offsets[b]]
-                    row, first, count, owner = runs(piece, offsets[a : b + 1] - offsets[a])
+                parts, single, held = [], [], 0
+                for a, b, low, high in _pieces(offsets):  # the hashing needs many times a piece's size
+                    piece, inside = data[low:high], np.clip(offsets[a : b + 1], low, high) - low
+                    row, first, count, owner = runs(piece, inside, levels)
+                    split = np.isin(owner, heavy)
+                    if split.any():
+                        h, r, at, n, spans = _split(piece, offsets[a : b + 1] - low, row[split], first[split], count[split])
+                        single.append((h, r + a, at + low, n, spans))
+                        row, first, count, owner = (x[~split] for x in (row, first, count, owner))
                     if len(row):
                         digest = span_hashes(piece, first, first + count + LENGTH - 1)
-                        parts.append((row + a, first + offsets[a], count, owner, digest))
-                if not parts:
-                    continue
-                row, first, count, owner, digest = (np.concatenate(x) for x in zip(*parts, strict=True))
-                doc, th, start = ids[i + row], hashes[i + row], first - offsets[row]
-                order, group, heads = _alike(digest, count, doc)
-                smallest = doc[order][heads][group]
-                again = order[doc[order] > smallest]
-                rest = order[doc[order] == smallest]
-                out = {"shard": [], "doc": [], "text_hash": [], "spans": [], "size": [], "body": []}
-                _spans_out(out, doc[again], th[again], start[again], start[again] + count[again] + LENGTH - 1)
-                out["shard"] = [x % shards for x in out["doc"]]  # spans pass through any shard
-                shard = (owner[rest] >> np.uint64(11)).astype(np.int64) % shards
-                by = np.argsort(shard, kind="stable")
-                rest, shard = rest[by], shard[by]
-                edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(rest) else np.zeros(1, np.int64)
-                for a, b in zip(edges[:-1], edges[1:], strict=True):
-                    p = np.sort(rest[a:b])
-                    raw = _pack(row[p], start[p], count[p], ids[i:], hashes[i:], data, first[p])
-                    for name, value in zip(out, (int(shard[a]), None, None, None, len(raw), squeeze.compress(raw)), strict=True):
-                        out[name].append(value)
-                yield _batch(out)
+                        parts.append((row + a, first + low, count, owner, digest))
+                    held += high - low
+                    if held >= MAP_BYTES:
+                        yield flush(parts, single, ids[i:], hashes[i:], data, offsets, squeeze)
+                        parts, single, held = [], [], 0
+                yield flush(parts, single, ids[i:], hashes[i:], data, offsets, squeeze)
+
+    def flush(parts, single, ids, hashes, data, offsets, squeeze):
+        out = {"shard": [], "doc": [], "text_hash": [], "spans": [], "size": [], "body": []}
+        if parts:
+            row, first, count, owner, digest = (np.concatenate(x) for x in zip(*parts, strict=True))
+            doc, th, start = ids[row], hashes[row], first - offsets[row]
+            order, group, heads = _alike(digest, count, doc)
+            smallest = doc[order][heads][group]
+            again = order[doc[order] > smallest]
+            rest = order[doc[order] == smallest]
+            _spans_out(out, doc[again], th[again], start[again], start[again] + count[again] + LENGTH - 1)
+            shard = (owner[rest] >> np.uint64(11)).astype(np.int64) % shards
+
+            def packed(p):
+                p = np.sort(p)
+                return _pack(row[p], start[p], count[p], ids, hashes, data, first[p])
+
+            _bodies_out(out, rest, shard, packed, squeeze)
+        if single:
+            h, row, at, n, spans = (np.concatenate(x) for x in zip(*single, strict=True))
+            doc, begin = ids[row], np.cumsum(n) - n
+            order = np.lexsort((doc, h))
+            text = _windows(data, at[order])
+            new = np.r_[True, (h[order][1:] != h[order][:-1]) | (text[1:] != text[:-1]).any(axis=1)]
+            smallest = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+            again, rest = order[doc[order] > smallest], order[doc[order] == smallest]
+            s = spans[_spread(begin[again], n[again])]
+            _spans_out(out, np.repeat(doc[again], n[again]), np.repeat(hashes[row[again]], n[again]), s[:, 0], s[:, 1])
+            shard = shards + (h[rest] >> np.uint64(11)).astype(np.int64) % splits
+
+            def packed(p):
+                return _pack_windows(_windows(data, at[p]), doc[p], hashes[row[p]], n[p], spans[_spread(begin[p], n[p])])
+
+            _bodies_out(out, rest, shard, packed, squeeze)
+        out["shard"] = [x % shards if s is None else s for s, x in zip(out["shard"], out["doc"], strict=True)]  # spans pass through any shard
+        return _batch(out)
 
     return run
 
 
+def _bodies_out(out: dict, rest: np.ndarray, shard: np.ndarray, packed, squeeze) -> None:
+    """One row per shard with what ``packed`` makes of its members."""
+    by = np.argsort(shard, kind="stable")
+    rest, shard = rest[by], shard[by]
+    edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(rest) else np.zeros(1, np.int64)
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        raw = packed(rest[a:b])
+        for name, value in zip(out, (int(shard[a]), None, None, None, len(raw), squeeze.compress(raw)), strict=True):
+            out[name].append(value)
+
+
 def _spans_out(out: dict, doc, th, start, end) -> None:
     """One row per document: its spans as packed (start, end) pairs."""
     if not len(doc):
@@ -200,9 +295,10 @@ def _repeated(doc, count, body, base) -> tuple[np.ndarray, np.ndarray]:
     """(run, window) of the windows that a smaller document holds; runs sorted by document."""
     index, runs_hit, windows_hit = Levels(), [], []
     twice = _hashed_twice(body, base, count)
-    j = 0
+    j, ahead = 0, np.r_[0, np.cumsum(count)]
     while j < len(doc):
-        i, j = j, min(j + BATCH_RUNS, len(doc))
+        fits = int(np.searchsorted(ahead, ahead[j] + BATCH_WINDOWS, "right")) - 1
+        i, j = j, min(j + BATCH_RUNS, max(j + 1, fits), len(doc))
         while j < len(doc) and doc[j] == doc[j - 1]:
             j += 1  # a document lies in one batch
         size = count[i:j]
@@ -249,9 +345,33 @@ def _hashed_twice(body: np.ndarray, base: np.ndarray, count: np.ndarray):
     return twice
 
 
+def _scan_of(shards: int):
+    def run(tbl: pa.Table) -> pa.Table:
+        tbl = tbl.combine_chunks()
+        return (_scan if tbl["shard"][0].as_py() < shards else _scan_windows)(tbl)
+
+    return run
+
+
+def _scan_windows(tbl: pa.Table) -> pa.Table:
+    """One shard of single windows: the spans of those that a smaller document holds."""
+    squeeze = zstandard.ZstdDecompressor()
+    parts = [_unpack_windows(squeeze.decompress(b.as_buffer(), max_output_size=s.as_py())) for b, s in zip(tbl["body"], tbl["size"], strict=True)]
+    text, doc, th, n, spans = (np.concatenate([p[i] for p in parts]) for i in range(5))
+    begin = np.cumsum(n, dtype=np.int64) - n
+    order = np.argsort(doc, kind="stable")
+    order = order[np.argsort(text[order], kind="stable")]
+    text = text[order]
+    new = np.r_[True, text[1:] != text[:-1]]
+    again = order[doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]]
+    s = spans[_spread(begin[again], n[again])]
+    out = {"doc": [], "text_hash": [], "spans": []}
+    _spans_out(out, np.repeat(doc[again], n[again]), np.repeat(th[again], n[again]), s[:, 0], s[:, 1])
+    return pa.Table.from_batches([_batch(out)])
+
+
 def _scan(tbl: pa.Table) -> pa.Table:
     """One shard: packed runs to the spans that repeat; spans found before pass through."""
-    tbl = tbl.combine_chunks()
     ready = tbl.filter(pa.compute.is_valid(tbl["spans"])).select(["doc", "text_hash", "spans"])
     tbl = tbl.filter(pa.compute.is_valid(tbl["body"]))
     if not tbl.num_rows:
@@ -338,14 +458,80 @@ def _remove(batches):
         )
 
 
+def _slices(stride: int):
+    """Slices of the texts, one every ``stride`` bytes."""
+
+    def run(batches):
+        for batch in batches:
+            for i, _, data, offsets in text_chunks(batch.column(2), MAP_BYTES):
+                out = []
+                for p in range(batch.column(1)[i].as_py() % stride, len(data), stride):
+                    a, b = np.searchsorted(offsets, [p, p + SLICE])
+                    cuts = np.r_[p, offsets[a:b], min(p + SLICE, len(data))]
+                    out += [data[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y - x >= LENGTH]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["text"])
+
+    return run
+
+
+def _gram_counts(batches):
+    """Sampled texts to (slot, n): how often grams of a slot of the sketch occur."""
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        for _, _, data, offsets in text_chunks(batch.column(0)):
+            if len(data) >= GRAM:
+                at = np.arange(len(data) - GRAM + 1)
+                at = at[at + GRAM <= offsets[np.searchsorted(offsets, at, "right")]]
+                counts += np.bincount((span_hashes(data, at, at + GRAM) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+    slot = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], names=["slot", "n"])
+
+
+def _owner_sizes(levels):
+    """Sampled texts to (owner, size, windows) of their runs."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, data, offsets in text_chunks(batch.column(0)):
+                _, _, count, owner = runs(data, offsets, levels.value)
+                owner, at = np.unique(owner, return_inverse=True)
+                size = np.bincount(at, count + LENGTH - 1, len(owner)).astype(np.int64)
+                windows = np.bincount(at, count, len(owner)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(owner.view(np.int64)), pa.array(size), pa.array(windows)], names=["owner", "size", "windows"])
+
+    return run
+
+
+def _measured(d: DataFrame, size: int):
+    """(levels of the sketch, owners to split, number of their windows) by a sample of the texts."""
+    context = d.sparkSession.sparkContext
+    stride = max(SLICE, SLICE * size // max(SAMPLE_BYTES, size // SAMPLE_PART))
+    sample = stored(d.mapInArrow(_slices(stride), "text binary"), "repeats-sample")
+    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
+    counts = sample.mapInArrow(_gram_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    # A run holds less than 2 * LENGTH bytes an occurrence: up to this limit a gram can't be heavy.  Rare ones keep the
+    # order by hash alone, which makes the fewest runs.
+    limit = HEAVY_BYTES / (2 * LENGTH) * (SLICE / stride)
+    many = np.maximum(counts["n"].to_numpy() / limit, 1)
+    levels[counts["slot"].to_numpy()] = np.ceil(4 * np.log2(many))
+    sizes = sample.mapInArrow(_owner_sizes(context.broadcast(levels)), "owner long, size long, windows long")
+    sizes = sizes.groupBy("owner").agg(F.sum("size").alias("size"), F.sum("windows").alias("windows"))
+    heavy = sizes.filter(F.col("size") * (stride / SLICE) > HEAVY_BYTES).toArrow()
+    return levels, np.sort(heavy["owner"].to_numpy().view(np.uint64)), int(heavy["windows"].to_numpy().sum() * stride // SLICE)
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes left of every row's text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A byte lies in about LENGTH / run + 1 runs.
-    shards = max(1, -(-4 * size // SHARD_BYTES))
-    found = d.mapInArrow(_cut(shards), MAPPED).groupBy("shard").applyInArrow(_scan, "doc long, text_hash long, spans binary")
+    shards, splits, order = max(1, -(-4 * size // SHARD_BYTES)), 1, None
+    if 4 * size > HEAVY_BYTES:
+        levels, heavy, windows = _measured(d, size)
+        splits = max(1, -(-windows * 96 // SPLIT_BYTES))
+        order = d.sparkSession.sparkContext.broadcast((levels, heavy))
+    found = d.mapInArrow(_cut(shards, splits, order), MAPPED).groupBy("shard").applyInArrow(_scan_of(shards), "doc long, text_hash long, spans binary")
     spans = found.groupBy("doc", "text_hash").agg(F.collect_list("spans").alias("spans"))
     small = d.mapInArrow(_squeezed, "doc_id long, text_hash long, text binary")
     keyed = small.withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))

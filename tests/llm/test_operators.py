@@ -224,6 +224,37 @@ def test_repeated_spans(spark, docs, none, rows):
     assert repeats.without_repeats(none).count() == 0
 
 
+def test_repeated_spans_split_heavy_owners(spark, rows, monkeypatch):
+    rng = random.Random(9)
+    passage, periodic = words(rng, 30), "abcdefg" * 3000
+    texts = [(i, words(rng, 20) + passage + words(rng, 5)) for i in range(60)]
+    texts += [(100, periodic), (101, "z" + periodic[3:]), (None, periodic), (102, "q" * 30000), (103, "q" * 500 + passage), (103, "q" * 60)]
+    docs = frame(spark, [*rows, *[(i, t, None, None) for i, t in texts]])
+    whole = lambda: [tuple(r) for r in repeats.without_repeats(docs).collect()]
+    want = whole()
+    groups = []
+    for name, value in (("HEAVY_BYTES", 1 << 12), ("SPLIT_BYTES", 1 << 14), ("CHUNK_BYTES", 1 << 12), ("MAP_BYTES", 1 << 13), ("BATCH_WINDOWS", 64)):
+        monkeypatch.setattr(repeats, name, value)
+    cut = repeats._cut
+    monkeypatch.setattr(repeats, "_cut", lambda *a: groups.append(a) or cut(*a))
+    same(whole(), want)
+    shards, splits, order = groups[0]
+    assert splits > 1 and len(order.value[1])  # the periodic texts' owners, and the passage's, are dealt by window
+    text = np.frombuffer(periodic.encode(), np.uint8)
+    _, _, _, owner = repeats.runs(text, np.array([0, len(text)]), order.value[0])
+    assert np.isin(owner, order.value[1]).all()
+
+
+def test_repeated_spans_prefer_rare_owners():
+    rng = random.Random(3)
+    data = np.frombuffer(" the end ".join(words(rng, 4, "abcdefghijklmnopqrstuvwxyz") for _ in range(2000)).encode(), np.uint8)
+    at = np.arange(len(data) - repeats.GRAM + 1)
+    slot = (repeats.span_hashes(data, at, at + repeats.GRAM) >> np.uint64(64 - repeats.SKETCH_BITS)).astype(np.int64)
+    levels = np.ceil(4 * np.log2(1 + np.bincount(slot, minlength=1 << repeats.SKETCH_BITS))).astype(np.uint8)
+    largest = lambda *a: np.unique(repeats.runs(data, np.array([0, len(data)]), *a)[3], return_counts=True)[1].max()
+    assert largest(levels) * 2 < largest()
+
+
 def test_levels_merge_geometrically():
     index = repeats.Levels()
     for i in range(64):
