@@ -55,7 +55,7 @@ def _sets(batch, k: int):
 
 
 def _named(k: int):
-    """(doc_id, text) to (doc_id, node, n) rows, and the task's counts of hashed shingles in slices."""
+    """(doc_id, text, text_hash) to (doc_id, text_hash, node, n) rows, and the task's counts of hashed shingles in slices."""
 
     def run(batches):
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -69,24 +69,25 @@ def _named(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, len(sets)).cast(pa.int64()),
+                        batch.column(2).slice(i, len(sets)),
                         pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array(n, pa.int64()),
                         pa.nulls(len(sets), pa.int32()),
                         pa.nulls(len(sets), pa.int32()),
                         pa.nulls(len(sets), pa.binary()),
                     ],
-                    names=["doc_id", "node", "n", "slice", "task", "counts"],
+                    names=["doc_id", "text_hash", "node", "n", "slice", "task", "counts"],
                 )
         part = TaskContext.get().partitionId()
         blobs = [x.astype(np.uint32).tobytes() for x in np.split(counts, SLICES)] if counts.any() else []
         yield pa.RecordBatch.from_arrays(
             [
-                *[pa.nulls(len(blobs), pa.int64())] * 3,
+                *[pa.nulls(len(blobs), pa.int64())] * 4,
                 pa.array(range(len(blobs)), pa.int32()),
                 pa.array([part % 64] * len(blobs), pa.int32()),
                 pa.array(blobs, pa.binary()),
             ],
-            names=["doc_id", "node", "n", "slice", "task", "counts"],
+            names=["doc_id", "text_hash", "node", "n", "slice", "task", "counts"],
         )
 
     return run
@@ -194,9 +195,10 @@ class Join:
     def __init__(self, docs: DataFrame, k: int, share):
         self.k, self.share = k, share
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        kind = "doc_id long, node long, n long, slice int, task int, counts binary"
+        self.docs = self.docs.withColumn("text_hash", F.xxhash64("text"))
+        kind = "doc_id long, text_hash long, node long, n long, slice int, task int, counts binary"
         named = stored(self.docs.mapInArrow(_named(k), kind), "sets-named")
-        self.rows = named.filter("slice IS NULL").select("doc_id", "node", "n")
+        self.rows = named.filter("slice IS NULL").select("doc_id", "text_hash", "node", "n")
         level = self.docs.sparkSession.sparkContext.broadcast(levels(named))
         short = self.docs.mapInArrow(_short_lists(k, share, level), "node long, n long, short array<long>")
         self.short = stored(short.groupBy("node").agg(F.first("n").alias("n"), F.first("short").alias("short")), "sets-short")
@@ -229,14 +231,17 @@ class Join:
         both = likely.join(whole("a").hint("merge"), "a").join(whole("b").hint("merge"), "b").select("a", "b", "set_a", "set_b")
         return stored(both.mapInArrow(_check_sets(self.share), "a long, b long"), "sets-links")
 
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """(want, text): squeezed texts that may have the wanted sets; a row meets only sets of its own id and text."""
+        from_rows = self.rows.join(wanted.hint("merge"), "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"))
+        where = from_rows.select(F.col("node").alias("want"), "least")
+        small = self.docs.filter("text IS NOT NULL").mapInArrow(_squeezed, "doc_id long, text binary, text_hash long")
+        at = (F.col("text_hash") == F.col("least.text_hash")) & F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+        return small.join(where.hint("merge"), at).select("want", "text")
+
     def whole(self, wanted: DataFrame) -> DataFrame:
         """(node, set): the whole sets of the wanted nodes, from their texts."""
-        # One row of each wanted set, by its smallest id, gives the text.
-        from_rows = self.rows.join(wanted.hint("merge"), "node").groupBy("node").agg(F.min("doc_id").alias("least"))
-        where = from_rows.select(F.col("node").alias("want"), "least")
-        small = self.docs.filter("text IS NOT NULL").mapInArrow(_squeezed, "doc_id long, text binary")
-        texts = small.join(where.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least")))
-        sets = texts.select("want", "text").mapInArrow(_whole_sets_of(self.k), "node long, set binary").dropDuplicates(["node"])
+        sets = self.texts(wanted).mapInArrow(_whole_sets_of(self.k), "node long, set binary").dropDuplicates(["node"])
         return stored(sets, "sets-whole")
 
     def between(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -282,11 +287,11 @@ def _nodes(pairs: DataFrame) -> DataFrame:
 
 
 def _squeezed(batches):
-    """(doc_id, text) with the texts as they cross the shuffle."""
+    """(doc_id, text, text_hash) with the texts as they cross the shuffle."""
     squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         texts = [squeeze.compress(t.as_buffer()) for t in batch.column(1).cast(pa.large_binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()), batch.column(2)], names=["doc_id", "text", "text_hash"])
 
 
 def _whole_sets_of(k: int):

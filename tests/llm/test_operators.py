@@ -331,6 +331,14 @@ def test_jaccard_join(spark, docs, none, rows, monkeypatch):
     assert jaccard.jaccard_components(none).count() == 0
 
 
+def test_jaccard_texts_of_one_id_meet_only_their_own_sets(spark):
+    rng = random.Random(8)
+    rows = [(i, words(rng, 30), None, None) for i in range(5)] + [(j, words(rng, 30), None, None) for j in [None] * 40 + [7] * 40]
+    join = jaccard.Join(frame(spark, rows), jaccard.WORDS, jaccard.SHARE)
+    wanted = join.rows.select("node").distinct()
+    assert join.texts(wanted).count() == len(rows) == join.whole(wanted).count()
+
+
 def test_quality(spark, docs, none):
     rng = random.Random(4)
     made = [(i, words(rng, 50) if i % 4 else "SPAM!! " * 30, "en", f"h{i % 5}") for i in range(300)]
