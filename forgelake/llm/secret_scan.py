@@ -130,7 +130,9 @@ def _entropy(candidates: Column) -> Column:
             out = F.when(c["m"].rlike(matched), found).otherwise(out)
         return out
 
-    allowed = lambda c: F.lit(False) if not ALLOW else c["m"].rlike("|".join(f"(?:{a})" for a in ALLOW))
+    # Java matches a repeated group by recursion unless it is possessive; the parts of a slug match in one way only.
+    allow = "|".join(f"(?:{a.replace('))*', '))*+')})" for a in ALLOW)
+    allowed = lambda c: F.lit(False) if not ALLOW else c["m"].rlike(allow)
     return F.flatten(F.transform(F.filter(candidates, lambda c: ~allowed(c)), spans))
 
 

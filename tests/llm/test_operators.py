@@ -134,6 +134,13 @@ def test_secret_scan(spark, docs, none, rows):
     assert secret_scan.redact(none).count() == 0
 
 
+def test_secret_scan_long_slugs(spark):
+    slug = "abc-1-" * 50_000
+    docs = spark.createDataFrame([(1, slug + "abc"), (2, "/" + slug + "abc/"), (3, "ab-1-" * 5 + "q7Zp0Lx9Vb3Nk5Tg8Wd2Rf6Yh4Jc1Ms")], "doc_id long, text string")
+    got = {r.doc_id: len(r.spans) for r in secret_scan.with_spans(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 1}
+
+
 def test_language_costs_are_ppm():
     """Costs from the sorted tables equal a plain walk over dict counts (method C)."""
     rng = random.Random(1)
