@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+
 import oracle_sql as oracle  # noqa: E402
 from forgelake import specs  # noqa: E402
 from forgelake.operators import bronze, reports, silver  # noqa: E402
@@ -30,17 +32,23 @@ from forgelake.sources import fixture  # noqa: E402
 from forgelake.sources.raw import read_raw  # noqa: E402
 from forgelake.sources.tables import read_source_month, read_table, since  # noqa: E402
 
+
+def _left_out(part: str, missing: ModuleNotFoundError) -> None:
+    """Say which package the optional part lacks; nothing to say when the part itself is not installed."""
+    name = missing.name or ""
+    if name != "corpus_pipeline" and not name.startswith("forgelake.llm"):
+        warnings.warn(f"{part} left out: no package {name}", stacklevel=2)
+
+
 try:  # the training-data operators are an optional part: the rest stands without them
     from forgelake.llm import queries as llm
 except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith("forgelake.llm"):
-        raise
+    _left_out("forgelake.llm", missing)
     llm = None
 try:
     import corpus_pipeline
 except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("forgelake.llm"):
-        raise
+    _left_out("corpus_pipeline", missing)
     corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -50,6 +58,19 @@ def _layers(spark: SparkSession, sf_dir: str, materialize="shared") -> Layers:
     return Layers(spark, fixture_staging(spark, sf_dir), materialize=materialize)
 
 
+def _built_once(build: Callable[[SparkSession, str], Warehouse]) -> Callable[[SparkSession, str], Warehouse]:
+    """Warehouses that several queries read are loaded once a session and scale."""
+    built: dict[tuple[str, str], Warehouse] = {}
+
+    def get(spark: SparkSession, sf_dir: str) -> Warehouse:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in built:
+            built[key] = build(spark, sf_dir)
+        return built[key]
+
+    return get
+
+
 # --- sources ---------------------------------------------------------------------
 
 def q_raw_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +148,66 @@ def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.quality_report({name: layers[name] for name in ASSETS})
 
 
+# --- dirty input -----------------------------------------------------------------------
+
+def _dirty_staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    frames = staging_frames(stg.with_event_dates(fixture.dirty(fixture.read_fixture_raw(spark, sf_dir))))
+    frames["staging_productivity"] = fixture.with_replayed_pull_requests(frames["staging_productivity"])
+    return frames
+
+
+def _delivered_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The layers over dirty input, some rows of each delivered a second time."""
+    layers = Layers(spark, _dirty_staging(spark, sf_dir), materialize="all")
+    return {name: layers[name].unionByName(layers[name].filter(oracle.TWICE[name])) for name in ASSETS}
+
+
+def q_quality_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Section 2.8 on failing rows: all four kinds of check count some."""
+    return checks.quality_report(_delivered_twice(spark, sf_dir))
+
+
+def q_dirty_row_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by row: tags of each table's rows, counted."""
+    out = None
+    for name, df in _delivered_twice(spark, sf_dir).items():
+        rows = checks.tagged(df, specs.SPECS[name]).select(F.lit(name).alias("table"), F.explode(checks.VIOLATIONS).alias("tag"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("table", "tag").agg(F.count(F.lit(1)).alias("failed_rows"))
+
+
+@_built_once
+def _quarantined_run(spark: SparkSession, sf_dir: str) -> Warehouse:
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    frames = _dirty_staging(spark, sf_dir)
+    del frames["bot_events"]
+    write_staging(wh, frames)
+    run_assets(spark, wh, targets=["silver_developer_activity"], quarantine=True)
+    return wh
+
+
+def q_quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a checked run over dirty input sets aside, by table and tags."""
+    wh = _quarantined_run(spark, sf_dir)
+    out = None
+    for name in ("bronze_events", "bronze_commits", "bronze_productivity", "silver_developer_activity"):
+        rows = wh.set_aside(name)
+        if rows is not None:
+            rows = rows.select(F.lit(name).alias("table"), F.array_join(checks.VIOLATIONS, " ").alias("tags"))
+            out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("table", "tags").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_quarantined_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What that run puts into silver."""
+    return _quarantined_run(spark, sf_dir).read("silver_developer_activity").select(*specs.SILVER_DEVELOPER_ACTIVITY.columns)
+
+
+def q_dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 + P12: '' logins and NULL types through the guards."""
+    return Layers(spark, _dirty_staging(spark, sf_dir))["silver_developer_activity"]
+
+
 # --- sinks -----------------------------------------------------------------------------
 
 def q_partition_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,8 +242,8 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge_scenario(spark, sf_dir, sink.UPDATE_ALL)
 
 
-def _load_month(spark: SparkSession, sf_dir: str, wh: Warehouse, n: int) -> int:
-    frames = staging_frames(stg.with_event_dates(fixture.month_of(fixture.read_fixture_raw(spark, sf_dir), n)))
+def _load_month(spark: SparkSession, sf_dir: str, wh: Warehouse, n: int, month=fixture.month_of) -> int:
+    frames = staging_frames(stg.with_event_dates(month(fixture.read_fixture_raw(spark, sf_dir), n)))
     frames["staging_productivity"] = fixture.with_replayed_pull_requests(frames["staging_productivity"])
     write_staging(wh, frames, source_month=202400 + n)
     return 202400 + n
@@ -191,6 +272,26 @@ def q_incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.read("silver_developer_activity").select(*specs.SPECS["silver_developer_activity"].columns)
 
 
+@_built_once
+def _overlapping_months(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """K3 by version and by scope: months that share ids and SHAs, the older one loaded again after the newer."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    targets = ["silver_repo_summary", "developer_productivity_monthly"]
+    for n in (1, 2, 1):
+        month = _load_month(spark, sf_dir, wh, n, fixture.overlapping_month_of)
+        # undated rows are meant to be here, so the not_null checks would stop the run
+        run_assets(spark, wh, targets=targets, source_month=month, replace_scope=True, check=False)
+    return wh
+
+
+def _of_overlapping_months(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _overlapping_months(spark, sf_dir).read(table).select(*specs.SPECS[table].columns)
+
+    run.__name__ = f"q_overlapping_months_{table}"
+    return run
+
+
 def q_merge_key_moves_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: a second run carries every event of the moved days to a later date; the old dates end up empty."""
     spec = specs.BRONZE_EVENTS
@@ -241,12 +342,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q.update(
         {
             "quality_report": q_quality_report,
+            "quality_report_dirty": q_quality_report_dirty,
+            "dirty_row_tags": q_dirty_row_tags,
+            "dirty_silver": q_dirty_silver,
+            "quarantined_rows": q_quarantined_rows,
+            "quarantined_silver": q_quarantined_silver,
             "partition_overwrite_roundtrip": q_partition_overwrite_roundtrip,
             "merge_insert_only": q_merge_insert_only,
             "merge_upsert": q_merge_upsert,
             "merge_key_moves_partition": q_merge_key_moves_partition,
             "rerun_month": q_rerun_month,
             "incremental_months": q_incremental_months,
+            "rerun_older_month": _of_overlapping_months("silver_repo_summary"),
+            "rerun_older_month_events": _of_overlapping_months("bronze_events"),
+            "rerun_older_month_commits": _of_overlapping_months("bronze_commits"),
+            "rerun_older_month_productivity": _of_overlapping_months("bronze_productivity"),
+            "rerun_older_month_silver": _of_overlapping_months("silver_developer_activity"),
+            "merge_unpartitioned_monthly": _of_overlapping_months("developer_productivity_monthly"),
             "lookback_events": q_lookback_events,
             "rpt_top_developers": _report(reports.top_developers_by_commits, "commit_stats_by_day"),
             "rpt_commits_by_repo": _report(reports.commits_by_repo, "commit_stats_by_day"),

@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.operators.common import stamp
-from forgelake.operators.dedup import asc, latest_per_key
+from forgelake.operators.dedup import asc, latest_per_key, version_order
 from forgelake.specs import BRONZE_COMMITS, BRONZE_EVENTS, BRONZE_PRODUCTIVITY
 
 
 def bronze_events(staging_events: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Latest row per event_id."""
-    order = [F.col("created_at").desc_nulls_last(), *asc("type", "repo_name", "actor_login", "date")]
-    return stamp(latest_per_key(staging_events, ["event_id"], order), BRONZE_EVENTS.columns, ingested_at)
+    latest = latest_per_key(staging_events, ["event_id"], version_order(BRONZE_EVENTS))
+    return stamp(latest, BRONZE_EVENTS.columns, ingested_at)
 
 
 def event_time_by_id(bronze: DataFrame) -> DataFrame:
@@ -43,8 +43,8 @@ def bronze_commits(
     later push.
     """
     joined = staging_commits.join(_event_times(bronze), "event_id", "inner")
-    order = [F.col("created_at").desc_nulls_last(), *asc("event_id", "actor_login", "repo_name", "date")]
-    return stamp(latest_per_key(joined, ["commit_sha"], order), BRONZE_COMMITS.columns, ingested_at)
+    latest = latest_per_key(joined, ["commit_sha"], version_order(BRONZE_COMMITS))
+    return stamp(latest, BRONZE_COMMITS.columns, ingested_at)
 
 
 def bronze_productivity(
@@ -56,6 +56,5 @@ def bronze_productivity(
     the tie-breakers alone decide: they collapse before the join's shuffle.
     """
     rows = staging_productivity.filter(F.col("developer_login").isNotNull() & (F.col("developer_login") != ""))
-    order = asc("repo_name", "date", "lines_added", "lines_deleted", "files_changed", "pr_state")
-    latest = latest_per_key(rows, ["event_id", "developer_login"], order)
+    latest = latest_per_key(rows, ["event_id", "developer_login"], asc(*BRONZE_PRODUCTIVITY.ties))
     return stamp(latest.join(_event_times(bronze), "event_id", "inner"), BRONZE_PRODUCTIVITY.columns, ingested_at)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forgelake.specs import TableSpec
+
 _RN = "__rn"
 
 
@@ -26,3 +28,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
 def asc(*cols: str) -> list[Column]:
     """Ascending tie-breakers with NULLs last (Spark defaults to NULLS FIRST)."""
     return [F.col(c).asc_nulls_last() for c in cols]
+
+
+def version_order(spec: TableSpec) -> list[Column]:
+    """The declared order of a key's versions, the latest first."""
+    return [F.col(c).desc_nulls_last() for c in spec.latest_by] + asc(*spec.ties)

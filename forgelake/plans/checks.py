@@ -19,8 +19,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forgelake.operators.dedup import asc, latest_per_key
 from forgelake.specs import NOT_NEGATIVE, NOT_NULL, SPECS, UNIQUE, UNIQUE_KEY, TableSpec
 
+#: Column of row-level tags ``kind:column`` that :func:`tagged` adds.
+VIOLATIONS = "violations"
 REPORT_DDL = "table string, column string, check string, failed_rows bigint"
 
 
@@ -64,6 +67,50 @@ def column_failures(spec: TableSpec, observed: dict) -> list[tuple[str, str, str
     return out
 
 
+def violations(spec: TableSpec) -> F.Column:
+    """The per-row checks that a row fails, as an array of ``kind:column`` tags (empty: a good row)."""
+    failing = []
+    for column, kind in spec.checks():
+        if kind == NOT_NULL:
+            failing.append(F.when(F.col(column).isNull(), f"{kind}:{column}"))
+        elif kind == NOT_NEGATIVE:
+            failing.append(F.when(F.col(column) < 0, f"{kind}:{column}"))
+    if not failing:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*failing))
+
+
+def tagged(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` (a written table) with :data:`VIOLATIONS`, repeats of a key or a unique column included.
+
+    Tags of a kind and column are as many as the check's failed rows: of the rows that share a key
+    (NULLs are one, but not for ``unique``) the first by all columns is not tagged.  Equal rows are counted
+    together, the first row of a key comes from a limited window, and the rest meet it in an
+    equi-join that may be split, so a key that holds a third of all rows is never gathered.
+    """
+    columns, row = df.columns, F.struct(*df.columns)
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    every, tags, first_of = rows, [], {}
+    for column, kind in spec.checks():
+        if kind not in (UNIQUE, UNIQUE_KEY):
+            continue
+        keys = column.split(",")
+        if tuple(keys) not in first_of:
+            mark = f"__first_{len(first_of)}"
+            named = [F.col(k).alias(f"{mark}_{k}") for k in keys]
+            first = latest_per_key(rows.select(*columns), keys, asc(*columns)).select(row.alias(mark), *named)
+            on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{mark}_{k}")) for k in keys])
+            every = every.join(first, on, "left")
+            first_of[tuple(keys)] = mark
+        repeat = ~(row.eqNullSafe(F.col(first_of[tuple(keys)])) & (F.col("__nth") == 1))
+        if kind == UNIQUE:
+            repeat = repeat & F.col(column).isNotNull()
+        tags.append(F.when(repeat, f"{kind}:{column}"))
+    each = every.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    found = F.concat(violations(spec), F.array_compact(F.array(*tags))) if tags else violations(spec)
+    return each.select(*columns, found.alias(VIOLATIONS))
+
+
 def key_checks(df: DataFrame, spec: TableSpec) -> DataFrame | None:
     """The uniqueness checks (unique, unique_key): one grouped pass per key set."""
     parts = []

@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgelake import specs
 from forgelake.operators import staging as stg
@@ -33,6 +35,8 @@ from forgelake.sources.raw import month_glob, read_raw
 from forgelake.sources.tables import read_source_month, read_table, since_month
 
 BOT_EVENTS = "bot_events"
+#: The table whose replaced rows recall the staging rows of their events.
+EVENTS = "bronze_events"
 
 
 def staging_frames(base: DataFrame) -> dict[str, DataFrame]:
@@ -85,6 +89,16 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return sink.path_exists(self.spark, self.path(name))
 
+    def quarantine(self, name: str) -> str:
+        return self.path(f"_quarantine/{name}")
+
+    def set_aside(self, name: str) -> DataFrame | None:
+        """Quarantined rows of a table with their ``violations`` and ``batch``; None without any."""
+        if not sink.folder_names(self.spark, self.quarantine(name)):
+            return None
+        schema = specs.SPECS[name].stored_schema.add(checks.VIOLATIONS, T.ArrayType(T.StringType())).add("batch", "string")
+        return self.spark.read.schema(schema).parquet(self.quarantine(name))
+
     def quality_report(self) -> DataFrame:
         """Every declared check over every medallion table in the warehouse."""
         return checks.quality_report({name: self.read(name) for name in ASSETS})
@@ -188,18 +202,22 @@ class Lookback:
         return since_month(df, 0, start)
 
 
-def _on_dates(df: DataFrame, dates: set, whole_months: bool) -> DataFrame:
-    """Rows on the given dates (None: without a date), or in the months that hold them."""
+def _dated(columns: Iterable[str], dates: set, whole_months: bool) -> Column:
+    """Whether a row lies on the given dates (None: without a date), or in the months that hold them."""
     if not whole_months:
-        return df.filter(sink._partition_filter(["date"], {(d,) for d in dates}))
+        return sink._partition_filter(["date"], {(d,) for d in dates})
     months = {(None, None) if d is None else (d.year, d.month) for d in dates}
-    if "date" in df.columns:  # months as date ranges prune tables laid out by date
+    if "date" in columns:  # months as date ranges prune tables laid out by date
         keep = F.lit(False)
         for y, m in months:
             first = None if y is None else F.lit(dt.date(y, m, 1))
             keep = keep | (F.col("date").isNull() if y is None else F.col("date").between(first, F.last_day(first)))
-        return df.filter(keep)
-    return df.filter(sink._partition_filter(["year", "month"], months))
+        return keep
+    return sink._partition_filter(["year", "month"], months)
+
+
+def _on_dates(df: DataFrame, dates: set, whole_months: bool) -> DataFrame:
+    return df.filter(_dated(df.columns, dates, whole_months))
 
 
 def _upstream(name: str) -> set[str]:
@@ -207,11 +225,47 @@ def _upstream(name: str) -> set[str]:
     return deps.union(*(_upstream(d) for d in deps))
 
 
+class Unfinished:
+    """What incremental runs have changed and not yet carried through every asset.
+
+    Each merge of a run notes, before it commits, the dates it changes and the events whose row
+    it replaces; a run takes up the notes of earlier ones that broke off (or built some assets
+    only), and drops them when all assets are built.  Dates are folder names, events a small table.
+    """
+
+    def __init__(self, warehouse: Warehouse):
+        self.spark, self.root = warehouse.spark, f"{warehouse.root.rstrip('/')}/_unfinished"
+
+    def note(self, asset: str, outcome: dict) -> None:
+        for (day, *_) in outcome["seen"]:
+            sink.make_folder(self.spark, f"{self.root}/dates/{asset}/{day}")
+        if asset == EVENTS and "replaced" in outcome:
+            path = f"{self.root}/events/{uuid.uuid4().hex}"
+            outcome["replaced"].select("event_id").write.parquet(path)
+
+    def dates(self, asset: str) -> set:
+        names = sink.folder_names(self.spark, f"{self.root}/dates/{asset}")
+        return {None if n == str(None) else dt.date.fromisoformat(n) for n in names}
+
+    def events(self) -> DataFrame | None:
+        """Ids of replaced events; None without any."""
+        names = sink.folder_names(self.spark, f"{self.root}/events")
+        paths = [p for p in (f"{self.root}/events/{n}" for n in names) if sink.path_exists(self.spark, f"{p}/_SUCCESS")]
+        if not paths:
+            return None
+        ids = self.spark.read.schema("event_id string").parquet(*paths).distinct()
+        return None if ids.isEmpty() else ids
+
+    def clear(self) -> None:
+        sink.delete_path(self.spark, self.root)
+
+
 @dataclass
 class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)  # rows each asset built this run
     failures: list[tuple] = field(default_factory=list)
+    set_aside: dict[str, int] = field(default_factory=dict)  # rows quarantined
 
 
 def run_assets(
@@ -223,9 +277,11 @@ def run_assets(
     update: str | tuple = sink.UPDATE_ALL,
     lookback: Lookback | None = None,
     source_month: int | None = None,
+    replace_scope: bool = False,
     keys_can_move: dict[str, bool] | None = None,
     check: bool = True,
     strict: bool = True,
+    quarantine: bool = False,
     parallel: int = 4,
 ) -> RunReport:
     """Build, merge and check every asset needed for ``targets``, upstream first.
@@ -236,15 +292,26 @@ def run_assets(
     failing check raises after that wave, before any downstream asset runs.
 
     ``source_month`` (YYYYMM) makes the run incremental: the first layer reads
-    the staging rows of that month only, whatever their dates, and every later
-    asset recomputes the dates (monthly tables: whole months) that the merges
-    before it rewrote.  Matched keys take the month's version and groups that
-    no longer arise stay: the merge rule, not a rebuild.  ``keys_can_move``
+    the staging rows of that month, whatever their dates, with those of other
+    months whose event has got a later version, and every later
+    asset recomputes the dates (monthly tables: whole months) of the rows that
+    the merges before it changed or found unchanged.  Tables with a version order keep the
+    latest version of a key, whichever month is loaded last.  Groups that no longer arise
+    stay, as by the merge rule; with ``replace_scope`` the recomputed dates and months
+    of silver and gold are replaced whole, so the tables equal a rebuild.  ``keys_can_move``
     goes to :func:`sink.merge_into` by asset name.
+
+    ``quarantine`` sets rows that fail a per-row check aside (:meth:`Warehouse.set_aside`), one batch a
+    source month (other runs: ``all``), and merges the others, so the run goes on.
     """
     if lookback is not None and source_month is not None:
         raise ValueError("lookback and source_month exclude each other")
+    if replace_scope and source_month is None:
+        raise ValueError("replace_scope needs a source_month")
     touched: dict[str, set] = {}
+    unfinished = Unfinished(warehouse) if source_month is not None else None
+    if unfinished:
+        touched = {name: unfinished.dates(name) for name in ASSETS}
     if ingested_at is None:
         ingested_at = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     report = RunReport()
@@ -259,7 +326,9 @@ def run_assets(
             for dep in asset.deps:
                 df = warehouse.read(dep)
                 if source_month is not None and dep in STAGING_NAMES:
-                    df = read_source_month(spark, warehouse.path(dep), specs.SPECS[dep], source_month)
+                    # Pushes and pull requests take their event's time, so a replaced event recalls its rows of every month.
+                    recalled = unfinished.events() if EVENTS in asset.deps else None
+                    df = read_source_month(spark, warehouse.path(dep), specs.SPECS[dep], source_month, recalled)
                 elif source_month is not None:
                     df = _on_dates(df, dates, whole_months=not asset.spec.partition_by)
                 elif lookback is not None:
@@ -275,6 +344,13 @@ def run_assets(
             def observe(df: DataFrame) -> DataFrame:
                 return df.observe(row_checks, *metrics) if metrics else df
 
+            how, scope = update, None
+            if unfinished and asset.spec.latest_by and update == sink.UPDATE_ALL:
+                how = sink.UPDATE_LATEST
+            elif replace_scope:
+                monthly = not asset.spec.partition_by
+                scope = _dated(asset.spec.columns, dates, whole_months=monthly)
+
             # Builders end in a group-by or dedup on the key, and the unique_key check
             # below covers the result, so the merge skips its own source key pass.
             outcome = sink.merge_into(
@@ -282,15 +358,24 @@ def run_assets(
                 result,
                 warehouse.path(name),
                 asset.spec,
-                update,
+                how,
                 check_source_keys=not check,
-                keys_can_move=(keys_can_move or {}).get(name),
+                # A scope holds every date that a recomputed key was on, so no key is left elsewhere.
+                keys_can_move=(keys_can_move or {}).get(name, False if scope is not None else None),
                 observe=observe,
+                scope=scope,
+                quarantine=(
+                    sink.Quarantine(checks.violations(asset.spec), f"{warehouse.quarantine(name)}/batch={source_month or 'all'}")
+                    if quarantine
+                    else None
+                ),
+                before_commit=(lambda found: unfinished.note(name, found)) if unfinished and asset.spec.partition_by else None,
             )
+            report.set_aside[name] = outcome.get("set_aside", 0)
             if asset.spec.partition_by:
-                touched[name] = {value[0] for value in outcome["touched"]}
-            if outcome.get("empty"):  # nothing was written, so no metric was observed
-                report.rows[name] = 0
+                touched[name] = touched.get(name, set()) | {value[0] for value in outcome["seen"]}
+            if outcome.get("empty"):  # nothing was written, so no row was checked
+                report.rows[name] = built.get["rows"] if outcome["seen"] else 0
                 return
             report.rows[name] = built.get["rows"]
             if check:
@@ -316,6 +401,8 @@ def run_assets(
         report.seconds.update(_run_all(spark, {n: one(n) for n in names}, parallel))
         if strict and report.failures:
             raise checks.QualityCheckError(f"quality checks failed: {report.failures}")
+    if unfinished and needed == set(ASSETS):
+        unfinished.clear()
     return report
 
 

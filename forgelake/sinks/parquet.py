@@ -4,10 +4,10 @@ Plain Parquet has no MERGE INTO, so a merge is expressed with joins and a
 dynamic partition overwrite:
 
 * the source is staged once to the scratch folder (its lineage is cut; the
-  key check, the partition listing and the merge all read that copy);
+  key check, the list of its partitions and the merge all read that copy);
 * only partitions the merge touches are read from the target (partition
   pruning); the merged rows are written to a copy below the table first, then
-  brought in by a dynamic overwrite, so a crash in that commit loses nothing;
+  its partition folders are renamed in, so a crash in that commit loses nothing;
 * partitions a merge empties (a key moved to another date) are deleted;
 * unpartitioned tables get a complete new version beside them, swapped in by
   renames, so they are never missing or partial.
@@ -18,18 +18,35 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from forgelake.operators.dedup import latest_per_key, version_order
 from forgelake.session import scratch_path
 from forgelake.sources.tables import SOURCE_MONTH, read_table
 from forgelake.specs import TableSpec
 
 HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 UPDATE_ALL = "all"
+UPDATE_LATEST = "latest"
 INSERT_ONLY = ()
+_HELD = "__held"
+
+
+#: Partition of a staged source that tells the rows set aside; their tags.
+SET_ASIDE, TAGS = "set_aside", "violations"
+
+
+@dataclass(frozen=True)
+class Quarantine:
+    """Rows with a tag (an array of strings, empty for a good row) go to ``folder`` instead of the table."""
+
+    tags: Column
+    folder: str
 
 
 class DuplicateKeyError(ValueError):
@@ -55,6 +72,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none when it does not exist."""
+    fs, p = _fs_path(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs_path(spark, src)
     _, d = _fs_path(spark, dst)
@@ -185,10 +213,35 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
 
 def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec, label: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, f"{spec.name}-{label}")
-    _writer(df, spec, "errorifexists").parquet(path)  # rebalanced, so files don't grow as tasks times dates
+    conform(df, spec).write.parquet(path)  # read back whole, so not laid out by partition
     return path, read_table(spark, path, spec)
 
 
+def _held_values(df: DataFrame, parts: Sequence[str]) -> set[tuple]:
+    """Partition values in a frame, a list bounded by the calendar."""
+    return {tuple(r) for r in df.select(*parts).distinct().collect()} if parts else set()
+
+
+def _set_aside(spark: SparkSession, df: DataFrame, spec: TableSpec, quarantine: Quarantine) -> tuple[str, DataFrame, int]:
+    """Stage a source in one pass with its bad rows apart; those replace the quarantine folder.
+
+    (folder of the good rows, the good rows, number of bad rows)
+    """
+    path = scratch_path(spark, f"{spec.name}-source")
+    counted = Observation(f"{spec.name}_set_aside")
+    rows = conform(df, spec).withColumn(TAGS, quarantine.tags).withColumn(SET_ASIDE, F.size(TAGS) > 0)
+    rows = rows.observe(counted, F.count_if(F.col(SET_ASIDE)).alias("bad"))
+    rows.write.partitionBy(SET_ASIDE).parquet(path)
+    good, bad = f"{path}/{SET_ASIDE}=false", f"{path}/{SET_ASIDE}=true"
+    make_folder(spark, good)
+    if path_exists(spark, bad):
+        rows = spark.read.schema(spec.stored_schema.add(TAGS, T.ArrayType(T.StringType()))).parquet(bad)
+        replace_folder(spark, quarantine.folder, lambda new: rows.hint("rebalance").write.parquet(new))
+        return good, read_table(spark, good, spec), counted.get["bad"]
+    delete_path(spark, quarantine.folder)
+    return good, read_table(spark, good, spec), 0
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str) -> None:
     """Raise if a non-NULL key repeats (NULL keys never match, so they may repeat)."""
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -255,21 +308,39 @@ def partition_values(spark: SparkSession, path: str, spec: TableSpec) -> list[tu
 _MERGE = "_merge"  # below the table, skipped by Spark's file listing
 
 
+#: Filesystems whose folder renames are single steps; elsewhere a rename copies file by file and may break off in between.
+RENAMING = ("file", "hdfs", "viewfs")
+
+
 def _commit_merge(spark: SparkSession, path: str, spec: TableSpec) -> None:
-    """Bring the finished copy of merged rows into the table; repeatable until the copy is deleted."""
-    base = f"{path.rstrip('/')}/{_MERGE}"
-    rows = read_table(spark, f"{base}/rows", spec)
-    (
-        # the copy is laid out already: no second shuffle
-        rows.sortWithinPartitions(*spec.partition_by, *spec.cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*spec.partition_by)
-        .parquet(path)
-    )
+    """Bring the finished copy of merged rows into the table; repeatable until the copy is deleted.
+
+    Partition folders are renamed in one by one, each from the copy, so one that is missing
+    from the table is still in the copy; where a rename is no single step, the rows are written again.
+    """
+    table = path.rstrip("/")
+    base = f"{table}/{_MERGE}"
+    fs, _ = _fs_path(spark, path)
+    if fs.getScheme() in RENAMING:
+        for row in partition_values(spark, f"{base}/rows", spec):
+            folder = _partition_dir(spec.partition_by, row)
+            delete_path(spark, f"{table}/{folder}")
+            if len(row) > 1:
+                make_folder(spark, f"{table}/{folder.rpartition('/')[0]}")
+            _rename(spark, f"{base}/rows/{folder}", f"{table}/{folder}")
+    else:
+        rows = read_table(spark, f"{base}/rows", spec)
+        (
+            # the copy is laid out already: no second shuffle
+            rows.sortWithinPartitions(*spec.partition_by, *spec.cluster_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*spec.partition_by)
+            .parquet(path)
+        )
     if path_exists(spark, f"{base}/emptied"):
         for row in spark.read.text(f"{base}/emptied").collect():  # one line a date at most
-            delete_path(spark, f"{path.rstrip('/')}/{row[0]}")
+            delete_path(spark, f"{table}/{row[0]}")
     delete_path(spark, base)
 
 
@@ -292,11 +363,17 @@ def merge_into(
     check_source_keys: bool = True,
     keys_can_move: bool | None = None,
     observe: Callable[[DataFrame], DataFrame] | None = None,
+    scope: Column | None = None,
+    before_commit: Callable[[dict], None] | None = None,
+    quarantine: Quarantine | None = None,
 ) -> dict:
     """K3: keyed merge of ``source`` into the table at ``path``.
 
     ``update="all"`` replaces matched rows (upsert); ``update=()`` only
-    inserts new keys (matched rows keep their old values).  Keys compare with
+    inserts new keys (matched rows keep their old values); ``update="latest"``
+    replaces a matched row only by one that the table's declared version order
+    (``latest_by``, then ``ties``) puts before it, so an older version never
+    comes back and an equal one writes nothing.  Keys compare with
     plain ``=``: a NULL key never matches, so such rows are always inserted.
     ``check_source_keys`` rejects a source that repeats a key; callers whose
     source is unique by construction and who check the table afterwards
@@ -309,97 +386,199 @@ def merge_into(
     rewritten partitions of an upsert, the new rows of an insert), so metrics
     such as per-row quality checks ride along with the write.
 
+    ``scope`` (an upsert's) says which target rows the source is a complete
+    recomputation of: rows in it that the source does not bring back are
+    deleted, those with a NULL key too.  On a partitioned table it is a
+    condition on the partition columns alone, so whole partitions are replaced
+    without a look at their keys.
+
+    ``quarantine`` keeps rows with a tag out: the pass that stages the source writes them
+    apart, and they replace the quarantine folder (one a batch, so a re-run does not add to it).
+
+    ``before_commit`` gets the outcome below before the table is changed (not on a first load).
+
     Cost: a first load is one write.  Later merges stage the source once,
     read only the touched partitions of the target, write the merged rows to a
-    copy below the table, and bring that copy in by a dynamic partition
-    overwrite.  The copy stays until the overwrite and the deletion of emptied
-    partitions are done; a merge that broke off in between is finished by the
+    copy below the table, and rename its partition folders into the table (a dynamic
+    partition overwrite where renames are no single step).  The copy stays until that and the
+    deletion of emptied partitions are done; a merge that broke off in between is finished by the
     next one.  Only when a key may move between partitions (partition columns
     not in the key) is the target's key column scanned as a whole (a semi
     join); emptied partitions are then looked for among its finds alone.
 
-    Returns ``partitions`` (how many were written) and ``touched`` (their values).
+    Returns ``partitions`` (how many were written), ``touched`` (their values),
+    ``seen`` (those and the partitions of matched rows that stayed), ``set_aside`` (rows
+    quarantined) and, for ``update="latest"``, ``replaced`` (keys of the rows replaced; usable
+    until the merge returns).
     """
     keys = list(spec.keys)
     parts = list(spec.partition_by)
     if not keys:
         raise ValueError(f"{spec.name} declares no key")
     written = observe or (lambda df: df)
-    insert_only = update == INSERT_ONLY or update == []
-    if not insert_only and update != UPDATE_ALL:
-        raise ValueError("update must be 'all' (upsert) or () (insert only)")
+    if update != INSERT_ONLY and update != [] and update not in (UPDATE_ALL, UPDATE_LATEST):
+        raise ValueError("update must be 'all' (upsert), 'latest' (upsert of later versions) or () (insert only)")
+    if update == UPDATE_LATEST and not spec.latest_by:
+        raise ValueError(f"{spec.name} declares no version order")
+    if scope is not None and update != UPDATE_ALL:
+        raise ValueError("only an upsert replaces a scope")
 
     recover(spark, path)
     if parts and path_exists(spark, path):
         recover_merge(spark, path, spec)
-    if not path_exists(spark, path):
-        # K6 + first load: the merge of anything into an empty table is the source itself.
-        write_table(written(source), path, spec, "errorifexists")
+    folders = []
+    try:
+        staged_path, bad = None, 0
+        if quarantine is not None:
+            staged_path, source, bad = _set_aside(spark, source, spec, quarantine)
+            folders.append(staged_path.rpartition(f"/{spec.name}-source")[0])
+        if not path_exists(spark, path):
+            return _first_load(spark, source, path, spec, written, check_source_keys) | {"set_aside": bad}
+        staged = source
+        if staged_path is None:
+            staged_path, staged = _stage(spark, source, spec, "merge-source")
+            folders.append(staged_path.rpartition("/")[0])
         if check_source_keys:
-            try:
-                assert_unique_keys(read_table(spark, path, spec), keys, f"{spec.name} merge source")
-            except DuplicateKeyError:
-                delete_path(spark, path)
-                raise
-        first = set(partition_values(spark, path, spec)) if parts else set()
-        return {"partitions": len(first), "touched": first, "first_load": 1}
-
-    staged_path, staged = _stage(spark, source, spec, "merge-source")
+            assert_unique_keys(staged, keys, f"{spec.name} merge source")
+        if update == UPDATE_LATEST:
+            done = _merge_latest(spark, staged, path, spec, keys_can_move, written, before_commit)
+        else:
+            done = _merge_staged(spark, staged, path, spec, update, keys_can_move, written, scope, before_commit)
+        return done | {"set_aside": bad}
+    finally:
+        for folder in folders:
+            delete_path(spark, folder)
+
+
+def _first_load(spark, source, path, spec, written, check_source_keys) -> dict:
+    """K6 + first load: the merge of anything into an empty table is the source itself."""
+    write_table(written(source), path, spec, "errorifexists")
+    if check_source_keys:
+        try:
+            assert_unique_keys(read_table(spark, path, spec), spec.keys, f"{spec.name} merge source")
+        except DuplicateKeyError:
+            delete_path(spark, path)
+            raise
+    first = set(partition_values(spark, path, spec)) if spec.partition_by else set()
+    return {"partitions": len(first), "touched": first, "seen": first, "first_load": 1}
+
+
+def _keys_stay(spec: TableSpec, keys_can_move: bool | None) -> bool:
+    return set(spec.partition_by) <= set(spec.keys) if keys_can_move is None else not keys_can_move
+
+
+def _merge_latest(spark, staged, path, spec, keys_can_move, written, before_commit) -> dict:
+    """Upsert of the source rows that come before the target's row of their key in the version order."""
+    folder = scratch_path(spark, f"{spec.name}-versions")
     try:
-        return _merge_staged(
-            spark, staged_path, staged, path, spec, insert_only, check_source_keys, keys_can_move, written
-        )
+        return _merge_later(spark, folder, staged, path, spec, keys_can_move, written, before_commit)
     finally:
-        delete_path(spark, staged_path.rpartition("/")[0])
+        delete_path(spark, folder.rpartition("/")[0])
+
+
+def _merge_later(spark, folder, staged, path, spec, keys_can_move, written, before_commit) -> dict:
+    keys, parts = list(spec.keys), list(spec.partition_by)
+    target = read_table(spark, path, spec)
+    if parts and _keys_stay(spec, keys_can_move):
+        target = target.filter(_partition_filter(parts, _held_values(staged, parts)))
+    narrow = list(dict.fromkeys([*keys, *spec.latest_by, *spec.ties, *parts]))
+    # What the target holds of the source's keys: versions only, written once and read by all that follows.
+    target.select(*narrow).join(staged.select(*keys), keys, "left_semi").write.parquet(f"{folder}/held")
+    schema = T.StructType([f for c in narrow for f in spec.schema.fields if f.name == c])
+    held = spark.read.schema(schema).parquet(f"{folder}/held")
+
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    rivals = staged.filter(keyed).select(*narrow).withColumn(_HELD, F.lit(False))
+    # An equal version stays as it is, so a repeated merge rewrites nothing.
+    first = latest_per_key(rivals.unionByName(held.withColumn(_HELD, F.lit(True))), keys, [*version_order(spec), F.col(_HELD).desc()])
+    later = first.filter(~F.col(_HELD)).select(*keys)
+    accepted = staged.join(later, keys, "left_semi").unionByName(staged.filter(~keyed))
+    accepted.write.parquet(f"{folder}/accepted")
+    accepted = read_table(spark, f"{folder}/accepted", spec)
+
+    replaced = held.select(*keys).join(accepted.select(*keys), keys, "left_semi")
+    seen = _held_values(held, parts)
+
+    def planned(outcome: dict) -> None:
+        if before_commit:
+            before_commit(outcome | {"replaced": replaced, "seen": outcome["touched"] | seen})
+
+    # The keys' places are known, so the upsert need not look for them again.
+    outcome = _merge_staged(spark, accepted, path, spec, UPDATE_ALL, keys_can_move, written, None, planned, held)
+    return outcome | {"seen": outcome["touched"] | seen, "replaced": replaced}
 
 
 def _merge_staged(
-    spark, staged_path, staged, path, spec, insert_only, check_source_keys, keys_can_move, written
+    spark, staged, path, spec, update, keys_can_move, written, scope=None, before_commit=None, held=None
 ) -> dict:
-    keys = list(spec.keys)
-    parts = list(spec.partition_by)
-    if check_source_keys:
-        assert_unique_keys(staged, keys, f"{spec.name} merge source")
+    keys, parts = list(spec.keys), list(spec.partition_by)
+    insert_only = update == INSERT_ONLY or update == []
     target = read_table(spark, path, spec)
     source_keys = staged.select(*keys)
 
-    if staged.isEmpty():
-        return {"partitions": 0, "touched": set(), "empty": 1}
+    def outcome(touched: set, **more) -> dict:
+        found = {"partitions": len(touched), "touched": touched, "seen": touched, **more}
+        if before_commit:
+            before_commit(found)
+        return found
+
+    if scope is None and staged.isEmpty():
+        return {"partitions": 0, "touched": set(), "seen": set(), "empty": 1}
     if not parts:
         if insert_only:
             append(written(staged.join(target.select(*keys), keys, "left_anti")), path, spec)
-            return {"partitions": 0, "touched": set()}
+            return outcome(set())
         # An unpartitioned table is rewritten whole: write the new version beside it, then swap.
-        replace_table(spark, written(target.join(source_keys, keys, "left_anti").unionByName(staged)), path, spec)
-        return {"partitions": 0, "touched": set()}
+        kept = target if scope is None else target.filter(~F.coalesce(scope, F.lit(False)))
+        done = outcome(set())
+        replace_table(spark, written(kept.join(source_keys, keys, "left_anti").unionByName(staged)), path, spec)
+        return done
 
-    source_parts = set(partition_values(spark, staged_path, spec))
-    keys_stay = set(parts) <= set(keys) if keys_can_move is None else not keys_can_move
+    source_parts = _held_values(staged, parts)
+    keys_stay = _keys_stay(spec, keys_can_move)
     if insert_only:
         # Only new keys are written; look them up in the source's partitions
         # when keys cannot move, else in the whole key column.
         lookup = target.filter(_partition_filter(parts, source_parts)) if keys_stay else target
+        done = outcome(source_parts)
         append(written(staged.join(lookup.select(*keys), keys, "left_anti")), path, spec)
-        return {"partitions": len(source_parts), "touched": source_parts}
+        return done
 
-    touched, emptied = set(source_parts), set()
+    replaced = _in_scope(spark, partition_values(spark, path, spec), spec, scope) if scope is not None else set()
+    touched, emptied = source_parts | replaced, replaced - source_parts
     if not keys_stay:
         # Partitions holding older versions of source keys; one whose every row
         # is replaced from elsewhere ends up empty.
-        held = target.select(*keys, *parts).join(source_keys, keys, "left_semi")
-        others = {tuple(r) for r in held.select(*parts).distinct().collect()} - source_parts
+        if held is None:
+            held = target.select(*keys, *parts)
+        found = held.select(*keys, *parts).join(source_keys, keys, "left_semi")
+        others = _held_values(found, parts) - touched
         if others:
             kept = target.filter(_partition_filter(parts, others)).select(*keys, *parts)
-            surviving = kept.join(source_keys, keys, "left_anti").select(*parts).distinct()
-            emptied = others - {tuple(r) for r in surviving.collect()}
+            surviving = kept.join(source_keys, keys, "left_anti")
+            emptied |= others - _held_values(surviving, parts)
         touched |= others
-
-    target_touched = target.filter(_partition_filter(parts, touched))  # partition pruning
-    merged = target_touched.join(source_keys, keys, "left_anti").unionByName(staged)
+    if not touched:
+        return {"partitions": 0, "touched": set(), "seen": set(), "empty": 1}
+
+    done = outcome(touched, emptied=len(emptied))
+    merged = staged
+    if touched - replaced:
+        outside = target.filter(_partition_filter(parts, touched - replaced))  # partition pruning
+        merged = outside.join(source_keys, keys, "left_anti").unionByName(staged)
     copy = f"{path.rstrip('/')}/{_MERGE}"
     if emptied:
         dirs = [(_partition_dir(parts, row),) for row in sorted(emptied, key=str)]
         spark.createDataFrame(dirs, "value string").coalesce(1).write.text(f"{copy}/emptied")
     _writer(written(merged), spec, "errorifexists").parquet(f"{copy}/rows")
     _commit_merge(spark, path, spec)
-    return {"partitions": len(touched), "touched": touched, "emptied": len(emptied)}
+    return done
+
+
+def _in_scope(spark: SparkSession, values: list[tuple], spec: TableSpec, scope: Column) -> set:
+    """The partitions (a list bounded by the calendar) that a condition on the partition columns holds for."""
+    if not values:
+        return set()
+    types = {f.name: f.dataType for f in spec.schema.fields}
+    rows = [F.struct(*(F.lit(v).cast(types[p]).alias(p) for p, v in zip(spec.partition_by, row))) for row in values]
+    return {tuple(r) for r in spark.range(1).select(F.inline(F.array(*rows))).filter(scope).collect()}

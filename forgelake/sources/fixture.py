@@ -145,3 +145,44 @@ def month_of(raw: DataFrame, n: int) -> DataFrame:
             "id": (key + (n - 1) * MONTH_IDS).cast("string"),
         }
     )
+
+
+def overlapping_month_of(raw: DataFrame, n: int) -> DataFrame:
+    """Like :func:`month_of`, but month 2 delivers ids and SHAs of month 1 again.
+
+    Ids divisible by 3 come back 31 days later (a later version of the event), those that
+    leave 1 on division by 3 come back with their old time; of the ids that come back, those divisible by 7
+    have another login.  An event that comes back keeps its SHA; of the new ones, those divisible by 5
+    push a SHA of month 1.
+    """
+    if n == 1:
+        return month_of(raw, 1)
+    key = F.col("id").cast("bigint")
+    again = key % 3 != 2
+    login = F.when(again & (key % 7 == 0), F.concat(F.col("actor.login"), F.lit("x"))).otherwise(F.col("actor.login"))
+    head = F.when(again | (key % 5 == 0), F.col("payload.head")).otherwise(F.concat(F.col("payload.head"), F.lit(str(n))))
+    days = F.when(key % 3 != 1, 31 * (n - 1)).otherwise(0) + F.when(key % 97 == 0, 31).otherwise(0)
+    at = F.when(key % 89 != 1, F.col("created_at") + F.make_dt_interval(days=days))
+    return raw.withColumns(
+        {
+            "created_at": at,
+            "actor": F.col("actor").withField("login", login),
+            "payload": F.col("payload").withField("head", head),
+            "id": F.when(again, key).otherwise(key + (n - 1) * MONTH_IDS).cast("string"),
+        }
+    )
+
+
+def dirty(raw: DataFrame) -> DataFrame:
+    """The fixture with rows that checks and guards are for: NULL ids, times and types, '' logins, negative line counts."""
+    key = F.col("id").cast("bigint")
+    lines = F.col("payload.pull_request.additions")
+    return raw.withColumns(
+        {
+            "id": F.when(key % 101 != 7, F.col("id")),
+            "type": F.when(key % 19 != 5, F.col("type")),
+            "created_at": F.when(key % 89 != 1, F.col("created_at")),
+            "actor": F.col("actor").withField("login", F.when(key % 17 == 3, F.lit("")).otherwise(F.col("actor.login"))),
+            "payload": F.col("payload").withField("pull_request.additions", F.when(key % 11 == 0, -lines).otherwise(lines)),
+        }
+    )

@@ -22,11 +22,19 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.stored_schema).parquet(path).select(*spec.stored_columns)
 
 
-def read_source_month(spark: SparkSession, path: str, spec: TableSpec, month: int) -> DataFrame:
-    """The rows that one archive month put into a staging table, whatever their dates (NULL included)."""
+def read_source_month(
+    spark: SparkSession, path: str, spec: TableSpec, month: int, recalled: DataFrame | None = None
+) -> DataFrame:
+    """The rows that one archive month put into a staging table, whatever their dates (NULL included).
+
+    ``recalled`` (event_id) adds the rows of those events that other months hold.
+    """
     stored = spec.stored_schema.add(SOURCE_MONTH, "integer")
     rows = spark.read.schema(stored).parquet(path)
-    return rows.filter(F.col(SOURCE_MONTH) == month).select(*spec.stored_columns)
+    own = rows.filter(F.col(SOURCE_MONTH) == month)
+    if recalled is not None:
+        own = own.unionByName(rows.filter(F.col(SOURCE_MONTH) != month).join(recalled, "event_id", "left_semi"))
+    return own.select(*spec.stored_columns)
 
 
 def since(df: DataFrame, days: int, as_of: dt.date | str, date_col: str = "date") -> DataFrame:

@@ -30,6 +30,9 @@ class TableSpec:
     not_null: tuple[str, ...] = ()
     not_negative: tuple[str, ...] = ()
     unique: tuple[str, ...] = ()
+    #: Which row of a key is the latest: these descending (NULLs last), then the ties ascending (NULLs last).
+    latest_by: tuple[str, ...] = ()
+    ties: tuple[str, ...] = ()
     comments: dict[str, str] = field(default_factory=dict)
     stamped: bool = True  # stored with the run's ``ingested_at`` load time
 
@@ -110,7 +113,9 @@ BRONZE_EVENTS = TableSpec(
     cluster_by=("type", "repo_name", "actor_login"),
     not_null=("event_id",),
     unique=("event_id",),
-    comments={"event_id": "Unique identifier for the event.", "type": "Kind of event, e.g. PushEvent."},
+    latest_by=("created_at",),
+    ties=("type", "repo_name", "actor_login", "date"),
+    comments={"event_id": "Archive id; one row per id.", "type": "Kind of event, e.g. PushEvent."},
 )
 
 BRONZE_COMMITS = TableSpec(
@@ -123,6 +128,8 @@ BRONZE_COMMITS = TableSpec(
     partition_by=("date",),
     cluster_by=("repo_name", "actor_login"),
     not_null=("event_id", "created_at", "commit_sha"),
+    latest_by=("created_at",),
+    ties=("event_id", "actor_login", "repo_name", "date"),
     comments={"commit_sha": "Head SHA after the push; one row per SHA."},
 )
 
@@ -137,6 +144,8 @@ BRONZE_PRODUCTIVITY = TableSpec(
     cluster_by=("repo_name", "developer_login"),
     not_null=("event_id", "date", "developer_login"),
     not_negative=("lines_added", "lines_deleted", "files_changed"),
+    latest_by=("created_at",),
+    ties=("repo_name", "date", "lines_added", "lines_deleted", "files_changed", "pr_state"),
 )
 
 SILVER_DEVELOPER_ACTIVITY = TableSpec(
@@ -199,7 +208,7 @@ REPO_HEALTH_SCORECARD = TableSpec(
     cluster_by=("repo_name", "year", "month"),
     not_null=("repo_name", "month_start_date", "year", "month"),
     not_negative=("total_events", "unique_contributors", "total_commits", "total_prs", "merged_prs"),
-    comments={"unique_contributors": "Peak daily number of distinct contributors in the month."},
+    comments={"unique_contributors": "Largest of the daily contributor counts."},
 )
 
 COMMIT_STATS_BY_DAY = TableSpec(

@@ -19,6 +19,19 @@ TOP_N = 10
 MOVED_FROM = "2024-01-20"  # events from this day on reappear later
 MOVED_BY_DAYS = 40
 MONTH_IDS = 1_000_000_000_000  # id offset of the second month
+#: rows that the dirty tables hold twice (read by both engines)
+_BY_ID, _BY_EVENTS = "TRY_CAST(event_id AS BIGINT) % 13 = 0", "total_events % 2 = 0"
+TWICE = {
+    "bronze_events": _BY_ID,
+    "bronze_commits": _BY_ID,
+    "bronze_productivity": _BY_ID,
+    "silver_developer_activity": _BY_ID,
+    "silver_repo_summary": _BY_EVENTS,
+    "developer_productivity_monthly": "total_prs % 2 = 0",
+    "repo_health_scorecard": _BY_EVENTS,
+    "commit_stats_by_day": "total_commits % 2 = 1",
+    "activity_by_day": _BY_EVENTS,
+}
 # ------------------------------------------------------------------------------
 
 _BOT_RE = r"(?i).*\[bot\].*|.*-bot$"
@@ -211,6 +224,25 @@ classified AS ("""
     return f"WITH {layers}\n{body}"
 
 
+def _overlapping_months(body: str) -> str:
+    """The layers over both of two archive months of which the second delivers ids and SHAs of the first again."""
+    months = f"""raw AS (
+    SELECT CASE WHEN m = 1 OR k % 3 <> 2 THEN id ELSE CAST(k + {MONTH_IDS} AS VARCHAR) END AS id, type, ts AS created_at,
+        CAST(ts AS DATE) AS date, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year,
+        CASE WHEN m = 2 AND k % 3 <> 2 AND k % 7 = 0 THEN login || 'x' ELSE login END AS login,
+        repo_name, CASE WHEN m = 1 OR k % 3 <> 2 OR k % 5 = 0 THEN head ELSE head || '2' END AS head, action,
+        lines_added, lines_deleted, files_changed
+    FROM (
+        SELECT *, CASE WHEN k % 89 <> 1 THEN created_at + to_days(CAST(
+            CASE WHEN m = 2 AND k % 3 <> 1 THEN 31 ELSE 0 END + CASE WHEN k % 97 = 0 THEN 31 ELSE 0 END AS INTEGER)) END AS ts
+        FROM (SELECT *, CAST(id AS BIGINT) AS k FROM raw_month) CROSS JOIN (VALUES (1), (2)) AS months(m)
+    )
+),
+classified AS ("""
+    layers = LAYERS.replace("raw AS (", "raw_month AS (", 1).replace("classified AS (", months, 1)
+    return f"WITH {layers}\n{body}"
+
+
 def _table(name: str) -> str:
     return _q(f"SELECT * FROM {name}")
 
@@ -256,7 +288,7 @@ _KEYS = {
 }
 
 
-def _quality_report() -> str:
+def _quality_rows() -> str:
     parts = []
     for table in _KEYS:
         for c in _NOT_NULL.get(table, []):
@@ -270,7 +302,52 @@ def _quality_report() -> str:
         keys = ", ".join(_KEYS[table])
         parts.append(f"SELECT '{table}', '{','.join(_KEYS[table])}', 'unique_key', "
                      f"CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys})")
-    return _q("\nUNION ALL\n".join(parts))
+    return "\nUNION ALL\n".join(parts)
+
+
+_DIRTY_RAW = """raw AS (
+    SELECT CASE WHEN k % 101 <> 7 THEN id END AS id, CASE WHEN k % 19 <> 5 THEN type END AS type,
+        CASE WHEN k % 89 <> 1 THEN created_at END AS created_at, CASE WHEN k % 89 <> 1 THEN date END AS date,
+        CASE WHEN k % 89 <> 1 THEN month END AS month, CASE WHEN k % 89 <> 1 THEN year END AS year,
+        CASE WHEN k % 17 = 3 THEN '' ELSE login END AS login, repo_name, head, action,
+        CASE WHEN k % 11 = 0 THEN -lines_added ELSE lines_added END AS lines_added, lines_deleted, files_changed
+    FROM (SELECT *, CAST(id AS BIGINT) AS k FROM raw_clean)
+),
+classified AS ("""
+
+
+def _dirty_layers() -> str:
+    return LAYERS.replace("raw AS (", "raw_clean AS (", 1).replace("classified AS (", _DIRTY_RAW, 1)
+
+
+def _behind(layers: str, table: str, body: str) -> str:
+    """The layers with ``table`` put behind ``body``, which reads it as ``<table>_all``; later layers read the new one."""
+    start = layers.index(f"\n{table} AS (")
+    end = layers.index("\n)", start) + 2
+    renamed = layers[start:end].replace(f"{table} AS (", f"{table}_all AS (", 1)
+    return layers[:start] + renamed + f",\n{table} AS ({body})" + layers[end:]
+
+
+def _delivered_twice(body: str) -> str:
+    """Each table of the dirty layers with some rows twice; the layers themselves read each other as built."""
+    twice = ",\n".join(f"{t}_twice AS (SELECT * FROM {t} UNION ALL SELECT * FROM {t} WHERE {c})" for t, c in TWICE.items())
+    outer = ",\n".join(f"{t} AS (SELECT * FROM {t}_twice)" for t in TWICE)
+    return f"WITH {_dirty_layers()},\n{twice}\nSELECT * FROM (WITH {outer}\n{body})"
+
+
+def _tags(table: str) -> str:
+    """The per-row tags of a row, joined by a space ('' for a good row)."""
+    found = [f"CASE WHEN {c} IS NULL THEN 'not_null:{c} ' ELSE '' END" for c in _NOT_NULL.get(table, [])]
+    found += [f"CASE WHEN {c} < 0 THEN 'not_negative:{c} ' ELSE '' END" for c in _NOT_NEGATIVE.get(table, [])]
+    return f"rtrim({' || '.join(found)})"
+
+
+def _quarantined(body: str) -> str:
+    """The layers up to silver, each built on the rows before it that fail no per-row check."""
+    layers = _dirty_layers()
+    for table in list(_KEYS)[:4]:
+        layers = _behind(layers, table, f"SELECT * FROM {table}_all WHERE {_tags(table)} = ''")
+    return f"WITH {layers}\n{body}"
 
 
 def oracle_queries() -> dict[str, str]:
@@ -289,7 +366,19 @@ def oracle_queries() -> dict[str, str]:
     q["event_time_by_id"] = _q("SELECT event_id, max(created_at) AS created_at FROM bronze_events GROUP BY event_id")
     for name in _KEYS:
         q[name] = _table(name)
-    q["quality_report"] = _quality_report()
+    q["quality_report"] = _q(_quality_rows())
+    q["quality_report_dirty"] = _delivered_twice(_quality_rows())
+    q["dirty_row_tags"] = _delivered_twice(
+        "SELECT \"table\", \"check\" || ':' || \"column\" AS tag, failed_rows "
+        f"FROM ({_quality_rows()}) WHERE failed_rows > 0"
+    )
+    q["dirty_silver"] = f"WITH {_dirty_layers()}\nSELECT * FROM silver_developer_activity"
+    q["quarantined_silver"] = _quarantined("SELECT * FROM silver_developer_activity")
+    q["quarantined_rows"] = _quarantined(
+        "SELECT \"table\", tags, count(*) AS rows FROM ("
+        + " UNION ALL ".join(f"SELECT '{t}' AS \"table\", {_tags(t)} AS tags FROM {t}_all" for t in list(_KEYS)[:4])
+        + ") WHERE tags <> '' GROUP BY \"table\", tags"
+    )
     q["partition_overwrite_roundtrip"] = _table("staging_events")
     scenario = f"""
 first_silver AS (SELECT * FROM silver_developer_activity WHERE created_at < TIMESTAMP '{MERGE_FIRST_RUN_CUTOFF}'),
@@ -330,6 +419,11 @@ second_run AS (SELECT * FROM silver_repo_summary WHERE date >= DATE '{MERGE_SECO
         "FROM staging_events"
     )
     q["incremental_months"] = _two_months("SELECT * FROM silver_developer_activity")
+    q["rerun_older_month"] = _overlapping_months("SELECT * FROM silver_repo_summary")
+    for short, name in (("events", "bronze_events"), ("commits", "bronze_commits"), ("productivity", "bronze_productivity"),
+                        ("silver", "silver_developer_activity")):
+        q[f"rerun_older_month_{short}"] = _overlapping_months(f"SELECT * FROM {name}")
+    q["merge_unpartitioned_monthly"] = _overlapping_months("SELECT * FROM developer_productivity_monthly")
     q["lookback_events"] = _q(
         "SELECT event_id, type, created_at, date, month, year, repo_name, actor_login FROM staging_events "
         f"WHERE date >= DATE '{LOOKBACK_AS_OF}' - INTERVAL {LOOKBACK_DAYS} DAY "
