@@ -104,13 +104,35 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up[:n], down[:n]
 
 
+#: Longest span that is hashed in one piece: below it no two texts are known that share a hash whatever the base is.
+PIECE = 256
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of data[start:end) for each span, the same wherever the span lies."""
+    """64-bit hash of data[start:end) for each span, the same wherever the span lies.
+
+    A polynomial modulo 2**64; some texts of a thousand letters and more (the Thue-Morse sequence and its
+    complement) collide under any such, so a long span is the sum of its pieces' hashes, each mixed with its number.
+    """
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix64(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def piece(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+    long = np.flatnonzero(ends - starts > PIECE)
+    out = piece(starts, ends)
+    if len(long):
+        many = -(-(ends[long] - starts[long]) // PIECE)
+        first = np.cumsum(many) - many
+        nth = np.arange(int(many.sum())) - np.repeat(first, many)
+        a = np.repeat(starts[long], many) + nth * PIECE
+        h = piece(a, np.minimum(a + PIECE, np.repeat(ends[long], many)))
+        h = mix64(h + nth.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+        out[long] = mix64(np.add.reduceat(h, first) + (ends - starts)[long].astype(np.uint64))
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

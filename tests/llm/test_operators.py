@@ -13,7 +13,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from forgelake.llm import fingerprints, jaccard, langid, mixing, neardup, packing, quality, repeats, secret_scan, toxicity
+from forgelake.llm import common, fingerprints, jaccard, langid, mixing, neardup, packing, quality, repeats, secret_scan, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, spans string, key string"
 
@@ -317,6 +317,41 @@ def test_embedding_neardup(spark):
     assert neardup.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_a_pair_at_the_edge_of_a_block_counts_once(spark):
+    """Block distances a little above and below the bound, in either of two blocks."""
+    dims, near = 64, (2 - 2 * neardup.COSINE) / neardup.BLOCKS
+    turn, rng = neardup.rotation(dims), np.random.default_rng(5)
+    rows = []
+    for k, extra in enumerate([-5e-10, -1e-12, 0, 1e-12, 1.2e-10, 1.5e-10, 5e-10, 2e-9]):
+        gap = np.zeros(dims)
+        gap[0], gap[9] = math.sqrt(near + extra), math.sqrt(0.001)
+        if k % 2:
+            gap[8], gap[9] = gap[9], 0
+        c = rng.standard_normal(dims)
+        c -= gap * (c @ gap) / (gap @ gap)
+        c *= math.sqrt(1 - gap @ gap / 4) / np.linalg.norm(c)
+        rows += [(2 * k, (turn @ (c - gap / 2)).tolist(), k), (2 * k + 1, (turn @ (c + gap / 2)).tolist(), k)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    same([(r.vec_id, r.n_links, r.component_id) for r in got], [(r[0], 1, r[0] // 2 * 2) for r in rows])
+
+
+def test_words_that_collide_under_any_polynomial_hash(spark):
+    """A Thue-Morse word and its complement are different words to every operator."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    word, other = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    data = np.frombuffer((word + other).encode(), np.uint8)
+    for size in (1024, 2048):
+        h = common.span_hashes(data, np.array([0, 2048]), np.array([size, 2048 + size]))
+        assert h[0] != h[1]
+    moved = np.frombuffer(("x" + word + word).encode(), np.uint8)
+    h = common.span_hashes(moved, np.array([1, 2049, 1, 2049]), np.array([2049, 4097, 700, 2748]))
+    assert h[0] == h[1] and h[2] == h[3] and h[0] != h[2]
+    docs = spark.createDataFrame([(1, "one two three " + word), (2, "one two three " + other)], "doc_id long, text string")
+    same([(r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs).collect()], [(1, 1), (2, 2)])
+    a, b = (fingerprints.digests([t.encode()])[0] for t in (word, other))
+    assert a.tolist() != b.tolist()
+
+
 def test_jaccard_join(spark, docs, none, rows, monkeypatch):
     def shingles(t, k=4):
         w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
