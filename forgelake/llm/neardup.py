@@ -7,7 +7,7 @@ with at most r2 / BLOCKS.  Each block is range-joined at that radius: a vector l
 in one grid cell over the block's first ``GRID`` coordinates and visits the cells within
 the radius; a pair meets in the home cell of the one with the smaller number.  Every
 candidate is verified by the exact cosine in double precision, and counted in the first of
-its blocks that is near enough, so no pair is counted twice and no pair is ever written:
+its blocks that is near, told by one formula wherever it meets, so no pair is counted twice and no pair is ever written:
 tasks return link counts per vector and the edges of a spanning forest.
 
 Vectors that are bit for bit equal are one row with a weight.  A crowded cell is cut into
@@ -52,6 +52,19 @@ def _radius(blocks: int, cosine: float) -> float:
     return float(np.sqrt((2 - 2 * cosine) / blocks)) + SLACK
 
 
+def _first_near(gap: np.ndarray, turn: np.ndarray, near: float) -> np.ndarray:
+    """The first block in which the difference of two unit vectors is near (its squared length at most ``near``).
+
+    One formula for every task and every block: sums in a fixed order, so a pair has the same answer wherever it meets.
+    """
+    if not len(gap):
+        return np.zeros(0, np.int64)
+    dims = gap.shape[1]
+    turned = np.einsum("ij,jk->ik", gap, turn)
+    squares = np.stack([(y * y).sum(axis=1) for y in np.array_split(turned, min(BLOCKS, dims), axis=1)], axis=1)
+    return np.argmax(squares <= near, axis=1)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """``vectors`` (vec_id, embedding, label) with a flag: whether the vector may link."""
     e = F.col("embedding").cast("array<double>")
@@ -70,7 +83,7 @@ def _visits(cosine: float):
                 x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 blocks = _blocks(x)
-                radius = _radius(len(blocks), cosine)
+                radius = _radius(len(blocks), cosine) + SLACK  # beyond what counts as near, whatever the rounding
                 side = CELL * radius
                 raw = [row.tobytes() for row in x]
                 for b, y in enumerate(blocks):
@@ -124,7 +137,7 @@ def _meet(cosine: float):
         node, weight, home, piece = (pdf[c].to_numpy() for c in ("node", "weight", "home", "piece"))
         block = int(pdf["cell"].iloc[0].split(":")[1])
         first, second = int(pdf["first"].iloc[0]), int(pdf["second"].iloc[0])
-        blocks = _blocks(x)
+        blocks, turn = _blocks(x), rotation(x.shape[1])
         near = _radius(len(blocks), cosine) ** 2
         forest, links, edges = Forest(len(x)), np.zeros(len(x), np.int64), []
         for i in range(0, len(x), 256):
@@ -138,9 +151,8 @@ def _meet(cosine: float):
             p = mine[p]
             exact = np.einsum("ij,ij->i", x[p], x[q]) >= cosine
             p, q = p[exact], q[exact]
-            for b in range(block):  # an earlier block that is near enough has counted the pair
-                fresh = ((blocks[b][p] - blocks[b][q]) ** 2).sum(1) > near
-                p, q = p[fresh], q[fresh]
+            here = _first_near(x[p] - x[q], turn, near) == block  # the pair is counted in that block alone
+            p, q = p[here], q[here]
             np.add.at(links, p, weight[q])
             np.add.at(links, q, weight[p])
             roots = forest.up.copy()
