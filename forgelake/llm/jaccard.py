@@ -329,13 +329,20 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return common
 
 
-def _apart(pdf: pd.DataFrame) -> np.ndarray:
-    """Pairs of one task that are to be compared: of different components, and of both pieces where there are two."""
+#: Rows of a task's pair matrices that are held at once.
+BLOCK_ROWS = 128
+
+
+def _blocks_apart(pdf: pd.DataFrame):
+    """(rows, matrix): pairs of one task that are to be compared, of different components, and of both pieces where there are two."""
     root, piece = pdf["root"].to_numpy(), pdf["piece"].to_numpy()
-    out = root[:, None] != root[None, :]
-    if pdf["first"].iloc[0] != pdf["second"].iloc[0]:
-        out &= piece[:, None] != piece[None, :]
-    return out
+    two = pdf["first"].iloc[0] != pdf["second"].iloc[0]
+    for i in range(0, len(root), BLOCK_ROWS):
+        at = slice(i, i + BLOCK_ROWS)
+        out = root[at, None] != root[None, :]
+        if two:
+            out &= piece[at, None] != piece[None, :]
+        yield at, out
 
 
 def _may_meet(share):
@@ -344,11 +351,14 @@ def _may_meet(share):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         short = [np.asarray(x).view(np.uint64) for x in pdf["short"]]
         last = np.array([x[-1] for x in short])
-        reach = np.stack([np.searchsorted(x, last, "right") for x in short])  # members up to the other's last one
-        both = pdf["n"].to_numpy()[:, None] + pdf["n"].to_numpy()[None, :]
-        most = both - 2 * (-(-share[0] * both // (share[0] + share[1])))
-        ok = (reach + reach.T - 2 * _common(short) <= most) & _apart(pdf)
-        return pdf.loc[ok.any(axis=1), ["shingle", "first", "second", "node"]]
+        reach = np.stack([np.searchsorted(x, last, "right").astype(np.int32) for x in short])  # members up to the other's last one
+        n, common = pdf["n"].to_numpy(), _common(short)
+        keep = np.zeros(len(short), bool)
+        for at, apart in _blocks_apart(pdf):
+            both = n[at, None] + n[None, :]
+            most = both - 2 * (-(-share[0] * both // (share[0] + share[1])))
+            keep[at] = ((reach[at] + reach[:, at].T - 2 * common[at] <= most) & apart).any(axis=1)
+        return pdf.loc[keep, ["shingle", "first", "second", "node"]]
 
     return run
 
@@ -363,17 +373,17 @@ def _compare(share):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("node").sort_values(["n", "node"], ignore_index=True)
         node, n, root = (pdf[c].to_numpy() for c in ("node", "n", "root"))
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
-        common = _common(sets)
-        ok = share[1] * common >= share[0] * (n[:, None] + n[None, :] - common)
-        ok &= _apart(pdf)
+        common = _common([np.frombuffer(x, np.uint64) for x in pdf["set"]])
         _, group = np.unique(root, return_inverse=True)
         out = []
-        for i in range(len(sets)):
-            for j in np.flatnonzero(ok[i, i + 1 :]) + i + 1:
-                if group[i] != group[j]:
-                    out.append((node[i], node[j]))
-                    group[group == group[j]] = group[i]
+        for at, apart in _blocks_apart(pdf):
+            ok = (share[1] * common[at] >= share[0] * (n[at, None] + n[None, :] - common[at])) & apart
+            for i in range(at.start, at.start + len(ok)):
+                for j in np.flatnonzero(ok[i - at.start, i + 1 :]) + i + 1:
+                    if group[i] != group[j]:
+                        out.append((node[i], node[j]))
+                        group[group == group[j]] = group[i]
+        pa.default_memory_pool().release_unused()
         return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
     return run
