@@ -13,7 +13,7 @@ import sys
 import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,7 +25,17 @@ from forgelake.operators import bronze, reports, silver  # noqa: E402
 from forgelake.operators import staging as stg  # noqa: E402
 from forgelake.plans import checks  # noqa: E402
 from forgelake.plans.assets import ASSETS, Layers  # noqa: E402
-from forgelake.plans.pipeline import Warehouse, fixture_staging, run_assets, staging_frames, write_staging  # noqa: E402
+from forgelake.plans.distinct_index import DistinctIndex  # noqa: E402
+from forgelake.plans.pipeline import (  # noqa: E402
+    EventTimes,
+    Lookback,
+    Warehouse,
+    fixture_staging,
+    run_assets,
+    stage_raw,
+    staging_frames,
+    write_staging,
+)
 from forgelake.session import scratch_path  # noqa: E402
 from forgelake.sinks import parquet as sink  # noqa: E402
 from forgelake.sources import fixture  # noqa: E402
@@ -280,10 +290,45 @@ def _overlapping_months(spark: SparkSession, sf_dir: str) -> Warehouse:
     for n in (1, 2, 1):
         month = _load_month(spark, sf_dir, wh, n, fixture.overlapping_month_of)
         # undated rows are meant to be here, so the not_null checks would stop the run
-        run_assets(spark, wh, targets=targets, source_month=month, replace_scope=True, check=False)
+        report = run_assets(spark, wh, targets=targets, source_month=month, replace_scope=True, check=False)
+        DistinctIndex(wh).update(report.touched["silver_developer_activity"])
     return wh
 
 
+def q_distinct_rollup_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 over months: distinct counts from daily bitmaps, kept through the re-run of the older month."""
+    index = DistinctIndex(_overlapping_months(spark, sf_dir))
+    return index.distinct({"year": F.year("date"), "month": F.month("date"), "event_type": F.col("event_type")})
+
+
+def q_clustered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: bronze events dealt to files by ranges of the cluster columns; the rows stay as they are."""
+    spec, path = specs.BRONZE_EVENTS, scratch_path(spark, "bronze_events")
+    sink.merge_into(spark, _layers(spark, sf_dir)["bronze_events"], path, spec)
+    sink.cluster(spark, path, spec, F.col("date") >= F.lit(oracle.OVERWRITE_SECOND_RUN_FROM).cast("date"), file_bytes=16 << 10)
+    sink.check_schema(spark, path, spec, every_file=True)
+    return read_table(spark, path, spec).select(*spec.columns)
+
+
+def q_bucketed_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 over event times that lie bucketed by id."""
+    layers = _layers(spark, sf_dir)
+    times = EventTimes(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return bronze.bronze_commits(fixture_staging(spark, sf_dir)["staging_commits"], times.of(layers["bronze_events"]))
+
+
+def q_raw_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P4: lines of a dirty archive that a staging scan reads, cannot parse, or that have no login."""
+    path = scratch_path(spark, "raw-json")
+    lines = fixture.to_archive_json(fixture.read_fixture_raw(spark, sf_dir)).select("id", F.to_json(F.struct("*")).alias("value"))
+    broken = lines.filter(F.col("id").cast("bigint") % oracle.BROKEN_EVERY == 0).select(F.substring("value", 1, 40).alias("value"))
+    lines.select("value").unionByName(broken).write.option("compression", "gzip").text(path)
+    scanned = Observation("raw_scan")
+    stage_raw(spark, read_raw(spark, f"{path}/*.gz", corrupt=True), persist_base=scratch_path(spark, "raw-base"), scanned=scanned)
+    counts = F.map_from_entries(F.array(*(F.struct(F.lit(k), F.lit(v).cast("bigint")) for k, v in scanned.get.items())))
+    return spark.range(1).select(F.explode(counts).alias("kind", "rows"))
+
+
 def _of_overlapping_months(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _overlapping_months(spark, sf_dir).read(table).select(*specs.SPECS[table].columns)
@@ -358,6 +403,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "rerun_older_month_commits": _of_overlapping_months("bronze_commits"),
             "rerun_older_month_productivity": _of_overlapping_months("bronze_productivity"),
             "rerun_older_month_silver": _of_overlapping_months("silver_developer_activity"),
+            "distinct_rollup_monthly": q_distinct_rollup_monthly,
+            "clustered_events": q_clustered_events,
+            "bucketed_event_times": q_bucketed_event_times,
+            "raw_accounting": q_raw_accounting,
             "merge_unpartitioned_monthly": _of_overlapping_months("developer_productivity_monthly"),
             "lookback_events": q_lookback_events,
             "rpt_top_developers": _report(reports.top_developers_by_commits, "commit_stats_by_day"),

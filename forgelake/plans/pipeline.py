@@ -14,6 +14,7 @@ only re-runs the current stage.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 import uuid
 from collections.abc import Callable, Iterable
@@ -31,12 +32,14 @@ from forgelake.plans.assets import ASSETS, STAGING_NAMES, topological_order, wav
 from forgelake.session import scratch_path
 from forgelake.sinks import parquet as sink
 from forgelake.sources import fixture
-from forgelake.sources.raw import month_glob, read_raw
+from forgelake.sources.raw import CORRUPT, month_glob, read_raw
 from forgelake.sources.tables import read_source_month, read_table, since_month
 
 BOT_EVENTS = "bot_events"
 #: The table whose replaced rows recall the staging rows of their events.
 EVENTS = "bronze_events"
+#: Assets that read nothing of it but event times (the silver timeline reads whole rows).
+TIMED = ("bronze_commits", "bronze_productivity")
 
 
 def staging_frames(base: DataFrame) -> dict[str, DataFrame]:
@@ -50,15 +53,32 @@ def staging_frames(base: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def stage_raw(spark: SparkSession, raw: DataFrame, *, persist_base: str | None = None) -> dict[str, DataFrame]:
+def scan_metrics(raw: DataFrame) -> list[Column]:
+    """What becomes of the lines of a scan: all, those that don't parse, those that do and lack a login (in neither split)."""
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(bad).alias("bad_lines"),
+        F.count_if(~bad & F.col("actor.login").isNull()).alias("no_login"),
+    ]
+
+
+def stage_raw(
+    spark: SparkSession, raw: DataFrame, *, persist_base: str | None = None, scanned: Observation | None = None
+) -> dict[str, DataFrame]:
     """Raw events -> staging frames.
 
     With ``persist_base`` (a new shared folder) the dated raw records are
     written there once, so the four outputs read Parquet instead of parsing
     text four times; the caller deletes it when the outputs are written.
+    ``scanned`` observes that one pass (:func:`scan_metrics`).
     Leave it out for a columnar input, which is cheaper to re-read than to copy.
     """
-    base = stg.with_event_dates(raw)
+    if scanned is not None:
+        if not persist_base:
+            raise ValueError("a scan is accounted for where it is written once: persist_base")
+        raw = raw.observe(scanned, *scan_metrics(raw))
+    base = stg.with_event_dates(raw.drop(CORRUPT))
     if persist_base:
         base.write.mode("errorifexists").parquet(persist_base)
         base = spark.read.schema(base.schema).parquet(persist_base)
@@ -225,6 +245,32 @@ def _upstream(name: str) -> set[str]:
     return deps.union(*(_upstream(d) for d in deps))
 
 
+class EventTimes:
+    """``(event_id, created_at)`` as a table of the session catalog, bucketed and sorted by id.
+
+    Plain paths carry no bucketing, the catalog does: joins on ``event_id`` read it without an exchange or a sort.
+    """
+
+    def __init__(self, spark: SparkSession, buckets: int):
+        self.spark, self.buckets = spark, buckets
+        self.name = f"event_times_{uuid.uuid4().hex[:12]}"
+        self.path, self.lock, self.written = scratch_path(spark, self.name), threading.Lock(), False
+
+    def of(self, events: DataFrame) -> DataFrame:
+        """The table, written from the first frame that is asked for (rows without an id join nothing)."""
+        with self.lock:
+            if not self.written:
+                rows = events.select("event_id", "created_at").filter(F.col("event_id").isNotNull())
+                dealt = rows.repartition(self.buckets, "event_id")  # a file a bucket
+                dealt.write.bucketBy(self.buckets, "event_id").sortBy("event_id").option("path", self.path).saveAsTable(self.name)
+                self.written = True
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        sink.delete_path(self.spark, self.path.rpartition("/")[0])
+
+
 class Unfinished:
     """What incremental runs have changed and not yet carried through every asset.
 
@@ -266,6 +312,8 @@ class RunReport:
     rows: dict[str, int] = field(default_factory=dict)  # rows each asset built this run
     failures: list[tuple] = field(default_factory=list)
     set_aside: dict[str, int] = field(default_factory=dict)  # rows quarantined
+    touched: dict[str, set] = field(default_factory=dict)  # dates whose rows each partitioned asset changed or found unchanged
+    scanned: dict[str, int] = field(default_factory=dict)  # lines of the raw scan, see scan_metrics
 
 
 def run_assets(
@@ -282,6 +330,7 @@ def run_assets(
     check: bool = True,
     strict: bool = True,
     quarantine: bool = False,
+    event_buckets: int | None = None,
     parallel: int = 4,
 ) -> RunReport:
     """Build, merge and check every asset needed for ``targets``, upstream first.
@@ -303,6 +352,10 @@ def run_assets(
 
     ``quarantine`` sets rows that fail a per-row check aside (:meth:`Warehouse.set_aside`), one batch a
     source month (other runs: ``all``), and merges the others, so the run goes on.
+
+    ``event_buckets`` writes the events' ids and times once, bucketed by id (:class:`EventTimes`), for the
+    two joins that look them up: one shuffle and sort of the events instead of two.  Take at
+    least ``spark.sql.shuffle.partitions``; with fewer buckets Spark may deal both sides anew.
     """
     if lookback is not None and source_month is not None:
         raise ValueError("lookback and source_month exclude each other")
@@ -316,6 +369,7 @@ def run_assets(
         ingested_at = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     report = RunReport()
     needed = set(topological_order(targets))
+    times = EventTimes(spark, event_buckets) if event_buckets else None
 
     def one(name: str) -> Callable[[], None]:
         asset = ASSETS[name]
@@ -333,6 +387,8 @@ def run_assets(
                     df = _on_dates(df, dates, whole_months=not asset.spec.partition_by)
                 elif lookback is not None:
                     df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
+                if times and dep == EVENTS and name in TIMED:
+                    df = times.of(df)
                 inputs.append(df)
             # Row count of the build and the per-row checks of what is written are
             # observed while the merge writes: neither costs a pass of its own.
@@ -394,13 +450,18 @@ def run_assets(
 
         return run
 
-    for wave in waves():
-        names = [n for n in wave if n in needed]
-        if not names:
-            continue
-        report.seconds.update(_run_all(spark, {n: one(n) for n in names}, parallel))
-        if strict and report.failures:
-            raise checks.QualityCheckError(f"quality checks failed: {report.failures}")
+    try:
+        for wave in waves():
+            names = [n for n in wave if n in needed]
+            if not names:
+                continue
+            report.seconds.update(_run_all(spark, {n: one(n) for n in names}, parallel))
+            if strict and report.failures:
+                raise checks.QualityCheckError(f"quality checks failed: {report.failures}")
+    finally:
+        if times:
+            times.drop()
+    report.touched = {n: touched[n] for n in needed if n in touched}
     if unfinished and needed == set(ASSETS):
         unfinished.clear()
     return report
@@ -425,13 +486,16 @@ def run_month(
     """
     source_month = year * 100 + month
     base = scratch_path(spark, "raw-base")
+    scanned = Observation("raw_scan")
     try:
-        frames = stage_raw(spark, read_raw(spark, month_glob(raw_base, year, month)), persist_base=base)
+        raw = read_raw(spark, month_glob(raw_base, year, month), corrupt=True)
+        frames = stage_raw(spark, raw, persist_base=base, scanned=scanned)
         staging_seconds = write_staging(warehouse, frames, source_month=source_month)
     finally:
         sink.delete_path(spark, base.rpartition("/")[0])
     if incremental:
         run_options["source_month"] = source_month
     report = run_assets(spark, warehouse, **run_options)
+    report.scanned = scanned.get
     report.seconds.update(staging_seconds)
     return report

@@ -18,9 +18,11 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,10 @@ INSERT_ONLY = ()
 _HELD = "__held"
 
 
+class SchemaDriftError(ValueError):
+    """The files of a table don't hold the columns that its spec declares."""
+
+
 #: Partition of a staged source that tells the rows set aside; their tags.
 SET_ASIDE, TAGS = "set_aside", "violations"
 
@@ -209,6 +215,84 @@ def ensure_table(spark: SparkSession, path: str, spec: TableSpec) -> None:
         w.parquet(path)
 
 
+def _data_file(spark: SparkSession, path: str, spec: TableSpec) -> str | None:
+    """A data file of the table, of its last partition that has one; None for an empty table."""
+    fs, folder = _fs_path(spark, path)
+    found = [st for st in fs.listStatus(folder) if not st.getPath().getName().startswith((".", "_"))]
+    files = sorted(str(st.getPath()) for st in found if st.isFile())
+    if files:
+        if spec.partition_by:
+            raise SchemaDriftError(f"{spec.name}: {path} is not laid out by {spec.partition_by}")
+        return files[0]
+    for st in sorted((st for st in found if st.isDirectory()), key=lambda st: st.getPath().getName(), reverse=True):
+        if not spec.partition_by or not st.getPath().getName().startswith(f"{spec.partition_by[0]}="):
+            raise SchemaDriftError(f"{spec.name}: {path} is laid out by {st.getPath().getName()}, not {spec.partition_by}")
+        file = _data_file(spark, str(st.getPath()), replace(spec, partition_by=spec.partition_by[1:]))
+        if file:
+            return file
+    return None
+
+
+def check_schema(spark: SparkSession, path: str, spec: TableSpec, *, every_file: bool = False) -> None:
+    """K6 for a table that exists: raise :class:`SchemaDriftError` if its files lack, add or retype columns.
+
+    Reads one footer (every merge does, of the newest partition); ``every_file`` reads all, in a Spark job.
+    """
+    file = _data_file(spark, path, spec)
+    if file is None:
+        return
+    try:
+        read = spark.read.option("mergeSchema", "true").parquet(path) if every_file else spark.read.parquet(file)
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE_SCHEMA" not in str(e):
+            raise
+        raise SchemaDriftError(f"{spec.name}: files at {path} differ in a column's type") from e
+    found = {f.name: f.dataType for f in read.schema.fields if f.name not in spec.partition_by}
+    want = {f.name: f.dataType for f in spec.stored_schema.fields if f.name not in spec.partition_by}
+    faults = [f"no {c}" for c in want if c not in found] + [f"unknown {c}" for c in found if c not in want]
+    faults += [f"{c} is {found[c].simpleString()}, not {t.simpleString()}" for c, t in want.items() if c in found and found[c] != t]
+    if faults:
+        raise SchemaDriftError(f"{spec.name} at {path}: {'; '.join(faults)}")
+
+
+# --- clustering ------------------------------------------------------------------
+
+#: Bytes that a file of a clustered table should have.
+FILE_BYTES = 128 << 20
+
+
+def cluster(spark: SparkSession, path: str, spec: TableSpec, where: Column | None = None, file_bytes: int = FILE_BYTES) -> int:
+    """K5 across files: rewrite the partitions that ``where`` (on partition columns) holds for, rows dealt to
+    files by ranges of the cluster columns, so that few files' statistics admit a value.  Returns the number of ranges.
+
+    The key ends the order, so a cluster value that holds a third of the rows spans several files.
+    A merge rewrites the partitions that it touches in its own layout; run this on those that have come to rest.
+    It commits like a merge, so a re-run finishes one that broke off.
+    """
+    parts, order = list(spec.partition_by), list(dict.fromkeys([*spec.partition_by, *spec.cluster_by, *spec.keys]))
+    recover(spark, path)
+    if parts:
+        recover_merge(spark, path, spec)
+    rows, size = read_table(spark, path, spec), _size(spark, path)
+    if parts and where is not None:
+        chosen = _in_scope(spark, partition_values(spark, path, spec), spec, where)
+        rows = rows.filter(_partition_filter(parts, chosen))
+        size = sum(_size(spark, f"{path.rstrip('/')}/{_partition_dir(parts, v)}") for v in chosen)
+    ranges = max(1, -(-size // file_bytes))
+    dealt = conform(rows, spec).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    if not parts:
+        replace_folder(spark, path, lambda new: dealt.write.parquet(new))
+    elif size:
+        dealt.write.partitionBy(*parts).parquet(f"{path.rstrip('/')}/{_MERGE}/rows")
+        _commit_merge(spark, path, spec)
+    return ranges
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    fs, p = _fs_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 # --- keyed merge ---------------------------------------------------------------
 
 def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec, label: str) -> tuple[str, DataFrame]:
@@ -222,6 +306,21 @@ def _held_values(df: DataFrame, parts: Sequence[str]) -> set[tuple]:
     return {tuple(r) for r in df.select(*parts).distinct().collect()} if parts else set()
 
 
+def _within_keys(df: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key a staged source holds: a semi join within the source's key ranges.
+
+    The ranges (one pass over the source's keys) reach the scan, where Parquet statistics skip row
+    groups: archive ids grow with time, so an old date is passed over.  On the source's side they are
+    what Spark asks for before it sends a Bloom filter of a small source into a large scan
+    (``spark.sql.optimizer.runtime.bloomFilter.*``), which thins out random keys such as SHAs.
+    """
+    ends = staged.agg(*(f(k).alias(f"{n}_{k}") for k in keys for f, n in ((F.min, "low"), (F.max, "high")))).first()
+    if any(v is None for v in ends):
+        return df.filter(F.lit(False))  # no complete key to look for
+    inside = reduce(lambda a, b: a & b, [F.col(k).between(F.lit(ends[f"low_{k}"]), F.lit(ends[f"high_{k}"])) for k in keys])
+    return df.filter(inside).join(staged.select(*keys).filter(inside), list(keys), "left_semi")
+
+
 def _set_aside(spark: SparkSession, df: DataFrame, spec: TableSpec, quarantine: Quarantine) -> tuple[str, DataFrame, int]:
     """Stage a source in one pass with its bad rows apart; those replace the quarantine folder.
 
@@ -432,7 +531,9 @@ def merge_into(
         if quarantine is not None:
             staged_path, source, bad = _set_aside(spark, source, spec, quarantine)
             folders.append(staged_path.rpartition(f"/{spec.name}-source")[0])
-        if not path_exists(spark, path):
+        if path_exists(spark, path):
+            check_schema(spark, path, spec)
+        else:
             return _first_load(spark, source, path, spec, written, check_source_keys) | {"set_aside": bad}
         staged = source
         if staged_path is None:
@@ -483,7 +584,7 @@ def _merge_later(spark, folder, staged, path, spec, keys_can_move, written, befo
         target = target.filter(_partition_filter(parts, _held_values(staged, parts)))
     narrow = list(dict.fromkeys([*keys, *spec.latest_by, *spec.ties, *parts]))
     # What the target holds of the source's keys: versions only, written once and read by all that follows.
-    target.select(*narrow).join(staged.select(*keys), keys, "left_semi").write.parquet(f"{folder}/held")
+    _within_keys(target.select(*narrow), staged, keys).write.parquet(f"{folder}/held")
     schema = T.StructType([f for c in narrow for f in spec.schema.fields if f.name == c])
     held = spark.read.schema(schema).parquet(f"{folder}/held")
 
@@ -550,8 +651,9 @@ def _merge_staged(
         # Partitions holding older versions of source keys; one whose every row
         # is replaced from elsewhere ends up empty.
         if held is None:
-            held = target.select(*keys, *parts)
-        found = held.select(*keys, *parts).join(source_keys, keys, "left_semi")
+            found = _within_keys(target.select(*keys, *parts), staged, keys)
+        else:
+            found = held.select(*keys, *parts).join(source_keys, keys, "left_semi")
         others = _held_values(found, parts) - touched
         if others:
             kept = target.filter(_partition_filter(parts, others)).select(*keys, *parts)

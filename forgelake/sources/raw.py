@@ -16,6 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: Column that keeps a line (or the line of a bad value) as it was, for :func:`read_raw` with ``corrupt``.
+CORRUPT = "_corrupt_record"
+
+# --- fixed values: the archive's record ---
 _REPO_REF = "struct<id: bigint, name: string, url: string>"
 _BRANCH = f"struct<ref: string, sha: string, repo: {_REPO_REF}>"
 
@@ -27,6 +31,7 @@ RAW_EVENT_DDL = (
     f"pull_request: struct<id: bigint, number: bigint, url: string, base: {_BRANCH}, head: {_BRANCH}, "
     "additions: bigint, deletions: bigint, changed_files: bigint>>"
 )
+# ------------------------------------------
 
 
 def raw_event_schema() -> T.StructType:
@@ -40,11 +45,17 @@ def month_glob(base: str, year: int, month: int, pattern: str = "*json.gz") -> s
     return f"{base.rstrip('/')}/{year:04d}-{month:02d}/{pattern}"
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """Lazy scan of raw JSON lines.
+def read_raw(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, *, corrupt: bool = False
+) -> DataFrame:
+    """Lazy scan of raw JSON lines; with ``corrupt`` the lines that don't parse are kept in :data:`CORRUPT`.
 
     gzip is not splittable, so scan parallelism equals the file count; the
     staging job writes one Parquet base right after this scan so the JSON is
     parsed exactly once.
     """
-    return spark.read.schema(schema or raw_event_schema()).option("mode", "PERMISSIVE").json(paths)
+    schema = schema or raw_event_schema()
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(paths)

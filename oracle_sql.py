@@ -18,6 +18,7 @@ LOOKBACK_DAYS = 3
 TOP_N = 10
 MOVED_FROM = "2024-01-20"  # events from this day on reappear later
 MOVED_BY_DAYS = 40
+BROKEN_EVERY = 50  # ids divisible by this have a broken line beside their own
 MONTH_IDS = 1_000_000_000_000  # id offset of the second month
 #: rows that the dirty tables hold twice (read by both engines)
 _BY_ID, _BY_EVENTS = "TRY_CAST(event_id AS BIGINT) % 13 = 0", "total_events % 2 = 0"
@@ -423,6 +424,19 @@ second_run AS (SELECT * FROM silver_repo_summary WHERE date >= DATE '{MERGE_SECO
     for short, name in (("events", "bronze_events"), ("commits", "bronze_commits"), ("productivity", "bronze_productivity"),
                         ("silver", "silver_developer_activity")):
         q[f"rerun_older_month_{short}"] = _overlapping_months(f"SELECT * FROM {name}")
+    q["distinct_rollup_monthly"] = _overlapping_months(
+        "SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, event_type, "
+        "count(DISTINCT developer_login) AS unique_actors, count(DISTINCT repo_name) AS unique_repos "
+        "FROM silver_developer_activity GROUP BY ALL"
+    )
+    q["clustered_events"] = _table("bronze_events")
+    q["bucketed_event_times"] = _table("bronze_commits")
+    broken = f"CAST(id AS BIGINT) % {BROKEN_EVERY} = 0"
+    q["raw_accounting"] = _q(
+        f"SELECT 'lines' AS kind, count(*) + CAST(count_if({broken}) AS BIGINT) AS rows FROM raw UNION ALL "
+        f"SELECT 'bad_lines', CAST(count_if({broken}) AS BIGINT) FROM raw UNION ALL "
+        "SELECT 'no_login', CAST(count_if(login IS NULL) AS BIGINT) FROM raw"
+    )
     q["merge_unpartitioned_monthly"] = _overlapping_months("SELECT * FROM developer_productivity_monthly")
     q["lookback_events"] = _q(
         "SELECT event_id, type, created_at, date, month, year, repo_name, actor_login FROM staging_events "
