@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.llm import jaccard, mixing, packing, secret_scan, toxicity
-from forgelake.llm.common import stored, table
+from forgelake.llm.common import free, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score lies below the threshold stay."""
-    scored = toxicity.scored(docs, table(spark, sf_dir, "labels"), into="__score")
-    return scored.filter(F.col("__score") < toxicity.THRESHOLD).drop("__score")
+    score = free("__score", docs)
+    scored = toxicity.scored(docs, table(spark, sf_dir, "labels"), into=score)
+    return scored.filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores after it as no column of the frames has (case aside)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(key: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (a null id counts as empty text)."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % mod

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import components, mix64, shingle_sets, stored, table, text_chunks
+from forgelake.llm.common import components, free, mix64, shingle_sets, stored, table, text_chunks
 
 WORDS = 4
 #: Links need SHARE[0] * union <= SHARE[1] * intersection.
@@ -432,15 +432,17 @@ def deduplicated(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFrame:
     rooted = stored(rooted.select("doc_id", "node", F.coalesce("root", "node").alias("root")).distinct(), "sets-roots")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node"))
     heads = rooted.groupBy("root").agg(least.alias("head"))
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("~")).alias("__id")
+    row, node = free("__id", docs), free("__node", docs)
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("~")).alias(row)
     gone = rooted.join(heads.hint("merge"), "root").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("node") == F.col("head.node")))
     )
-    keyed = docs.select("*", name("doc_id"), name_of(F.col("text").cast("string")).alias("__node"))
-    left = keyed.join(gone.select(name("doc_id"), F.col("node").alias("__node")).hint("merge"), ["__id", "__node"], "left_anti")
-    # Alike rows: one stays; rows without words are told apart.
-    alone = left.withColumn("__node", F.coalesce("__node", F.monotonically_increasing_id()))
-    return alone.dropDuplicates(["__id", "__node"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select("*", name("doc_id"), name_of(F.col("text").cast("string")).alias(node))
+    left = keyed.join(gone.select(name("doc_id"), F.col("node").alias(node)).hint("merge"), [row, node], "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Alike rows: one stays; rows without words all do.
+    alike = left.filter(F.col(node).isNotNull()).dropDuplicates([row, node])
+    return alike.select(*columns).unionByName(left.filter(F.col(node).isNull()).select(*columns))
 
 
 def op7_jaccard_join(spark, sf_dir):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Joins carry merge hints: the planner's estimates miss what explode adds and would broadcast tables that grow.
-from forgelake.llm.common import WORD, stored, table
+from forgelake.llm.common import WORD, free, stored, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -158,14 +158,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("~"))
     drawn = mix(docs, **options, keep_key=True).filter("taken > 0")
-    times = drawn.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("size").alias("__size")).agg(
-        F.floor(F.avg("taken") / F.first("size") + 0.5).cast("int").alias("__times")
-    ).filter("__times > 0")
-    joined = docs.join(
-        times.hint("merge"),
-        docs["doc_id"].eqNullSafe(times["__id"]) & (key == times["__key"]) & (size == times["__size"]),
+    row, source, words, times, copy = (free(n, docs) for n in ("__id", "__key", "__size", "__times", "__copy"))
+    kept = drawn.groupBy(F.col("doc_id").alias(row), F.col("key").alias(source), F.col("size").alias(words)).agg(
+        F.floor(F.avg("taken") / F.first("size") + 0.5).cast("int").alias(times)
     )
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[docs[f"`{c}`"] for c in docs.columns])
+    kept = kept.filter(F.col(times) > 0)
+    joined = docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col(row)) & (key == F.col(source)) & (size == F.col(words)))
+    copies = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_mixing_schedule(spark, sf_dir):

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import table
+from forgelake.llm.common import free, table
 
 #: The base kinds (the assign keyword ignores ASCII case).
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -144,11 +144,12 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> Data
     )
     assign = F.filter(_matches(t, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= ASSIGN_LEAST)
     base = F.concat(as_kind(assign, 0), as_kind(_matches(t, ACCESS), 1), as_kind(_matches(t, HEX), 2))
-    found = docs.withColumn(into, base).withColumn(f"{into}__more", _matches(t, CANDIDATE))
-    more = F.when(F.size(f"{into}__more") > 0, _entropy(F.col(f"{into}__more"))).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
-    found = found.withColumn(f"{into}__more", more)
-    clear = F.filter(f"{into}__more", lambda x: ~F.exists(into, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return found.withColumn(into, F.array_sort(F.concat(into, as_kind(clear, 3)))).drop(f"{into}__more")
+    also = free(f"{into}__more", docs)
+    found = docs.withColumn(into, base).withColumn(also, _matches(t, CANDIDATE))
+    more = F.when(F.size(also) > 0, _entropy(F.col(also))).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
+    found = found.withColumn(also, more)
+    clear = F.filter(also, lambda x: ~F.exists(into, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    return found.withColumn(into, F.array_sort(F.concat(into, as_kind(clear, 3)))).drop(also)
 
 
 def joined(spans: Column) -> Column:
@@ -159,7 +160,8 @@ def joined(spans: Column) -> Column:
 
 def redact(docs: DataFrame, replacement: str = REPLACEMENT) -> DataFrame:
     """``docs`` with each run of spans replaced in the text and n_chars (where there is one) counted anew."""
-    found = with_spans(docs, into="__spans")
+    spans = free("__spans", docs)
+    found = with_spans(docs, into=spans)
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -171,10 +173,10 @@ def redact(docs: DataFrame, replacement: str = REPLACEMENT) -> DataFrame:
         )
 
     end = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    clean = found.withColumn("text", F.when(F.size("__spans") > 0, F.aggregate("__spans", start, step, end)).otherwise(text))
+    clean = found.withColumn("text", F.when(F.size(spans) > 0, F.aggregate(spans, start, step, end)).otherwise(text))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -113,3 +113,21 @@ def test_stages_and_run(spark, corpus_dir):
             assert length[p.sequence_id] == p.offset
             length[p.sequence_id] += p.length
         assert max(length.values()) <= 4096
+
+
+EXTRA = ["__score", "__spans", "__spans__more", "__id", "__node", "__key", "__size", "__times", "__copy", "score", "spans", "node", "root", "label", "n", "a.b"]
+
+
+def test_stages_keep_columns_of_any_name(spark, corpus_dir):
+    """Names that a stage might use itself stay the user's, values included."""
+    rows, _ = made()
+    kinds = ", ".join(f"`{c}` string" for c in EXTRA)
+    for name, stage in chain.STAGES[:-1]:
+        plain = stage(spark, spark.createDataFrame(rows, SCHEMA), corpus_dir)
+        wide = spark.createDataFrame([(*r, *(f"{c} of {r[0]}" for c in EXTRA)) for r in rows], f"{SCHEMA}, {kinds}")
+        got = stage(spark, wide, corpus_dir)
+        assert got.columns == wide.columns, name
+        got = got.collect()
+        assert Counter(tuple(r)[:5] for r in got) == Counter(map(tuple, plain.collect())), name
+        assert all(tuple(r)[5:] == tuple(f"{c} of {r.doc_id}" for c in EXTRA) for r in got), name
+    assert chain.STAGES[-1][1](spark, wide, corpus_dir).count() > 0
