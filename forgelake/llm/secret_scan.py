@@ -47,20 +47,80 @@ REPLACEMENT = "[SECRET]"
 _MATCHES = "array<struct<s:int,e:int,m:string>>"
 
 
+#: Elements that a fold appends one by one; longer arrays are folded in pieces, so the cost of appending stays near-linear.
+PIECE = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _pieces(items: Column) -> Column:
+    cuts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / PIECE).cast("int"))
+    return F.transform(cuts, lambda c: F.slice(items, c * PIECE + 1, F.lit(PIECE)))
+
+
+def _scan(items: Column, zero: Column, step, each, empty: str) -> Column:
+    """Flattened ``each(piece, state before it)`` over the pieces of an array; ``step(state, item)`` carries the state on.
+
+    ``empty``: type of the states' array.
+    """
+
+    def over(pieces: Column) -> Column:
+        carried = F.aggregate(
+            pieces,
+            F.struct(zero.alias("state"), F.array().cast(empty).alias("before")),
+            lambda acc, piece: F.struct(
+                F.aggregate(piece, acc["state"], step).alias("state"), F.concat(acc["before"], F.array(acc["state"])).alias("before")
+            ),
+            lambda acc: acc["before"],
+        )
+        return F.flatten(F.zip_with(pieces, carried, each))
+
+    return _bound(_pieces(items), over)
+
+
+def _running(items: Column, zero: Column, step, emit, kind: str, empty: str) -> Column:
+    """``emit(state before the item, item)`` of every item, an array of ``kind``."""
+
+    def each(piece: Column, state: Column) -> Column:
+        start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+        add = lambda acc, x: F.struct(
+            step(acc["state"], x).alias("state"), F.concat(acc["out"], F.array(emit(acc["state"], x))).alias("out")
+        )
+        return F.aggregate(piece, start, add, lambda acc: acc["out"])
+
+    return _scan(items, zero, step, each, empty)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches; the lengths of the gaps between them give the positions."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m")))
+
+    def placed(found: Column) -> Column:
+        gaps = F.split(text, pattern, -1)
+        pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("n"), m.alias("m")))
+        span = lambda at, x: F.struct((at + x["g"]).alias("s"), (at + x["g"] + x["n"]).alias("e"), x["m"].alias("m"))
+        kind = _MATCHES.removeprefix("array<").removesuffix(">")
+        return _running(pairs, F.lit(0), lambda at, x: at + x["g"] + x["n"], span, kind, "array<int>")
+
     none = F.array().cast(_MATCHES)
+    return F.when(text.rlike(pattern), _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)).otherwise(none)
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["g"]
-        e = s + F.length(x["m"])
-        span = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))
-        return F.struct(e.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["spans"])).otherwise(none)
+def _apart(spans: Column, base: Column) -> Column:
+    """Those of ``spans`` that overlap none of ``base``: one pass each way over both, in order."""
+    mark = lambda xs, k: F.transform(xs, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("new"), x["e"].alias("e")))
+    kind = "struct<s:int,new:int,e:int>"
+    # From the left: the furthest end of a base span so far; from the right: the nearest start of one.
+    reach = lambda at, x: F.when(x["new"] == 0, F.greatest(at, x["e"])).otherwise(at)
+    clear = lambda at, x: F.struct(x["s"].alias("s"), F.when((x["new"] == 1) & (at > x["s"]), 2).otherwise(x["new"]).alias("new"), x["e"].alias("e"))
+    nearest = lambda at, x: F.when(x["new"] == 0, F.least(at, x["s"])).otherwise(at)
+    free_on_right = lambda at, x: F.struct(x["s"].alias("s"), F.when((x["new"] == 1) & (at < x["e"]), 2).otherwise(x["new"]).alias("new"), x["e"].alias("e"))
+    both = F.array_sort(F.concat(mark(base, 0), mark(spans, 1)))
+    left = _running(both, F.lit(0), reach, clear, kind, "array<int>")
+    right = _running(F.reverse(left), F.lit((1 << 31) - 1), nearest, free_on_right, kind, "array<int>")
+    return F.transform(F.filter(right, lambda x: x["new"] == 1), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
 
 
 def _high_windows(candidate: Column, window: int, least: float) -> Column:
@@ -148,7 +208,7 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> Data
     found = docs.withColumn(into, base).withColumn(also, _matches(t, CANDIDATE))
     more = F.when(F.size(also) > 0, _entropy(F.col(also))).otherwise(F.array().cast("array<struct<s:int,e:int>>"))
     found = found.withColumn(also, more)
-    clear = F.filter(also, lambda x: ~F.exists(into, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    clear = F.when(F.size(also) > 0, _apart(F.col(also), F.col(into))).otherwise(F.col(also))
     return found.withColumn(into, F.array_sort(F.concat(into, as_kind(clear, 3)))).drop(also)
 
 
@@ -163,17 +223,31 @@ def redact(docs: DataFrame, replacement: str = REPLACEMENT) -> DataFrame:
     spans = free("__spans", docs)
     found = with_spans(docs, into=spans)
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    further = lambda at, x: F.greatest(at, x["e"])
+
+    def each(piece: Column, at: Column) -> Column:
+        """Kept texts and replacements of a piece's spans, cut from the part of the text that they lie in."""
+        part = F.substring(text, at + 1, F.greatest(F.array_max(F.transform(piece, lambda x: x["e"])) - at, F.lit(0)))
+
+        def cut(own: Column) -> Column:
+            start = F.struct(at.alias("at"), F.array().cast("array<string>").alias("out"))
+            add = lambda acc, x: F.struct(
+                further(acc["at"], x).alias("at"),
+                F.when(
+                    x["s"] >= acc["at"],
+                    F.concat(acc["out"], F.array(F.substring(own, acc["at"] - at + 1, x["s"] - acc["at"]), F.lit(replacement))),
+                )
+                .otherwise(acc["out"])
+                .alias("out"),
+            )
+            return F.aggregate(piece, start, add, lambda acc: acc["out"])
 
-    def step(acc: Column, x: Column) -> Column:
-        kept = F.array(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(replacement))
-        return F.struct(
-            F.greatest(acc["at"], x["e"]).alias("at"),
-            F.when(x["s"] >= acc["at"], F.concat(acc["out"], kept)).otherwise(acc["out"]).alias("out"),
-        )
+        return _bound(part, cut)
 
-    end = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    clean = found.withColumn("text", F.when(F.size(spans) > 0, F.aggregate(spans, start, step, end)).otherwise(text))
+    last = F.array_max(F.transform(spans, lambda x: x["e"]))
+    parts = _scan(F.col(spans), F.lit(0), further, each, "array<int>")
+    whole = F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
+    clean = found.withColumn("text", F.when(F.size(spans) > 0, whole).otherwise(text))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -134,6 +134,31 @@ def test_secret_scan(spark, docs, none, rows):
     assert secret_scan.redact(none).count() == 0
 
 
+def test_secret_scan_many_matches_in_a_text(spark):
+    """Folds in pieces: more matches than a piece holds, of all kinds, overlapping each other."""
+    rng = random.Random(6)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    make = [
+        lambda: pick("0123456789abcdef", rng.randint(10, 40)),
+        lambda: pick("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKL0123456789", rng.randint(15, 60)),
+        lambda: 'password = "' + pick("abcDEF123", 14) + '"',
+        lambda: "wörd",
+        lambda: "AKIA" + "ABC1" * 4,
+    ]
+    texts = [" ".join(rng.choice(make)() for _ in range(n)) for n in (0, 1, 700, 1100)]
+    texts += ["deadbeefdeadbeef " * k for k in (secret_scan.PIECE - 1, secret_scan.PIECE, secret_scan.PIECE + 1, 5000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secret_scan.with_spans(docs).collect():
+        assert [(x.s, x.kind, x.e) for x in r.spans] == brute_spans(r.text)
+    for r, t in zip(secret_scan.redact(docs).orderBy("doc_id").collect(), texts, strict=True):
+        at, parts = 0, []
+        for s, _, e in brute_spans(t):
+            if s >= at:
+                parts += [t[at:s], secret_scan.REPLACEMENT]
+            at = max(at, e)
+        assert r.text == "".join(parts) + t[at:]
+
+
 def test_secret_scan_long_slugs(spark):
     slug = "abc-1-" * 50_000
     docs = spark.createDataFrame([(1, slug + "abc"), (2, "/" + slug + "abc/"), (3, "ab-1-" * 5 + "q7Zp0Lx9Vb3Nk5Tg8Wd2Rf6Yh4Jc1Ms")], "doc_id long, text string")
