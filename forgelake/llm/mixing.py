@@ -149,23 +149,35 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, ceiling=CEILING, block_wo
     return drawn.select(*columns).unionByName(at.filter("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
 
 
+def first_words(text, n):
+    """The text up to the end of its n-th word."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(1)), F.lit(1), n), "")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as whole documents: each is kept 0 to ``ceiling`` times, the nearest to what the schedule takes.
+    """The mix as documents: each as often as the schedule takes it whole, and once more cut after the words that it
+    takes beyond that (at most one document of a source, the one at which its target ends, is cut).
 
-    Rows alike in id, source and size share one decision.  All columns are kept; rows
-    without words are never taken.
+    Rows alike in id, source and size share one decision.  All columns are kept (``n_chars``, where
+    there is one, is counted anew for a cut text); rows without words are never taken.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("~"))
     drawn = mix(docs, **options, keep_key=True).filter("taken > 0")
-    row, source, words, times, copy = (free(n, docs) for n in ("__id", "__key", "__size", "__times", "__copy"))
+    row, source, words, taken, copy = (free(n, docs) for n in ("__id", "__key", "__size", "__taken", "__copy"))
     kept = drawn.groupBy(F.col("doc_id").alias(row), F.col("key").alias(source), F.col("size").alias(words)).agg(
-        F.floor(F.avg("taken") / F.first("size") + 0.5).cast("int").alias(times)
+        F.floor(F.avg("taken") + 0.5).cast("long").alias(taken)
     )
-    kept = kept.filter(F.col(times) > 0)
+    kept = kept.filter(F.col(taken) > 0)
     joined = docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col(row)) & (key == F.col(source)) & (size == F.col(words)))
-    copies = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.ceil(F.col(taken) / F.col(words)).cast("int"))))
+    left = F.col(taken) - (F.col(copy) - 1) * F.col(words)
+    cut = left < F.col(words)
+    out = copies.withColumn("text", F.when(cut, first_words(F.col("text").cast("string"), left.cast("int"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_mixing_schedule(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -16,6 +17,9 @@ from forgelake.llm import packing, secret_scan
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+PREFIXED = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
+
+
 def made():
     rng = random.Random(21)
     texts = [words(rng, rng.randint(20, 80)) for _ in range(60)]
@@ -73,7 +77,11 @@ def mixed(rows):
             n = size[r]
             taken = take // total[k] * n + max(0, min(start + n, take % total[k]) - start)
             start += n
-            out += [r] * (math.floor(taken / n + 0.5) if n else 0)
+            if n:
+                out += [r] * (taken // n)
+                if taken % n:
+                    text = "".join(PREFIXED.findall(r[1])[: taken % n])
+                    out.append((*r[:1], text, *r[2:4], len(text)))
     return out
 
 
@@ -131,3 +139,14 @@ def test_stages_keep_columns_of_any_name(spark, corpus_dir):
         assert Counter(tuple(r)[:5] for r in got) == Counter(map(tuple, plain.collect())), name
         assert all(tuple(r)[5:] == tuple(f"{c} of {r.doc_id}" for c in EXTRA) for r in got), name
     assert chain.STAGES[-1][1](spark, wide, corpus_dir).count() > 0
+
+
+def test_a_source_of_one_long_document_is_cut_not_lost(spark):
+    rows = [(1, "a b\n c  d e f", "en", "long", 12), (2, "w " * 40, "en", "other", 80), (3, "x " * 40, "en", "other", 80)]
+    mixed_rows = chain.mix_sources(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert Counter(map(tuple, mixed_rows)) == Counter(mixed(rows))
+    # 129 words in all: a source of weight 1 gets its target to the word
+    words_of = Counter()
+    for r in mixed_rows:
+        words_of[r.source] += len(WORD.findall(r.text))
+    assert words_of == {"long": 12, "other": 117}
