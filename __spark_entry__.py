@@ -8,6 +8,7 @@ result from the driver's ``events`` table through the whole pipeline;
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 import warnings
@@ -21,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_sql as oracle  # noqa: E402
 from forgelake import specs  # noqa: E402
-from forgelake.operators import bronze, reports, silver  # noqa: E402
+from forgelake.operators import bronze, gold, reports, silver  # noqa: E402
 from forgelake.operators import staging as stg  # noqa: E402
 from forgelake.plans import checks  # noqa: E402
 from forgelake.plans.assets import ASSETS, Layers  # noqa: E402
@@ -139,6 +140,15 @@ def q_lookback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.bronze_events(since(events, oracle.LOOKBACK_DAYS, oracle.LOOKBACK_AS_OF))
 
 
+def q_lookback_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly productivity recomputed from the month in which the window starts, across a year end."""
+    frames = staging_frames(stg.with_event_dates(fixture.over_a_year_end(fixture.read_fixture_raw(spark, sf_dir))))
+    frames["staging_productivity"] = fixture.with_replayed_pull_requests(frames["staging_productivity"])
+    silver_rows = Layers(spark, frames)["silver_developer_activity"]
+    window = Lookback(days=oracle.YEAR_END_DAYS, as_of=dt.date.fromisoformat(oracle.YEAR_END_AS_OF))
+    return gold.developer_productivity_monthly(window.monthly(silver_rows))
+
+
 # --- medallion tables ------------------------------------------------------------------
 
 def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -409,6 +419,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "raw_accounting": q_raw_accounting,
             "merge_unpartitioned_monthly": _of_overlapping_months("developer_productivity_monthly"),
             "lookback_events": q_lookback_events,
+            "lookback_monthly": q_lookback_monthly,
             "rpt_top_developers": _report(reports.top_developers_by_commits, "commit_stats_by_day"),
             "rpt_commits_by_repo": _report(reports.commits_by_repo, "commit_stats_by_day"),
             "rpt_event_share": _report(reports.event_share, "activity_by_day"),

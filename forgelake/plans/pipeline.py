@@ -64,14 +64,21 @@ def scan_metrics(raw: DataFrame) -> list[Column]:
 
 
 def stage_raw(
-    spark: SparkSession, raw: DataFrame, *, persist_base: str | None = None, scanned: Observation | None = None
+    spark: SparkSession,
+    raw: DataFrame,
+    *,
+    persist_base: str | None = None,
+    scanned: Observation | None = None,
+    spread: bool = False,
 ) -> dict[str, DataFrame]:
     """Raw events -> staging frames.
 
     With ``persist_base`` (a new shared folder) the dated raw records are
     written there once, so the four outputs read Parquet instead of parsing
     text four times; the caller deletes it when the outputs are written.
-    ``scanned`` observes that one pass (:func:`scan_metrics`).
+    ``scanned`` observes that one pass (:func:`scan_metrics`).  gzip files cannot be split and Spark deals
+    them to tasks by their compressed size; with ``spread`` the parsed rows are dealt anew
+    before they are written (a shuffle), so few or uneven files don't make as few or uneven a base.
     Leave it out for a columnar input, which is cheaper to re-read than to copy.
     """
     if scanned is not None:
@@ -80,7 +87,7 @@ def stage_raw(
         raw = raw.observe(scanned, *scan_metrics(raw))
     base = stg.with_event_dates(raw.drop(CORRUPT))
     if persist_base:
-        base.write.mode("errorifexists").parquet(persist_base)
+        (base.hint("rebalance") if spread else base).write.mode("errorifexists").parquet(persist_base)
         base = spark.read.schema(base.schema).parquet(persist_base)
     return staging_frames(base)
 
@@ -199,19 +206,24 @@ def write_staging(
 
 @dataclass
 class Lookback:
-    """Recompute only recent whole days (daily tables) / whole months (monthly tables)."""
+    """Recompute only recent whole days (daily tables) / whole months (monthly tables).
+
+    Rows without a date go along where the key does not hold the date (the merge replaces them by
+    key); groups by day or month never match without one, so lookback runs leave those as they are.
+    """
 
     days: int
     as_of: dt.date
 
-    def daily(self, df: DataFrame) -> DataFrame:
-        # Rows without a date belong to no window: every run takes them, the merge replaces them by key.
+    def daily(self, df: DataFrame, undated: bool = True) -> DataFrame:
+        """Rows of the window's days; ``undated`` rows, which belong to no window, for tables whose key finds them again."""
         start = self.as_of - dt.timedelta(days=self.days)
-        df = df.filter((F.col("date") >= F.lit(start)) | F.col("date").isNull())
+        keep = F.col("date") >= F.lit(start)
+        df = df.filter(keep | F.col("date").isNull() if undated else keep)
         if {"year", "month"} <= set(df.columns):
             # derived from date, so the same cut: it prunes tables laid out by year and month only
             later = (F.col("year") > start.year) | ((F.col("year") == start.year) & (F.col("month") >= start.month))
-            df = df.filter(later | F.col("year").isNull())
+            df = df.filter(later | F.col("year").isNull() if undated else later)
         return df
 
     def monthly(self, df: DataFrame) -> DataFrame:
@@ -386,7 +398,8 @@ def run_assets(
                 elif source_month is not None:
                     df = _on_dates(df, dates, whole_months=not asset.spec.partition_by)
                 elif lookback is not None:
-                    df = lookback.daily(df) if asset.spec.partition_by else lookback.monthly(df)
+                    keyed = "date" not in asset.spec.keys
+                    df = lookback.daily(df, undated=keyed) if asset.spec.partition_by else lookback.monthly(df)
                 if times and dep == EVENTS and name in TIMED:
                     df = times.of(df)
                 inputs.append(df)
@@ -475,6 +488,7 @@ def run_month(
     warehouse: Warehouse,
     *,
     incremental: bool = True,
+    spread: bool = False,
     **run_options,
 ) -> RunReport:
     """The monthly job: one archive month -> staging -> medallion run.
@@ -483,13 +497,14 @@ def run_month(
     its rows and no other month's, rows without a date or dated elsewhere
     included.  ``incremental`` recomputes what that month touches (see
     :func:`run_assets`); without it the assets recompute their whole history.
+    ``spread`` goes to :func:`stage_raw`.
     """
     source_month = year * 100 + month
     base = scratch_path(spark, "raw-base")
     scanned = Observation("raw_scan")
     try:
         raw = read_raw(spark, month_glob(raw_base, year, month), corrupt=True)
-        frames = stage_raw(spark, raw, persist_base=base, scanned=scanned)
+        frames = stage_raw(spark, raw, persist_base=base, scanned=scanned, spread=spread)
         staging_seconds = write_staging(warehouse, frames, source_month=source_month)
     finally:
         sink.delete_path(spark, base.rpartition("/")[0])

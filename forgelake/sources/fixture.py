@@ -186,3 +186,9 @@ def dirty(raw: DataFrame) -> DataFrame:
             "payload": F.col("payload").withField("pull_request.additions", F.when(key % 11 == 0, -lines).otherwise(lines)),
         }
     )
+
+
+def over_a_year_end(raw: DataFrame) -> DataFrame:
+    """The fixture spread over three months back: ids by remainder of 3 are 0, 31 or 62 days earlier."""
+    days = -31 * (F.col("id").cast("bigint") % 3).cast("int")
+    return raw.withColumn("created_at", F.col("created_at") + F.make_dt_interval(days=days))

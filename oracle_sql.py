@@ -15,6 +15,8 @@ MERGE_SECOND_RUN_FROM = "2024-01-18"  # second run recomputes whole days from th
 OVERWRITE_SECOND_RUN_FROM = "2024-01-15"  # partition re-run covers these days
 LOOKBACK_AS_OF = "2024-01-30"
 LOOKBACK_DAYS = 3
+YEAR_END_AS_OF = "2024-01-05"  # monthly lookback: the window starts in December
+YEAR_END_DAYS = 10
 TOP_N = 10
 MOVED_FROM = "2024-01-20"  # events from this day on reappear later
 MOVED_BY_DAYS = 40
@@ -444,6 +446,17 @@ second_run AS (SELECT * FROM silver_repo_summary WHERE date >= DATE '{MERGE_SECO
         "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY created_at DESC NULLS LAST, type ASC NULLS LAST, "
         "repo_name ASC NULLS LAST, actor_login ASC NULLS LAST, date ASC NULLS LAST) = 1"
     )
+    spread = """raw AS (
+    SELECT id, type, ts AS created_at, CAST(ts AS DATE) AS date, CAST(month(ts) AS INTEGER) AS month,
+        CAST(year(ts) AS INTEGER) AS year, login, repo_name, head, action, lines_added, lines_deleted, files_changed
+    FROM (SELECT *, created_at - to_days(CAST(31 * (CAST(id AS BIGINT) % 3) AS INTEGER)) AS ts FROM raw_month)
+),
+classified AS ("""
+    months = LAYERS.replace("raw AS (", "raw_month AS (", 1).replace("classified AS (", spread, 1)
+    q["lookback_monthly"] = (
+        f"WITH {months}\nSELECT * FROM developer_productivity_monthly "
+        f"WHERE month_start_date >= date_trunc('month', DATE '{YEAR_END_AS_OF}' - INTERVAL {YEAR_END_DAYS} DAY)"
+    )
     q["rpt_top_developers"] = _top("commit_stats_by_day", "actor_login", "total_commits")
     q["rpt_commits_by_repo"] = _top("commit_stats_by_day", "repo_name", "total_commits")
     q["rpt_event_share"] = _q(

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from forgelake import specs
 from forgelake.operators import bronze, distinct
 from forgelake.plans.distinct_index import DistinctIndex
-from forgelake.plans.pipeline import EventTimes, Warehouse, fixture_staging, run_assets, run_month, write_staging
+from forgelake.plans.pipeline import EventTimes, Warehouse, fixture_staging, run_assets, run_month, stage_raw, write_staging
 from forgelake.session import scratch_path
 from forgelake.sinks import parquet as sink
 from forgelake.sources import fixture
+from forgelake.sources.raw import read_raw
 from forgelake.sources.tables import read_table
 
 EVENTS = specs.BRONZE_EVENTS
@@ -302,3 +303,25 @@ def test_monthly_job_reports_bad_lines_and_rows_without_login(spark):
     no_login = raw.filter(F.col("actor.login").isNull()).count()
     assert report.scanned == {"lines": lines.count() + 3, "bad_lines": 3, "no_login": no_login}
     assert report.touched["bronze_events"] >= {dt.date(2024, 1, 1)}
+
+
+def test_rows_of_uneven_gzip_files_are_spread(spark):
+    """One large file and a few small ones: the base is dealt by size, not by file."""
+    path = scratch_path(spark, "archive-uneven")
+    raw = fixture.to_archive_json(fixture.read_fixture_raw(spark, SF_SMALL))
+    raw.coalesce(1).write.option("compression", "gzip").json(path)
+    raw.limit(20).repartition(3).write.mode("append").option("compression", "gzip").json(path)
+    sizes = {}
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        for spread in (False, True):
+            base = scratch_path(spark, f"base-{spread}")
+            frames = stage_raw(spark, read_raw(spark, f"{path}/*.json.gz"), persist_base=base, spread=spread)
+            assert frames["staging_events"].count() > 0
+            files = glob.glob(f"{base.removeprefix('file:')}/*.parquet")
+            sizes[spread] = sorted(pq.ParquetFile(f).metadata.num_rows for f in files)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert sum(sizes[True]) == sum(sizes[False]) and sizes[False][-1] >= raw.count()
+    assert len(sizes[True]) > 1 and sizes[True][-1] < 0.7 * raw.count()
