@@ -312,8 +312,9 @@ def test_rows_of_uneven_gzip_files_are_spread(spark):
     raw.coalesce(1).write.option("compression", "gzip").json(path)
     raw.limit(20).repartition(3).write.mode("append").option("compression", "gzip").json(path)
     sizes = {}
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # rows this few would be merged to one part again
+    old = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
     try:
         for spread in (False, True):
             base = scratch_path(spark, f"base-{spread}")
@@ -322,6 +323,6 @@ def test_rows_of_uneven_gzip_files_are_spread(spark):
             files = glob.glob(f"{base.removeprefix('file:')}/*.parquet")
             sizes[spread] = sorted(pq.ParquetFile(f).metadata.num_rows for f in files)
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.set(merging, old)
     assert sum(sizes[True]) == sum(sizes[False]) and sizes[False][-1] >= raw.count()
     assert len(sizes[True]) > 1 and sizes[True][-1] < 0.7 * raw.count()
