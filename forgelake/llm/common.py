@@ -116,8 +116,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 PIECE = 256
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of data[start:end) for each span, the same wherever the span lies.
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int | None = None) -> np.ndarray:
+    """64-bit hash of data[start:end) for each span, the same wherever the span lies (``longest``: where it is known).
 
     A polynomial modulo 2**64; some texts of a thousand letters and more (the Thue-Morse sequence and its
     complement) collide under any such, so a long span is the sum of its pieces' hashes, each mixed with its number.
@@ -129,9 +129,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     def piece(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
-    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
-    long = np.flatnonzero(ends - starts > PIECE)
     out = piece(starts, ends)
+    if longest is not None and longest <= PIECE:
+        return out
+    long = np.flatnonzero(ends - starts > PIECE)
     if len(long):
         many = -(-(ends[long] - starts[long]) // PIECE)
         first = np.cumsum(many) - many
