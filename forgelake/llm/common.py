@@ -116,8 +116,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 PIECE = 256
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int | None = None) -> np.ndarray:
-    """64-bit hash of data[start:end) for each span, the same wherever the span lies (``longest``: where it is known).
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of data[start:end) for each span, the same wherever the span lies.
 
     A polynomial modulo 2**64; some texts of a thousand letters and more (the Thue-Morse sequence and its
     complement) collide under any such, so a long span is the sum of its pieces' hashes, each mixed with its number.
@@ -130,8 +130,6 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest:
         return mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     out = piece(starts, ends)
-    if longest is not None and longest <= PIECE:
-        return out
     long = np.flatnonzero(ends - starts > PIECE)
     if len(long):
         many = -(-(ends[long] - starts[long]) // PIECE)
@@ -144,6 +142,29 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest:
     return out
 
 
+def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of every window of ``size`` bytes (PIECE at most), without a place array and in few buffers."""
+    n = len(data) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    each = data.astype(np.uint64)
+    each += np.uint64(1)
+    each *= up[:-1]
+    np.cumsum(each, out=total[1:])
+    h = total[size:] - total[:n]
+    h *= down[:n]
+    h += np.uint64(size * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
+    shifted = each[:n]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):  # as mix64
+        np.right_shift(h, np.uint64(shift), out=shifted)
+        h ^= shifted
+        if factor != 1:
+            h *= np.uint64(factor)
+    return h
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, words before each row): words never cross rows."""
     if not len(data):

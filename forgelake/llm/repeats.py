@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.llm.common import CHUNK_BYTES, row_chunks, span_hashes, stored, table, text_chunks
+from forgelake.llm.common import CHUNK_BYTES, row_chunks, span_hashes, stored, table, text_chunks, window_hashes
 
 LENGTH = 50
 GRAM = 6
@@ -54,7 +54,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, levels: np.ndarray | None = None
     n = len(data)
     if n < LENGTH:
         return none, none, none, none.astype(np.uint64)
-    grams = span_hashes(data, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1), GRAM)
+    grams = window_hashes(data, GRAM)
     if levels is not None:
         grams = (levels[grams >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(56)) | (grams >> np.uint64(8))
     # Least hash of the LENGTH - GRAM + 1 grams of each window, by doubling.
@@ -131,7 +131,7 @@ def _windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _split(data: np.ndarray, offsets: np.ndarray, row, first, count):
     """Single windows of runs: (hash, row, place of one) of each distinct window of a row, and the spans that it covers."""
     at, of = _spread(first, count), np.repeat(row, count)
-    h = span_hashes(data, at, at + LENGTH, LENGTH)
+    h = span_hashes(data, at, at + LENGTH)
     order = np.argsort(h, kind="stable")  # places ascend within a hash, so rows do
     h, at, of = h[order], at[order], of[order]
     text = _windows(data, at)
@@ -333,8 +333,7 @@ def _hashed_twice(body: np.ndarray, base: np.ndarray, count: np.ndarray):
     inside[_spread(base, count)] = True
     for a in range(0, len(body) - LENGTH + 1, 1 << 20):
         b = min(a + (1 << 20), len(body) - LENGTH + 1)
-        at = np.arange(b - a)
-        hashes[a:b] = span_hashes(body[a : b + LENGTH - 1], at, at + LENGTH, LENGTH)
+        hashes[a:b] = window_hashes(body[a : b + LENGTH - 1], LENGTH)
     ordered = np.sort(hashes[inside])
     several = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     if not len(several):
@@ -484,7 +483,7 @@ def _gram_counts(batches):
             if len(data) >= GRAM:
                 at = np.arange(len(data) - GRAM + 1)
                 at = at[at + GRAM <= offsets[np.searchsorted(offsets, at, "right")]]
-                counts += np.bincount((span_hashes(data, at, at + GRAM, GRAM) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+                counts += np.bincount((window_hashes(data, GRAM)[at] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
     slot = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(counts[slot])], names=["slot", "n"])
 

@@ -360,6 +360,14 @@ def test_a_pair_at_the_edge_of_a_block_counts_once(spark):
     same([(r.vec_id, r.n_links, r.component_id) for r in got], [(r[0], 1, r[0] // 2 * 2) for r in rows])
 
 
+def test_window_hashes_are_span_hashes():
+    data = np.random.default_rng(1).integers(0, 256, 3000).astype(np.uint8)
+    for size in (1, 6, 50, common.PIECE):
+        at = np.arange(len(data) - size + 1)
+        assert (common.window_hashes(data, size) == common.span_hashes(data, at, at + size)).all()
+        assert len(common.window_hashes(data[: size - 1], size)) == 0
+
+
 def test_words_that_collide_under_any_polynomial_hash(spark):
     """A Thue-Morse word and its complement are different words to every operator."""
     bits = [bin(i).count("1") & 1 for i in range(2048)]
