@@ -50,7 +50,9 @@ def _struct_like(target: T.StructType, values: dict) -> Column:
 
 def raw_from_events(events: DataFrame) -> DataFrame:
     """Map the driver ``events`` table onto the raw archive record."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    # A column of its own, so a row's JSON is parsed once however many fields need it (it is inlined otherwise).
+    events = events.withColumn("__k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("__k")
     uid = F.col("user_id")
     eid = F.col("event_id")
     phase = uid % LOGIN_CYCLE
@@ -106,17 +108,22 @@ def with_replayed_pull_requests(productivity: DataFrame) -> DataFrame:
     bronze deduplication must pick one by its tie-breakers.
     """
     n = F.col("event_id").try_cast("bigint") % 4
-    reopened = productivity.filter(n == 0).withColumns(
-        {
-            "pr_state": F.lit("reopened"),
-            "is_merged": F.lit(False),
-            "lines_added": F.lit(None).cast("bigint"),
-            "lines_deleted": F.lit(None).cast("bigint"),
-            "files_changed": F.lit(None).cast("bigint"),
-        }
-    )
-    closed = productivity.filter(n == 1).withColumns({"pr_state": F.lit("closed"), "is_merged": F.lit(True)})
-    return productivity.unionByName(reopened).unionByName(closed)
+    reopened = {
+        "pr_state": F.lit("reopened"),
+        "is_merged": F.lit(False),
+        "lines_added": F.lit(None).cast("bigint"),
+        "lines_deleted": F.lit(None).cast("bigint"),
+        "files_changed": F.lit(None).cast("bigint"),
+    }
+    closed = {"pr_state": F.lit("closed"), "is_merged": F.lit(True)}
+    columns = productivity.columns
+
+    def row(changed: dict) -> Column:
+        return F.struct(*(changed.get(c, F.col(c)).alias(c) for c in columns))
+
+    # One scan: every row comes alone or with its copy.
+    copies = F.when(n == 0, F.array(row({}), row(reopened))).when(n == 1, F.array(row({}), row(closed))).otherwise(F.array(row({})))
+    return productivity.select(F.inline(copies))
 
 
 def to_archive_json(raw: DataFrame) -> DataFrame:
