@@ -38,6 +38,8 @@ from forgelake.sources.tables import read_source_month, read_table, since_month
 BOT_EVENTS = "bot_events"
 #: The table whose replaced rows recall the staging rows of their events.
 EVENTS = "bronze_events"
+#: Assets whose build ends in one row per key.
+DEDUPED = ("bronze_events", "bronze_commits")
 #: Assets that read nothing of it but event times (the silver timeline reads whole rows).
 TIMED = ("bronze_commits", "bronze_productivity")
 
@@ -420,15 +422,16 @@ def run_assets(
                 monthly = not asset.spec.partition_by
                 scope = _dated(asset.spec.columns, dates, whole_months=monthly)
 
-            # Builders end in a group-by or dedup on the key, and the unique_key check
-            # below covers the result, so the merge skips its own source key pass.
+            # Builders end in a group-by or dedup on the key, and the unique_key check below covers
+            # the result, so the merge skips its own source key pass; without checks it takes that pass
+            # but for the builds that end in the dedup itself.
             outcome = sink.merge_into(
                 spark,
                 result,
                 warehouse.path(name),
                 asset.spec,
                 how,
-                check_source_keys=not check,
+                check_source_keys=not check and name not in DEDUPED,
                 # A scope holds every date that a recomputed key was on, so no key is left elsewhere.
                 keys_can_move=(keys_can_move or {}).get(name, False if scope is not None else None),
                 observe=observe,

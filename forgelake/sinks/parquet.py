@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forgelake.operators.dedup import latest_per_key, version_order
 from forgelake.session import scratch_path
 from forgelake.sources.tables import SOURCE_MONTH, read_table
 from forgelake.specs import TableSpec
@@ -306,6 +305,11 @@ def _held_values(df: DataFrame, parts: Sequence[str]) -> set[tuple]:
     return {tuple(r) for r in df.select(*parts).distinct().collect()} if parts else set()
 
 
+def _counted(df: DataFrame, parts: Sequence[str]) -> dict[tuple, int]:
+    """Rows by partition value, a list bounded by the calendar."""
+    return {tuple(r)[:-1]: r[-1] for r in df.groupBy(*parts).count().collect()}
+
+
 def _within_keys(df: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key a staged source holds: a semi join within the source's key ranges.
 
@@ -588,30 +592,42 @@ def _merge_later(spark, folder, staged, path, spec, keys_can_move, written, befo
     schema = T.StructType([f for c in narrow for f in spec.schema.fields if f.name == c])
     held = spark.read.schema(schema).parquet(f"{folder}/held")
 
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    rivals = staged.filter(keyed).select(*narrow).withColumn(_HELD, F.lit(False))
-    # An equal version stays as it is, so a repeated merge rewrites nothing.
-    first = latest_per_key(rivals.unionByName(held.withColumn(_HELD, F.lit(True))), keys, [*version_order(spec), F.col(_HELD).desc()])
-    later = first.filter(~F.col(_HELD)).select(*keys)
-    accepted = staged.join(later, keys, "left_semi").unionByName(staged.filter(~keyed))
-    accepted.write.parquet(f"{folder}/accepted")
+    # One join decides: a row stays out where the target holds a version of its key that it does not come
+    # before.  An equal version stays as it is, so a repeated merge rewrites nothing; NULL keys never match.
+    theirs = held.select(*(F.col(c).alias(f"{_HELD}_{c}") for c in narrow))
+    same_key = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"{_HELD}_{k}") for k in keys])
+    staged.join(theirs, same_key & ~_comes_before(spec), "left_anti").write.parquet(f"{folder}/accepted")
     accepted = read_table(spark, f"{folder}/accepted", spec)
 
-    replaced = held.select(*keys).join(accepted.select(*keys), keys, "left_semi")
+    # The target's rows that go, with their places: written once for the notes and the upsert.
+    gone = list(dict.fromkeys([*keys, *parts]))
+    held.select(*gone).join(accepted.select(*keys), keys, "left_semi").write.parquet(f"{folder}/replaced")
+    replaced = spark.read.schema(T.StructType([f for f in schema.fields if f.name in gone])).parquet(f"{folder}/replaced")
     seen = _held_values(held, parts)
 
     def planned(outcome: dict) -> None:
         if before_commit:
-            before_commit(outcome | {"replaced": replaced, "seen": outcome["touched"] | seen})
+            before_commit(outcome | {"replaced": replaced.select(*keys), "seen": outcome["touched"] | seen})
 
     # The keys' places are known, so the upsert need not look for them again.
-    outcome = _merge_staged(spark, accepted, path, spec, UPDATE_ALL, keys_can_move, written, None, planned, held)
-    return outcome | {"seen": outcome["touched"] | seen, "replaced": replaced}
+    outcome = _merge_staged(spark, accepted, path, spec, UPDATE_ALL, keys_can_move, written, None, planned, replaced)
+    return outcome | {"seen": outcome["touched"] | seen, "replaced": replaced.select(*keys)}
+
+
+def _comes_before(spec: TableSpec) -> Column:
+    """Whether a row comes before the held one (columns with ``_HELD`` before their names) in the version order; never NULL."""
+    out = F.lit(False)
+    for c in reversed([*spec.latest_by, *spec.ties]):
+        mine, theirs = F.col(c), F.col(f"{_HELD}_{c}")
+        ahead = mine > theirs if c in spec.latest_by else mine < theirs
+        out = F.coalesce(ahead, mine.isNotNull() & theirs.isNull()) | (mine.eqNullSafe(theirs) & out)
+    return out
 
 
 def _merge_staged(
-    spark, staged, path, spec, update, keys_can_move, written, scope=None, before_commit=None, held=None
+    spark, staged, path, spec, update, keys_can_move, written, scope=None, before_commit=None, known=None
 ) -> dict:
+    """The merge of a staged source; ``known`` are the target's rows of its keys (keys and places), if they have been found."""
     keys, parts = list(spec.keys), list(spec.partition_by)
     insert_only = update == INSERT_ONLY or update == []
     target = read_table(spark, path, spec)
@@ -650,15 +666,13 @@ def _merge_staged(
     if not keys_stay:
         # Partitions holding older versions of source keys; one whose every row
         # is replaced from elsewhere ends up empty.
-        if held is None:
-            found = _within_keys(target.select(*keys, *parts), staged, keys)
-        else:
-            found = held.select(*keys, *parts).join(source_keys, keys, "left_semi")
-        others = _held_values(found, parts) - touched
+        found = _within_keys(target.select(*keys, *parts), staged, keys) if known is None else known
+        counts = _counted(found, parts)
+        others = set(counts) - touched
         if others:
-            kept = target.filter(_partition_filter(parts, others)).select(*keys, *parts)
-            surviving = kept.join(source_keys, keys, "left_anti")
-            emptied |= others - _held_values(surviving, parts)
+            # as many rows as are replaced: none is left
+            rows = _counted(target.filter(_partition_filter(parts, others)), parts)
+            emptied |= {place for place in others if rows[place] == counts[place]}
         touched |= others
     if not touched:
         return {"partitions": 0, "touched": set(), "seen": set(), "empty": 1}
@@ -667,7 +681,7 @@ def _merge_staged(
     merged = staged
     if touched - replaced:
         outside = target.filter(_partition_filter(parts, touched - replaced))  # partition pruning
-        merged = outside.join(source_keys, keys, "left_anti").unionByName(staged)
+        merged = outside.join(source_keys if known is None else known.select(*keys), keys, "left_anti").unionByName(staged)
     copy = f"{path.rstrip('/')}/{_MERGE}"
     if emptied:
         dirs = [(_partition_dir(parts, row),) for row in sorted(emptied, key=str)]
