@@ -7,13 +7,13 @@ After a run, :meth:`DistinctIndex.update` rebuilds the days that it changed (``R
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.operators import distinct as ops
-from forgelake.plans.pipeline import Warehouse, _dated
+from forgelake.plans.pipeline import Warehouse, _dated, _run_all
 from forgelake.sinks import parquet as sink
 from forgelake.sources.tables import read_table
 from forgelake.specs import TableSpec
@@ -53,7 +53,8 @@ class DistinctIndex:
         rows = self.warehouse.read(SOURCE)
         scope = F.lit(True) if dates is None else _dated(rows.columns, dates, whole_months=False)
         rows = rows.filter(scope)
-        for column in COUNTED:
+
+        def one(column: str) -> None:
             values, days = _values_spec(column), _days_spec(column)
             path = self._path(values)
             known = read_table(self.spark, path, values) if sink.path_exists(self.spark, path) else None
@@ -61,6 +62,9 @@ class DistinctIndex:
             built = ops.bitmaps(rows, ["date", "event_type"], column, read_table(self.spark, path, values))
             sink.merge_into(self.spark, built, self._path(days), days, scope=scope, check_source_keys=False)
 
+        # each column has tables of its own, so they are brought up to date side by side
+        _run_all(self.spark, {column: partial(one, column) for column in COUNTED}, len(COUNTED))
+
     def distinct(self, by: dict[str, Column]) -> DataFrame:
         """Distinct logins and repositories of groups given as expressions over ``date`` and ``event_type``."""
         keys = list(by)
