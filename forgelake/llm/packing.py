@@ -70,9 +70,11 @@ class Words(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHED:
             self.clear()
-        if word.isascii():
-            parts = ASCII_PARTS.findall(word)
-            out = self._model(word.decode()) if len(parts) == 1 and word.isalnum() else b"".join(map(self._part, parts))
+        core = word.rstrip(b".,")
+        if core.isalpha() and core.isascii():  # letters alone, then stops and commas: two parts at most
+            out = self._part(core) + self._part(word[len(core) :]) if len(core) < len(word) else self._model(word.decode())
+        elif word.isascii():
+            out = b"".join(map(self._part, ASCII_PARTS.findall(word)))
         else:
             out = self._encode(word)
         self[word] = out
@@ -107,11 +109,8 @@ class Words(dict):
         if b"<|" in text:  # special tokens are looked for in the raw text
             ids = np.array(self.whole.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u2")
         else:
-            words = text.lower().split()
-            found = list(map(self.get, words))
-            if None in found:
-                found = [self[w] if x is None else x for w, x in zip(words, found, strict=True)]
-            ids = np.frombuffer(b"".join(found), "<u2")
+            # the look-up itself calls __missing__: one pass over the words
+            ids = np.frombuffer(b"".join(map(self.__getitem__, text.lower().split())), "<u2")
         return np.append(ids, np.uint16(END))
 
 
@@ -131,13 +130,16 @@ def _tokenize(file: str):
         part = TaskContext.get().partitionId()
         piece = part << 40
         frequency = np.zeros(VOCABULARY, np.uint32)
+        held = np.zeros(VOCABULARY, bool)
         for batch in batches:
             out = [[] for _ in range(8)]
             size = 0
             texts = batch.column(1).cast(pa.large_binary())
             for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 ids = words.ids(text.as_py() or b"")
-                terms = np.unique(ids)
+                held[ids] = True
+                terms = np.flatnonzero(held)  # a mark an id of the vocabulary: no sorting
+                held[terms] = False
                 frequency[terms] += 1
                 whole = len(ids) // WINDOW * WINDOW
                 for start in [*range(0, whole, WINDOW), *([whole] if whole < len(ids) else [])]:
@@ -280,7 +282,7 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
-def _pack(shared):
+def _pack(shared, file: str):
     """Rests (doc_id, start, doc_tokens, ids), in shard order, to pieces."""
 
     def run(batches):
@@ -304,12 +306,16 @@ def _pack(shared):
     return run
 
 
-def _windows(batches):
+def _windows(file: str):
     """Whole windows (piece, doc_id, start, doc_tokens, ids) as sequences."""
-    for batch in batches:
-        piece, doc_id, start, tokens = (batch.column(k).to_pylist() for k in range(4))
-        ids = [np.frombuffer(x.as_py(), "<u2").astype("<u4").tobytes() for x in batch.column(4)]
-        yield _packed([(d, s, len(x) // 4, t, p, 0, x) for p, d, s, t, x in zip(piece, doc_id, start, tokens, ids, strict=True)])
+
+    def run(batches):
+        for batch in batches:
+            piece, doc_id, start, tokens = (batch.column(k).to_pylist() for k in range(4))
+            ids = [np.frombuffer(x.as_py(), "<u2").astype("<u4").tobytes() for x in batch.column(4)]
+            yield _packed([(d, s, len(x) // 4, t, p, 0, x) for p, d, s, t, x in zip(piece, doc_id, start, tokens, ids, strict=True)])
+
+    return run
 
 
 def pack(docs: DataFrame, file: str | None = None) -> DataFrame:
@@ -334,8 +340,8 @@ def pack(docs: DataFrame, file: str | None = None) -> DataFrame:
     shared = spark.sparkContext.broadcast((weight, mean))  # one number per id of the vocabulary
     shards = max(1, -(-(sizes["rest_tokens"] or 0) // SHARD_TOKENS))
     rests = tokens.filter("kind = 'rest'").repartitionByRange(shards, "near", "near2", "piece").sortWithinPartitions("near", "near2", "piece")
-    packed = rests.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(_pack(shared), PACKED)
-    whole = tokens.filter("kind = 'window'").select("piece", "doc_id", "start", "doc_tokens", "ids").mapInArrow(_windows, PACKED)
+    packed = rests.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(_pack(shared, file), PACKED)
+    whole = tokens.filter("kind = 'window'").select("piece", "doc_id", "start", "doc_tokens", "ids").mapInArrow(_windows(file), PACKED)
     return whole.unionByName(packed)
 
 
