@@ -286,6 +286,7 @@ def _pack(shared, file: str):
     """Rests (doc_id, start, doc_tokens, ids), in shard order, to pieces."""
 
     def run(batches):
+        worker_cache().pop(file, None)  # no text is tokenized any more: the worker goes on without the words
         weight, mean = shared.value
         filler = Filler(weight, mean, SHARED_SEQUENCE | TaskContext.get().partitionId() << 32)
         rows, size = [], 0
@@ -310,6 +311,7 @@ def _windows(file: str):
     """Whole windows (piece, doc_id, start, doc_tokens, ids) as sequences."""
 
     def run(batches):
+        worker_cache().pop(file, None)  # as in _pack
         for batch in batches:
             piece, doc_id, start, tokens = (batch.column(k).to_pylist() for k in range(4))
             ids = [np.frombuffer(x.as_py(), "<u2").astype("<u4").tobytes() for x in batch.column(4)]

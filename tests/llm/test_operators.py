@@ -494,3 +494,19 @@ def test_fingerprint_ranges_meet(spark, monkeypatch):
         n = order[(i + 1) % len(order)][1]
         edited = t[: len(t) - len(t) // 3] + n[: len(t) // 3]
         assert got[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_words_of_the_tokenizer_go_when_tokens_are_packed():
+    """The pipeline's later stages run in the same workers; the cache held some 100 MB of each."""
+    cache = common.worker_cache()
+    for stage in (packing._windows("some file"), packing._pack(None, "some file")):
+        cache["some file"] = {"word": b""}
+        try:
+            next(iter(stage(iter([]))), None)
+        except AttributeError:
+            pass  # without shared weights the packing itself goes no further
+        assert "some file" not in cache
+    words = packing.Words(packing.tokenizer_file())
+    text = "The end, and., THE end. x1 don't, ''. ,. a.b, é, über.. tree,,".encode()
+    whole = words.whole.encode(text.decode(), add_special_tokens=False).ids
+    assert words.ids(text).tolist() == [*whole, packing.END]
