@@ -433,16 +433,17 @@ def deduplicated(docs: DataFrame, k: int = WORDS, share=SHARE) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node"))
     heads = rooted.groupBy("root").agg(least.alias("head"))
     row, node = free("__id", docs), free("__node", docs)
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("~")).alias(row)
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("~"))
     gone = rooted.join(heads.hint("merge"), "root").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("node") == F.col("head.node")))
     )
-    keyed = docs.select("*", name("doc_id"), name_of(F.col("text").cast("string")).alias(node))
-    left = keyed.join(gone.select(name("doc_id"), F.col("node").alias(node)).hint("merge"), [row, node], "left_anti")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    # Alike rows: one stays; rows without words all do.
-    alike = left.filter(F.col(node).isNotNull()).dropDuplicates([row, node])
-    return alike.select(*columns).unionByName(left.filter(F.col(node).isNull()).select(*columns))
+    keyed = docs.select("*", name_of(F.col("text").cast("string")).alias(node))
+    # Rows without words are keyed by a number of their own: they all stay, and no second branch has to name the texts again.
+    alone = F.when(F.col(node).isNull(), F.monotonically_increasing_id().cast("string"))
+    keyed = keyed.withColumn(row, F.coalesce(alone, name("doc_id")))
+    left = keyed.join(gone.select(name("doc_id").alias(row), F.col("node").alias(node)).hint("merge"), [row, node], "left_anti")
+    # Alike rows: one stays.
+    return left.dropDuplicates([row, node]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_jaccard_join(spark, sf_dir):

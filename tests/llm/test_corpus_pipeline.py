@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import io
 import math
 import random
 import re
@@ -150,3 +152,16 @@ def test_a_source_of_one_long_document_is_cut_not_lost(spark):
     for r in mixed_rows:
         words_of[r.source] += len(WORD.findall(r.text))
     assert words_of == {"long": 12, "other": 117}
+
+
+def test_texts_are_named_once_to_leave_out_copies(spark):
+    """Each further naming reads all texts again, in a Python worker more per task that later stages find still there."""
+    rows = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (2, "A b c d e f", "en", "s", 11), (3, "g h i j k l", "en", "s", 11)]
+    blank = [(4, None, "en", "s", 0), (4, None, "en", "s", 0), (1, " ", "en", "s", 1), (None, "", "en", "s", 0), (None, "", "en", "s", 0)]
+    blank += [(i, "", "en", "s", 0) for i in range(3)]
+    got = chain.drop_near_duplicates(spark, spark.createDataFrame(rows + blank, SCHEMA).repartition(3), "")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got.explain()
+    assert out.getvalue().count("ArrowEvalPython") == 1
+    assert Counter(map(tuple, got.collect())) == Counter([rows[0], rows[3], *blank])
